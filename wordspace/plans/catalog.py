@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import encode as E
+from ..operators import pairs as P
 from ..operators import vocab as V
 from ..sources import corpus as C
 
@@ -108,6 +110,65 @@ def q_noise_cumulative(spark, sf_dir):
     return n.select("idx", "cdf_lo", "cdf_hi")
 
 
+# --- E / P / R3 / G -----------------------------------------------------
+
+
+def conv_tokens(spark, sf_dir) -> DataFrame:
+    sents = C.conversation_sentences(table(spark, sf_dir, "conversations"))
+    return C.explode_sentences(sents.select("sent_id", "tokens"))
+
+
+def kept_stream(spark, sf_dir, t=T_PLAIN, form="plain", tokens=None):
+    """Encoded + subsampled stream with keep probabilities of the given form."""
+    toks = doc_tokens(spark, sf_dir) if tokens is None else tokens
+    vocab = V.keep_probability(V.build_vocab(toks, MIN_COUNT), t, form)
+    enc = E.encode(toks, vocab, carry=("keep_prob",))
+    return E.subsample(enc, SEED)
+
+
+def q_encoded_corpus(spark, sf_dir):
+    toks = doc_tokens(spark, sf_dir)
+    enc = E.encode(toks, doc_vocab(spark, sf_dir))
+    return E.dense_positions(enc, with_doc_pos=True).select("doc_id", "pos", "idx", "dpos")
+
+
+def q_subsampled_stream(spark, sf_dir):
+    return E.dense_positions(kept_stream(spark, sf_dir)).select("doc_id", "pos", "idx", "gpos")
+
+
+def q_subsampled_sentences(spark, sf_dir):
+    kept = kept_stream(spark, sf_dir, T_ADDITIVE, "additive", tokens=conv_tokens(spark, sf_dir))
+    out = E.dense_positions(kept, with_doc_pos=True)
+    return out.select(F.col("doc_id").alias("sent_id"), "pos", "idx", "dpos")
+
+
+def q_subsample_report(spark, sf_dir):
+    toks = doc_tokens(spark, sf_dir)
+    vocab = V.keep_probability(V.build_vocab(toks, MIN_COUNT), T_PLAIN, "plain")
+    return E.subsample_report(E.encode(toks, vocab, carry=("keep_prob",)), SEED)
+
+
+def stream_pairs(spark, sf_dir):
+    dense = E.dense_positions(kept_stream(spark, sf_dir))
+    return P.window_pairs(dense, WINDOW, SEED, sentence=False)
+
+
+def q_pairs_stream(spark, sf_dir):
+    return stream_pairs(spark, sf_dir).select("doc_id", "center_pos", "ctx_doc", "context_pos", "center", "context")
+
+
+def q_pairs_sentence(spark, sf_dir):
+    kept = kept_stream(spark, sf_dir, T_ADDITIVE, "additive", tokens=conv_tokens(spark, sf_dir))
+    pairs = P.window_pairs(E.dense_positions(kept), WINDOW, SEED, sentence=True)
+    return pairs.select(F.col("doc_id").alias("sent_id"), "center_pos", "context_pos", "center", "context")
+
+
+def q_pair_counts(spark, sf_dir):
+    kept = kept_stream(spark, sf_dir, T_ADDITIVE, "additive")
+    pairs = P.window_pairs(E.dense_positions(kept), WINDOW, SEED, sentence=True)
+    return P.pair_counts(pairs)
+
+
 QUERIES = {
     "corpus_stats": q_corpus_stats,
     "tokens_positions": q_tokens_positions,
@@ -121,6 +182,13 @@ QUERIES = {
     "keep_prob_additive": q_keep_prob_additive,
     "noise_distribution": q_noise_distribution,
     "noise_cumulative": q_noise_cumulative,
+    "encoded_corpus": q_encoded_corpus,
+    "subsampled_stream": q_subsampled_stream,
+    "subsampled_sentences": q_subsampled_sentences,
+    "subsample_report": q_subsample_report,
+    "pairs_stream": q_pairs_stream,
+    "pairs_sentence": q_pairs_sentence,
+    "pair_counts": q_pair_counts,
 }
 
 

@@ -68,6 +68,41 @@ def noise_cte(src: str = "vocab", name: str = "noise", power: float = 0.75, scal
 )"""
 
 
+def conv_tokens_cte(name: str = "stokens") -> str:
+    return f"""{name} AS (
+  SELECT sent_id AS doc_id, CAST(unnest(range(len(arr))) AS INTEGER) AS pos, unnest(arr) AS word
+  FROM (SELECT CAST(row_number() OVER (ORDER BY conv_id, turn) - 1 AS BIGINT) AS sent_id,
+               regexp_extract_all(lower(text), '[a-z]+') AS arr FROM conversations) s
+)"""
+
+
+def kept_ctes(t: float, form: str, src: str = "tokens", seed: int = Q.SEED, window: int = Q.WINDOW) -> list[str]:
+    """vocab -> keep -> encode -> subsample -> dense stream with radius."""
+    u_keep = sql_uniform("subsample", seed, "doc_id", "pos")
+    u_win = sql_uniform("window", seed, "doc_id", "pos")
+    return [
+        vocab_cte(src=src),
+        freq_cte(),
+        keep_cte(t, form),
+        f"""enc AS (SELECT t.doc_id, t.pos, v.idx, v.keep_prob FROM {src} t JOIN vkeep v ON t.word = v.word)""",
+        f"""kept AS (SELECT * FROM enc WHERE {u_keep} < keep_prob)""",
+        f"""dense AS (
+  SELECT doc_id, pos, idx, CAST(row_number() OVER (ORDER BY doc_id, pos) - 1 AS BIGINT) AS gpos,
+         CAST(1 + floor({u_win} * {window}) AS INTEGER) AS r
+  FROM kept
+)""",
+    ]
+
+
+def pairs_cte(sentence: bool, name: str = "pairs") -> str:
+    same = "AND x.doc_id = c.doc_id" if sentence else ""
+    return f"""{name} AS (
+  SELECT c.doc_id, c.pos AS center_pos, x.doc_id AS ctx_doc, x.pos AS context_pos, c.idx AS center, x.idx AS context,
+         c.gpos, CAST(x.gpos - c.gpos AS INTEGER) AS off
+  FROM dense c JOIN dense x ON x.gpos >= c.gpos - c.r AND x.gpos <= c.gpos + c.r AND x.gpos <> c.gpos {same}
+)"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -116,3 +151,30 @@ SELECT idx, word, weight, weight_total, round(weight / weight_total, 12) AS prob
 
 SQL["noise_cumulative"] = with_(tokens_cte(), vocab_cte(), noise_cte()) + """
 SELECT idx, cdf_hi - weight AS cdf_lo, cdf_hi FROM noise"""
+
+SQL["encoded_corpus"] = with_(tokens_cte(), vocab_cte()) + """
+SELECT t.doc_id, t.pos, v.idx, CAST(row_number() OVER (PARTITION BY t.doc_id ORDER BY t.pos) - 1 AS INTEGER) AS dpos
+FROM tokens t JOIN vocab v ON t.word = v.word"""
+
+SQL["subsampled_stream"] = with_(tokens_cte(), *kept_ctes(Q.T_PLAIN, "plain")) + """
+SELECT doc_id, pos, idx, gpos FROM dense"""
+
+SQL["subsampled_sentences"] = with_(conv_tokens_cte(), *kept_ctes(Q.T_ADDITIVE, "additive", src="stokens")) + """
+SELECT doc_id AS sent_id, pos, idx, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS INTEGER) AS dpos
+FROM dense"""
+
+SQL["subsample_report"] = with_(tokens_cte(), *kept_ctes(Q.T_PLAIN, "plain")[:4]) + f"""
+SELECT CAST(sum(CASE WHEN {sql_uniform("subsample", Q.SEED, "doc_id", "pos")} < keep_prob THEN 1 ELSE 0 END) AS BIGINT) AS kept,
+       CAST(count(*) AS BIGINT) AS total,
+       CAST(count(*) - sum(CASE WHEN {sql_uniform("subsample", Q.SEED, "doc_id", "pos")} < keep_prob THEN 1 ELSE 0 END)
+            AS BIGINT) AS removed
+FROM enc"""
+
+SQL["pairs_stream"] = with_(tokens_cte(), *kept_ctes(Q.T_PLAIN, "plain"), pairs_cte(False)) + """
+SELECT doc_id, center_pos, ctx_doc, context_pos, center, context FROM pairs"""
+
+SQL["pairs_sentence"] = with_(conv_tokens_cte(), *kept_ctes(Q.T_ADDITIVE, "additive", src="stokens"), pairs_cte(True)) + """
+SELECT doc_id AS sent_id, center_pos, context_pos, center, context FROM pairs"""
+
+SQL["pair_counts"] = with_(tokens_cte(), *kept_ctes(Q.T_ADDITIVE, "additive"), pairs_cte(True)) + """
+SELECT center, context, CAST(count(*) AS BIGINT) AS n FROM pairs GROUP BY center, context"""
