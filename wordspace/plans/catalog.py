@@ -10,9 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import batches as B
 from ..operators import encode as E
+from ..operators import noise as N
+from ..operators import step as ST
 from ..operators import pairs as P
 from ..operators import vocab as V
+from ..session import materialize
 from ..sources import corpus as C
 
 # fixed parameters of the registered queries
@@ -27,6 +31,12 @@ TABLE_SIZE = 1_000_000
 PREFIX_TOKENS = 100_000
 VOCAB_CAP = 1000
 DIGITS = 9
+GRAD_DIGITS = 6
+DIM_CHECK = 8
+BATCH = 256
+EPOCHS_CHECK = 2
+LR0 = 0.025
+LOG_EVERY = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -148,9 +158,24 @@ def q_subsample_report(spark, sf_dir):
     return E.subsample_report(E.encode(toks, vocab, carry=("keep_prob",)), SEED)
 
 
+_PINNED: dict = {}
+
+
+def pinned(spark, sf_dir, name, build):
+    """Build once per session and pin with a reliable checkpoint (the pairs
+    table is reused by many queries, as the trainer reuses it per epoch)."""
+    k = (id(spark), sf_dir.rstrip("/"), name)
+    if k not in _PINNED:
+        _PINNED[k] = materialize(build())
+    return _PINNED[k]
+
+
 def stream_pairs(spark, sf_dir):
-    dense = E.dense_positions(kept_stream(spark, sf_dir))
-    return P.window_pairs(dense, WINDOW, SEED, sentence=False)
+    def build():
+        dense = E.dense_positions(kept_stream(spark, sf_dir))
+        return P.window_pairs(dense, WINDOW, SEED, sentence=False)
+
+    return pinned(spark, sf_dir, "stream_pairs", build)
 
 
 def q_pairs_stream(spark, sf_dir):
@@ -169,6 +194,162 @@ def q_pair_counts(spark, sf_dir):
     return P.pair_counts(pairs)
 
 
+# --- N / R5 R6 / M -------------------------------------------------------
+
+
+def sentence_pairs(spark, sf_dir):
+    def build():
+        kept = kept_stream(spark, sf_dir, T_ADDITIVE, "additive", tokens=conv_tokens(spark, sf_dir))
+        return P.window_pairs(E.dense_positions(kept), WINDOW, SEED, sentence=True)
+
+    return pinned(spark, sf_dir, "sentence_pairs", build)
+
+
+def conv_noise(spark, sf_dir):
+    return V.noise_table(V.build_vocab(conv_tokens(spark, sf_dir), MIN_COUNT))
+
+
+def doc_noise(spark, sf_dir):
+    return V.noise_table(doc_vocab(spark, sf_dir))
+
+
+def per_neg(negs):
+    return negs.groupBy("neg").agg(F.count(F.lit(1)).alias("n_draws"), F.sum("gpos").cast("long").alias("sum_gpos"))
+
+
+def q_noise_slot_table(spark, sf_dir):
+    return N.slot_ranges(doc_noise(spark, sf_dir), TABLE_SIZE)
+
+
+def q_negatives_exact(spark, sf_dir):
+    pairs = stream_pairs(spark, sf_dir)
+    return per_neg(N.draw_exact(pairs, doc_noise(spark, sf_dir), K_EXACT, SEED, epoch=1))
+
+
+def q_negatives_table(spark, sf_dir):
+    slots = N.slot_table(conv_noise(spark, sf_dir), TABLE_SIZE)
+    return per_neg(N.draw_from_table(sentence_pairs(spark, sf_dir), slots, 0, K_TABLE, SEED, 1, TABLE_SIZE))
+
+
+def q_negatives_excluding(spark, sf_dir):
+    slots = N.slot_table(conv_noise(spark, sf_dir), TABLE_SIZE)
+    negs = N.draw_excluding(sentence_pairs(spark, sf_dir), slots, K_TABLE, SEED, 1, TABLE_SIZE)
+    return per_neg(negs)
+
+
+def epoch_batches(pairs, epochs=EPOCHS_CHECK):
+    out = None
+    for e in range(1, epochs + 1):
+        b = B.batches(B.shuffle_order(pairs, SEED, e), BATCH)
+        out = b if out is None else out.unionByName(b)
+    return out
+
+
+def q_shuffled_batches(spark, sf_dir):
+    b = epoch_batches(stream_pairs(spark, sf_dir))
+    return b.groupBy("epoch", "batch").agg(
+        F.count(F.lit(1)).alias("n_pairs"),
+        F.sum("center").cast("long").alias("sum_center"),
+        F.sum("context").cast("long").alias("sum_context"),
+    )
+
+
+def q_lr_relative(spark, sf_dir):
+    pairs = stream_pairs(spark, sf_dir)
+    nb = B.num_batches(pairs.count(), BATCH)
+    steps = epoch_batches(pairs).select("epoch", "batch").distinct()
+    out = B.with_batch_lr(steps, nb, EPOCHS_CHECK, LR0)
+    return out.select("epoch", "batch", "step", r("lr", 12).alias("lr"))
+
+
+def q_lr_absolute(spark, sf_dir):
+    pairs = sentence_pairs(spark, sf_dir)
+    ranked = B.shuffle_order(pairs, SEED, 1)
+    out = B.with_pair_lr(ranked, pairs.count(), 1, LR0, 1e-4)
+    return out.select("step", r("lr", 12).alias("lr"))
+
+
+def q_param_init(spark, sf_dir):
+    p = ST.init_params(doc_vocab(spark, sf_dir), DIM_CHECK, SEED)
+    return ST.explode_params(p, 12)
+
+
+def check_model(spark, sf_dir, epoch=1):
+    """Stream pairs, exact negatives of ``epoch`` and hashed d=8 params."""
+    vocab = doc_vocab(spark, sf_dir)
+    pairs = stream_pairs(spark, sf_dir)
+    negs = N.draw_exact(pairs, V.noise_table(vocab), K_EXACT, SEED, epoch, carry=("center",))
+    params = ST.init_params(vocab, DIM_CHECK, SEED, context="hashed")
+    return pairs, negs, params
+
+
+def q_sigmoid_forms(spark, sf_dir):
+    pairs, negs, params = check_model(spark, sf_dir)
+    pos, _ = ST.scored(pairs, negs, params)
+    from ..functions import vectors as VX
+
+    return pos.select(
+        "gpos", "off", r("s_pos").alias("s_pos"),
+        r(VX.sigmoid_clipped(F.col("s_pos"))).alias("sig_clip"),
+        r(VX.sigmoid_branched(F.col("s_pos"))).alias("sig_branch"),
+    )
+
+
+def q_pair_loss(spark, sf_dir):
+    pairs, negs, params = check_model(spark, sf_dir)
+    pos, neg = ST.scored(pairs, negs, params)
+    out = ST.pair_loss(pos, neg)
+    return out.select("gpos", "off", "center", "context", r("loss", GRAD_DIGITS).alias("loss"))
+
+
+def epoch_pair_losses(spark, sf_dir, epochs=EPOCHS_CHECK):
+    out = None
+    for e in range(1, epochs + 1):
+        pairs, negs, params = check_model(spark, sf_dir, e)
+        pos, neg = ST.scored(pairs, negs, params)
+        lo = ST.pair_loss(pos, neg).withColumn("epoch", F.lit(e))
+        out = lo if out is None else out.unionByName(lo)
+    return out
+
+
+def batch_losses(spark, sf_dir, epochs=EPOCHS_CHECK):
+    losses = epoch_pair_losses(spark, sf_dir, epochs)
+    b = epoch_batches(stream_pairs(spark, sf_dir), epochs).select("epoch", "gpos", "off", "batch")
+    j = losses.join(b, ["epoch", "gpos", "off"])
+    return j.groupBy("epoch", "batch").agg(F.count(F.lit(1)).alias("n_pairs"), F.avg("loss").alias("mean_loss"))
+
+
+def q_batch_loss(spark, sf_dir):
+    bl = batch_losses(spark, sf_dir, 1)
+    return bl.select("epoch", "batch", "n_pairs", r("mean_loss", GRAD_DIGITS).alias("mean_loss"))
+
+
+def q_loss_history(spark, sf_dir):
+    nb = B.num_batches(stream_pairs(spark, sf_dir).count(), BATCH)
+    h = B.log_windows(batch_losses(spark, sf_dir), nb, LOG_EVERY)
+    return h.select("epoch", "window_no", "n_pairs", r("avg_loss", GRAD_DIGITS).alias("avg_loss"))
+
+
+def q_epoch_loss(spark, sf_dir):
+    lo = epoch_pair_losses(spark, sf_dir)
+    out = lo.groupBy("epoch").agg(F.count(F.lit(1)).alias("n_pairs"), F.avg("loss").alias("mean_loss"))
+    return out.select("epoch", "n_pairs", r("mean_loss", GRAD_DIGITS).alias("mean_loss"))
+
+
+def q_gradients(spark, sf_dir):
+    pairs, negs, params = check_model(spark, sf_dir)
+    pos, neg = ST.scored(pairs, negs, params)
+    g = ST.gradients(pos, neg)
+    out = g.select("matrix", "idx", F.posexplode("g").alias("dim", "g"))
+    return out.withColumn("g", r("g", GRAD_DIGITS))
+
+
+def q_sync_step(spark, sf_dir):
+    pairs, negs, params = check_model(spark, sf_dir)
+    new_params, _ = ST.sync_step(pairs, negs, params, LR0)
+    return ST.explode_params(new_params, GRAD_DIGITS)
+
+
 QUERIES = {
     "corpus_stats": q_corpus_stats,
     "tokens_positions": q_tokens_positions,
@@ -189,6 +370,21 @@ QUERIES = {
     "pairs_stream": q_pairs_stream,
     "pairs_sentence": q_pairs_sentence,
     "pair_counts": q_pair_counts,
+    "noise_slot_table": q_noise_slot_table,
+    "negatives_exact": q_negatives_exact,
+    "negatives_table": q_negatives_table,
+    "negatives_excluding": q_negatives_excluding,
+    "shuffled_batches": q_shuffled_batches,
+    "lr_relative": q_lr_relative,
+    "lr_absolute": q_lr_absolute,
+    "param_init": q_param_init,
+    "sigmoid_forms": q_sigmoid_forms,
+    "pair_loss": q_pair_loss,
+    "batch_loss": q_batch_loss,
+    "loss_history": q_loss_history,
+    "epoch_loss": q_epoch_loss,
+    "gradients": q_gradients,
+    "sync_step": q_sync_step,
 }
 
 

@@ -178,3 +178,227 @@ SELECT doc_id AS sent_id, center_pos, context_pos, center, context FROM pairs"""
 
 SQL["pair_counts"] = with_(tokens_cte(), *kept_ctes(Q.T_ADDITIVE, "additive"), pairs_cte(True)) + """
 SELECT center, context, CAST(count(*) AS BIGINT) AS n FROM pairs GROUP BY center, context"""
+
+
+# --- noise draws, batches, step maths ----------------------------------------
+
+STREAM = [tokens_cte(), *kept_ctes(Q.T_PLAIN, "plain"), pairs_cte(False)]
+SENTENCE = [conv_tokens_cte(), *kept_ctes(Q.T_ADDITIVE, "additive", src="stokens"), pairs_cte(True)]
+GBINS = 1 << 16
+M = Q.TABLE_SIZE
+
+
+def slots_ctes() -> list[str]:
+    return [
+        noise_cte(),
+        f"""slots_r AS (
+  SELECT idx,
+         CASE WHEN idx = 0 THEN 0
+              ELSE CAST((CAST(cdf_hi - weight AS HUGEINT) * {M}) // weight_total AS BIGINT) + 1 END AS slot_lo,
+         least(CAST((CAST(cdf_hi AS HUGEINT) * {M}) // weight_total AS BIGINT), {M - 1}) AS slot_hi
+  FROM noise
+)""",
+        """slot_rows AS (
+  SELECT CAST(unnest(range(slot_lo, slot_hi + 1)) AS INTEGER) AS slot, idx FROM slots_r WHERE slot_lo <= slot_hi
+)""",
+    ]
+
+
+def exact_negs_cte(k: int, epoch: int, name: str = "negs") -> list[str]:
+    u = sql_uniform("neg", Q.SEED, str(epoch), "p.gpos", "p.off", "t.k")
+    return [
+        f"""{name}_bins AS (
+  SELECT unnest(range(CAST((CAST(cdf_hi - weight AS HUGEINT) * {GBINS}) // weight_total AS BIGINT),
+                      CAST((CAST(cdf_hi - 1 AS HUGEINT) * {GBINS}) // weight_total AS BIGINT) + 1)) AS bin,
+         idx, cdf_hi - weight AS cdf_lo, cdf_hi
+  FROM noise WHERE weight > 0
+)""",
+        f"""{name}_draws AS (
+  SELECT p.gpos, p.off, p.center, CAST(t.k AS INTEGER) AS k,
+         CAST(floor({u} * n.weight_total) AS BIGINT) AS x, n.weight_total
+  FROM pairs p CROSS JOIN range({k}) t(k) CROSS JOIN (SELECT DISTINCT weight_total FROM noise) n
+)""",
+        f"""{name} AS (
+  SELECT d.gpos, d.off, d.center, d.k, b.idx AS neg
+  FROM {name}_draws d JOIN {name}_bins b
+    ON b.bin = CAST((CAST(d.x AS HUGEINT) * {GBINS}) // d.weight_total AS BIGINT) AND b.cdf_lo <= d.x AND d.x < b.cdf_hi
+)""",
+    ]
+
+
+def table_draws_cte(a0: int, a1: int, epoch: int = 1, name: str = "tdraws") -> str:
+    u = sql_uniform("negtable", Q.SEED, str(epoch), "p.gpos", "p.off", "t.a")
+    return f"""{name} AS (
+  SELECT d.gpos, d.off, d.center, d.context, d.a, s.idx AS neg
+  FROM (SELECT p.gpos, p.off, p.center, p.context, CAST(t.a AS INTEGER) AS a,
+               CAST(floor({u} * {M}) AS INTEGER) AS slot
+        FROM pairs p CROSS JOIN range({a0}, {a1}) t(a)) d
+  JOIN slot_rows s ON s.slot = d.slot
+)"""
+
+
+PER_NEG = "SELECT neg, CAST(count(*) AS BIGINT) AS n_draws, CAST(sum(gpos) AS BIGINT) AS sum_gpos FROM {src} GROUP BY neg"
+
+SQL["noise_slot_table"] = with_(tokens_cte(), vocab_cte(), *slots_ctes()) + """
+SELECT idx, CAST(slot_lo AS INTEGER) AS slot_lo, CAST(slot_hi AS INTEGER) AS slot_hi,
+       CAST(slot_hi - slot_lo + 1 AS INTEGER) AS n_slots
+FROM slots_r WHERE slot_lo <= slot_hi"""
+
+SQL["negatives_exact"] = with_(*STREAM, noise_cte(), *exact_negs_cte(Q.K_EXACT, 1)) + PER_NEG.format(src="negs")
+
+SQL["negatives_table"] = with_(*SENTENCE, *slots_ctes(), table_draws_cte(0, Q.K_TABLE)) + PER_NEG.format(src="tdraws")
+
+SQL["negatives_excluding"] = with_(*SENTENCE, *slots_ctes(), table_draws_cte(0, 6 * Q.K_TABLE)) + f"""
+, valid AS (
+  SELECT gpos, neg, row_number() OVER (PARTITION BY gpos, off ORDER BY a) AS rn
+  FROM tdraws WHERE neg <> center AND neg <> context
+)
+""" + PER_NEG.format(src=f"(SELECT * FROM valid WHERE rn <= {Q.K_TABLE}) v")
+
+
+def batches_cte(epochs: int = Q.EPOCHS_CHECK, name: str = "sb") -> str:
+    u = sql_uniform("shuffle", Q.SEED, "e.epoch", "p.gpos", "p.off")
+    return f"""{name} AS (
+  SELECT e.epoch, p.gpos, p.off, p.center, p.context,
+         CAST(row_number() OVER (PARTITION BY e.epoch ORDER BY {u}, p.gpos, p.off) - 1 AS BIGINT) AS rank
+  FROM pairs p CROSS JOIN (SELECT CAST(range + 1 AS INTEGER) AS epoch FROM range({epochs})) e
+),
+{name}_b AS (SELECT *, CAST(rank // {Q.BATCH} AS BIGINT) AS batch FROM {name})"""
+
+
+SQL["shuffled_batches"] = with_(*STREAM, batches_cte()) + """
+SELECT epoch, batch, CAST(count(*) AS BIGINT) AS n_pairs, CAST(sum(center) AS BIGINT) AS sum_center,
+       CAST(sum(context) AS BIGINT) AS sum_context
+FROM sb_b GROUP BY epoch, batch"""
+
+SQL["lr_relative"] = with_(*STREAM) + f"""
+, nb AS (SELECT CAST((count(*) + {Q.BATCH} - 1) // {Q.BATCH} AS BIGINT) AS nb FROM pairs),
+steps AS (
+  SELECT CAST(e.range + 1 AS INTEGER) AS epoch, CAST(b.range AS BIGINT) AS batch, nb.nb
+  FROM nb, range({Q.EPOCHS_CHECK}) e, range(nb.nb) b
+)
+SELECT epoch, batch, CAST((epoch - 1) * nb + batch + 1 AS BIGINT) AS step,
+       round(greatest({Q.LR0}::DOUBLE * (1.0::DOUBLE - CAST((epoch - 1) * nb + batch AS DOUBLE)
+                        / greatest(CAST({Q.EPOCHS_CHECK} * nb AS DOUBLE), 1.0::DOUBLE)),
+                      {Q.LR0 * 1e-4!r}::DOUBLE), 12) AS lr
+FROM steps"""
+
+SQL["lr_absolute"] = with_(*SENTENCE, batches_cte(1)) + f"""
+SELECT rank AS step,
+       round(greatest(0.0001::DOUBLE, {Q.LR0}::DOUBLE * (1.0::DOUBLE - CAST(rank AS DOUBLE)
+                      / CAST((SELECT count(*) FROM pairs) AS DOUBLE))), 12) AS lr
+FROM sb"""
+
+
+def params_cte(dim: int = Q.DIM_CHECK, context: str = "hashed") -> str:
+    uc = sql_uniform("init", Q.SEED, "idx", "i")
+    ux = sql_uniform("initctx", Q.SEED, "idx", "i")
+    ctx = f"list_transform(range({dim}), lambda i: ({ux} - 0.5::DOUBLE) / {float(dim)!r}::DOUBLE)"
+    if context == "zeros":
+        ctx = f"list_transform(range({dim}), lambda i: 0.0::DOUBLE)"
+    return f"""params AS (
+  SELECT 'center' AS matrix, idx, list_transform(range({dim}), lambda i: ({uc} - 0.5::DOUBLE) / {float(dim)!r}::DOUBLE) AS vec
+  FROM vocab
+  UNION ALL
+  SELECT 'context' AS matrix, idx, {ctx} AS vec FROM vocab
+)"""
+
+
+SQL["param_init"] = with_(tokens_cte(), vocab_cte(), params_cte(context="zeros")) + f"""
+SELECT matrix, idx, CAST(unnest(range({Q.DIM_CHECK})) AS INTEGER) AS dim, round(unnest(vec), 12) AS val FROM params"""
+
+
+def sig(x: str) -> str:
+    return f"(1.0::DOUBLE / (1.0::DOUBLE + exp(-greatest(-20.0::DOUBLE, least(20.0::DOUBLE, {x})))))"
+
+
+def scored_ctes(epoch: int = 1) -> list[str]:
+    return [
+        noise_cte(),
+        *exact_negs_cte(Q.K_EXACT, epoch),
+        params_cte(),
+        f"""pos AS (
+  SELECT p.gpos, p.off, p.center, p.context, c.vec AS v_c, x.vec AS u_o, list_dot_product(c.vec, x.vec) AS s_pos,
+         {sig('list_dot_product(c.vec, x.vec)')} AS sig_pos
+  FROM pairs p JOIN params c ON c.matrix = 'center' AND c.idx = p.center
+               JOIN params x ON x.matrix = 'context' AND x.idx = p.context
+)""",
+        f"""neg AS (
+  SELECT n.gpos, n.off, n.k, n.center, n.neg, c.vec AS v_c, x.vec AS u_k,
+         {sig('list_dot_product(c.vec, x.vec)')} AS sig_neg
+  FROM negs n JOIN params c ON c.matrix = 'center' AND c.idx = n.center
+              JOIN params x ON x.matrix = 'context' AND x.idx = n.neg
+)""",
+        """loss AS (
+  SELECT pos.gpos, pos.off, pos.center, pos.context,
+         -ln(pos.sig_pos + 1e-10::DOUBLE) + coalesce(nl.nl, 0.0::DOUBLE) AS loss
+  FROM pos LEFT JOIN (SELECT gpos, off, sum(-ln(1.0::DOUBLE - sig_neg + 1e-10::DOUBLE)) AS nl FROM neg GROUP BY gpos, off) nl
+    ON nl.gpos = pos.gpos AND nl.off = pos.off
+)""",
+    ]
+
+
+G = Q.GRAD_DIGITS
+
+SQL["sigmoid_forms"] = with_(*STREAM, *scored_ctes()) + f"""
+SELECT gpos, off, round(s_pos, {D}) AS s_pos, round({sig('s_pos')}, {D}) AS sig_clip,
+       round(CASE WHEN s_pos >= 0 THEN 1.0::DOUBLE / (1.0::DOUBLE + exp(-s_pos))
+                  ELSE exp(s_pos) / (1.0::DOUBLE + exp(s_pos)) END, {D}) AS sig_branch
+FROM pos"""
+
+SQL["pair_loss"] = with_(*STREAM, *scored_ctes()) + f"""
+SELECT gpos, off, center, context, round(loss, {G}) AS loss FROM loss"""
+
+
+def epoch_losses_sql(epochs: int) -> str:
+    parts = []
+    for e in range(1, epochs + 1):
+        ctes = scored_ctes(e)
+        parts.append("(" + with_(*ctes).replace("WITH ", "WITH ", 1) + f"SELECT {e} AS epoch, gpos, off, loss FROM loss)")
+    return " UNION ALL ".join(parts)
+
+
+def batch_loss_sql(epochs: int) -> str:
+    return with_(*STREAM, batches_cte(epochs)) + f"""
+, el AS ({epoch_losses_sql(epochs)}),
+bl AS (
+  SELECT b.epoch, b.batch, CAST(count(*) AS BIGINT) AS n_pairs, avg(el.loss) AS mean_loss
+  FROM sb_b b JOIN el ON el.epoch = b.epoch AND el.gpos = b.gpos AND el.off = b.off
+  GROUP BY b.epoch, b.batch
+)
+"""
+
+
+SQL["batch_loss"] = batch_loss_sql(1) + f"SELECT epoch, batch, n_pairs, round(mean_loss, {G}) AS mean_loss FROM bl"
+
+SQL["loss_history"] = batch_loss_sql(Q.EPOCHS_CHECK) + f"""
+, nb AS (SELECT CAST((count(*) + {Q.BATCH} - 1) // {Q.BATCH} AS BIGINT) AS nb FROM pairs)
+SELECT epoch, CAST(floor(((epoch - 1) * nb + batch) / {Q.LOG_EVERY}) AS BIGINT) AS window_no,
+       CAST(sum(n_pairs) AS BIGINT) AS n_pairs, round(sum(mean_loss * n_pairs) / sum(n_pairs), {G}) AS avg_loss
+FROM bl, nb GROUP BY 1, 2"""
+
+SQL["epoch_loss"] = with_(*STREAM) + f"""
+, el AS ({epoch_losses_sql(Q.EPOCHS_CHECK)})
+SELECT epoch, CAST(count(*) AS BIGINT) AS n_pairs, round(avg(loss), {G}) AS mean_loss FROM el GROUP BY epoch"""
+
+GRAD_CTES = [
+    """grows AS (
+  SELECT 'center' AS matrix, center AS idx, list_transform(u_o, lambda x: x * (-(1.0::DOUBLE - sig_pos))) AS g FROM pos
+  UNION ALL SELECT 'context', context, list_transform(v_c, lambda x: x * (-(1.0::DOUBLE - sig_pos))) FROM pos
+  UNION ALL SELECT 'center', center, list_transform(u_k, lambda x: x * sig_neg) FROM neg
+  UNION ALL SELECT 'context', neg, list_transform(v_c, lambda x: x * sig_neg) FROM neg
+)""",
+    f"""gsum AS (
+  SELECT matrix, idx, dim, sum(g) AS g FROM (
+    SELECT matrix, idx, CAST(unnest(range({Q.DIM_CHECK})) AS INTEGER) AS dim, unnest(g) AS g FROM grows) x
+  GROUP BY matrix, idx, dim
+)""",
+]
+
+SQL["gradients"] = with_(*STREAM, *scored_ctes(), *GRAD_CTES) + f"""
+SELECT matrix, idx, dim, round(g, {G}) AS g FROM gsum"""
+
+SQL["sync_step"] = with_(*STREAM, *scored_ctes(), *GRAD_CTES) + f"""
+, plong AS (SELECT matrix, idx, CAST(unnest(range({Q.DIM_CHECK})) AS INTEGER) AS dim, unnest(vec) AS val FROM params)
+SELECT p.matrix, p.idx, p.dim, round(CASE WHEN g.g IS NULL THEN p.val ELSE p.val - {Q.LR0}::DOUBLE * g.g END, {G}) AS val
+FROM plong p LEFT JOIN gsum g ON g.matrix = p.matrix AND g.idx = p.idx AND g.dim = p.dim"""
