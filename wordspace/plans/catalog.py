@@ -350,6 +350,186 @@ def q_sync_step(spark, sf_dir):
     return ST.explode_params(new_params, GRAD_DIGITS)
 
 
+# --- embeddings table: I / E2 / E6 / E7 / R7 / T8 ----------------------------
+
+TOP_K = 10
+
+
+def emb_vectors(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"), "label")
+
+
+def emb_probes(spark, sf_dir):
+    """One probe per label: its smallest vec_id."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.groupBy("label").agg(F.min("vec_id").alias("id")).select(F.col("id").alias("query_id"), "id")
+
+
+def emb_words(spark, sf_dir):
+    return emb_vectors(spark, sf_dir).select("id", F.concat(F.lit("v"), F.col("id").cast("string")).alias("word"))
+
+
+def emb_probe_words(spark, sf_dir):
+    """Found probes (``v<min id>`` per label) and missing ones
+    (``v<max id + 1 + label>``), all derived from the table."""
+    e = table(spark, sf_dir, "embeddings")
+    mx = e.agg(F.max("vec_id").alias("mx"))
+    per = e.groupBy("label").agg(F.min("vec_id").alias("mn")).join(F.broadcast(mx), how="cross")
+    found = per.select(F.concat(F.lit("v"), F.col("mn").cast("string")).alias("query"))
+    missing = per.select(F.concat(F.lit("v"), (F.col("mx") + 1 + F.col("label")).cast("string")).alias("query"))
+    return found.unionByName(missing)
+
+
+def q_embedding_lookup(spark, sf_dir):
+    from ..operators import similarity as S
+
+    hit = S.lookup(emb_vectors(spark, sf_dir), emb_probes(spark, sf_dir))
+    return hit.select(F.col("id").alias("vec_id"), "label", F.posexplode("vec").alias("dim", "val")).withColumn(
+        "val", r("val")
+    )
+
+
+def q_embedding_table(spark, sf_dir):
+    v = emb_vectors(spark, sf_dir)
+    return v.select(F.col("id").alias("vec_id"), F.posexplode("vec").alias("dim", "val")).withColumn("val", r("val"))
+
+
+def q_embedding_norms(spark, sf_dir):
+    from ..operators import similarity as S
+
+    return S.norms(emb_vectors(spark, sf_dir)).select(F.col("id").alias("vec_id"), r("norm").alias("norm"))
+
+
+def q_cosine_all(spark, sf_dir):
+    from ..operators import similarity as S
+
+    sc = S.cosine_scores(emb_vectors(spark, sf_dir), emb_probes(spark, sf_dir))
+    return sc.select("query_id", F.col("id").alias("vec_id"), r("similarity").alias("similarity"))
+
+
+def q_most_similar(spark, sf_dir):
+    from ..operators import similarity as S
+
+    top = S.most_similar(emb_vectors(spark, sf_dir), emb_probes(spark, sf_dir), TOP_K)
+    return top.select("query_id", "rank", F.col("id").alias("vec_id"), r("similarity").alias("similarity"))
+
+
+def q_probe_eval(spark, sf_dir):
+    from ..operators import similarity as S
+
+    lines, _ = S.neighbour_lines(emb_vectors(spark, sf_dir), emb_words(spark, sf_dir), emb_probe_words(spark, sf_dir), 8)
+    return lines
+
+
+def q_probe_missing(spark, sf_dir):
+    from ..operators import similarity as S
+
+    _, missing = S.probe_words(emb_probe_words(spark, sf_dir), emb_words(spark, sf_dir))
+    return missing
+
+
+# --- D1-D3 ----------------------------------------------------------------
+
+
+def q_pmi(spark, sf_dir):
+    pc = P.pair_counts(stream_pairs(spark, sf_dir))
+    na = pc.groupBy("center").agg(F.sum("n").alias("n_a"))
+    nb = pc.groupBy("context").agg(F.sum("n").alias("n_b"))
+    tot = pc.agg(F.sum("n").alias("n_total"))
+    j = pc.join(na, "center").join(nb, "context").join(F.broadcast(tot), how="cross")
+    pmi = F.log((F.col("n").cast("double") * F.col("n_total").cast("double")) / (F.col("n_a").cast("double") * F.col("n_b").cast("double")))
+    import math
+
+    return j.select(
+        "center", "context", "n", r(pmi).alias("pmi"), r(pmi - F.lit(math.log(K_EXACT))).alias("spmi")
+    )
+
+
+def q_avg_embedding(spark, sf_dir):
+    p = ST.init_params(doc_vocab(spark, sf_dir), DIM_CHECK, SEED, context="hashed")
+    c = p.filter("matrix = 'center'").select("idx", F.col("vec").alias("a"))
+    x = p.filter("matrix = 'context'").select("idx", F.col("vec").alias("b"))
+    avg = c.join(x, "idx").select("idx", F.zip_with("a", "b", lambda u, v: (u + v) / 2.0).alias("vec"))
+    return avg.select("idx", F.posexplode("vec").alias("dim", "val")).withColumn("val", r("val", 12))
+
+
+def q_epoch_redraw(spark, sf_dir):
+    toks = doc_tokens(spark, sf_dir)
+    vocab = V.keep_probability(V.build_vocab(toks, MIN_COUNT), T_PLAIN, "plain")
+    enc = E.encode(toks, vocab, carry=("keep_prob",))
+    out = None
+    for e in range(1, EPOCHS_CHECK + 1):
+        kept = E.subsample(enc, SEED, epoch=e)
+        dense = E.dense_positions(kept)
+        pairs = P.window_pairs(dense, WINDOW, SEED, sentence=False, epoch=e)
+        row = dense.agg(F.count(F.lit(1)).alias("n_kept")).join(
+            pairs.agg(F.count(F.lit(1)).alias("n_pairs")), how="cross"
+        ).select(F.lit(e).alias("epoch"), "n_kept", "n_pairs")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+# --- M14 / M15 / S5-S8 (rows-only checks) -----------------------------------
+
+
+def small_config():
+    from .trainer import variant_stream
+
+    return variant_stream(dim=16, epochs=1, negatives=5, rounds_per_epoch=1, log_every=200)
+
+
+def fitted(spark, sf_dir):
+    from .trainer import fit
+
+    k = (id(spark), sf_dir.rstrip("/"), "model")
+    if k not in _PINNED:
+        _PINNED[k] = fit(doc_tokens(spark, sf_dir), small_config())
+    return _PINNED[k]
+
+
+def q_train_rounds(spark, sf_dir):
+    return fitted(spark, sf_dir).history
+
+
+def q_fit_neighbours(spark, sf_dir):
+    from ..operators import similarity as S
+
+    m = fitted(spark, sf_dir)
+    words = m.vocab.select(F.col("idx").cast("long").alias("id"), "word")
+    vecs = m.embeddings().select(F.col("idx").cast("long").alias("id"), "vec")
+    probes = spark.createDataFrame([(w,) for w in PROBES], "query string")
+    lines, _ = S.neighbour_lines(vecs, words, probes, 8)
+    return lines
+
+
+# fixed values: probe words (frequent words of the driver corpus plus one that is absent)
+PROBES = ["the", "of", "ci", "de", "and", "king"]
+
+
+def q_model_roundtrip(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources import model_io as IO
+
+    m = fitted(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    IO.save_model(m, path)
+    back = IO.load_model(spark, path)
+    return back.params.groupBy("matrix").agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.size("vec")).alias("dim")
+    ).withColumn("vocab_size", F.lit(back.meta["vocab_size"]))
+
+
+def q_export_embeddings(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources import model_io as IO
+
+    m = fitted(spark, sf_dir)
+    path = scratch_path(spark, "embeddings")
+    IO.export_embeddings(m, path)
+    return IO.load_embeddings(spark, path).select("idx", "word", F.size("vec").alias("dim"))
+
+
 QUERIES = {
     "corpus_stats": q_corpus_stats,
     "tokens_positions": q_tokens_positions,
@@ -385,8 +565,22 @@ QUERIES = {
     "epoch_loss": q_epoch_loss,
     "gradients": q_gradients,
     "sync_step": q_sync_step,
+    "embedding_lookup": q_embedding_lookup,
+    "embedding_table": q_embedding_table,
+    "embedding_norms": q_embedding_norms,
+    "cosine_all": q_cosine_all,
+    "most_similar": q_most_similar,
+    "probe_eval": q_probe_eval,
+    "probe_missing": q_probe_missing,
+    "pmi": q_pmi,
+    "avg_embedding": q_avg_embedding,
+    "epoch_redraw": q_epoch_redraw,
+    "train_rounds": q_train_rounds,
+    "fit_neighbours": q_fit_neighbours,
+    "model_roundtrip": q_model_roundtrip,
+    "export_embeddings": q_export_embeddings,
 }
 
 
 def flagship(spark, sf_dir):
-    return q_vocab_ranked(spark, sf_dir)
+    return q_fit_neighbours(spark, sf_dir)

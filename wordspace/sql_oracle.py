@@ -402,3 +402,98 @@ SQL["sync_step"] = with_(*STREAM, *scored_ctes(), *GRAD_CTES) + f"""
 , plong AS (SELECT matrix, idx, CAST(unnest(range({Q.DIM_CHECK})) AS INTEGER) AS dim, unnest(vec) AS val FROM params)
 SELECT p.matrix, p.idx, p.dim, round(CASE WHEN g.g IS NULL THEN p.val ELSE p.val - {Q.LR0}::DOUBLE * g.g END, {G}) AS val
 FROM plong p LEFT JOIN gsum g ON g.matrix = p.matrix AND g.idx = p.idx AND g.dim = p.dim"""
+
+
+# --- embeddings table ------------------------------------------------------
+
+EMB = """emb AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS vec, label FROM embeddings),
+probes AS (SELECT min(vec_id) AS query_id FROM embeddings GROUP BY label),
+unit AS (SELECT vec_id, list_transform(vec, lambda x: x / (sqrt(list_sum(list_transform(vec, lambda y: y * y))) + 1e-10::DOUBLE)) AS vec
+         FROM emb),
+cos AS (
+  SELECT p.query_id, u.vec_id, list_dot_product(u.vec, q.vec) AS similarity
+  FROM probes p JOIN unit q ON q.vec_id = p.query_id CROSS JOIN unit u
+),
+top AS (
+  SELECT * FROM (
+    SELECT query_id, vec_id, similarity,
+           CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS INTEGER) AS rank
+    FROM cos WHERE vec_id <> query_id) x
+)"""
+
+SQL["embedding_lookup"] = f"""WITH {EMB}
+SELECT e.vec_id, e.label, CAST(unnest(range(len(e.vec))) AS INTEGER) AS dim, round(unnest(e.vec), {D}) AS val
+FROM emb e WHERE e.vec_id IN (SELECT query_id FROM probes)"""
+
+SQL["embedding_table"] = f"""WITH {EMB}
+SELECT vec_id, CAST(unnest(range(len(vec))) AS INTEGER) AS dim, round(unnest(vec), {D}) AS val FROM emb"""
+
+SQL["embedding_norms"] = f"""WITH {EMB}
+SELECT vec_id, round(sqrt(list_sum(list_transform(vec, lambda y: y * y))), {D}) AS norm FROM emb"""
+
+SQL["cosine_all"] = f"""WITH {EMB}
+SELECT query_id, vec_id, round(similarity, {D}) AS similarity FROM cos"""
+
+SQL["most_similar"] = f"""WITH {EMB}
+SELECT query_id, rank, vec_id, round(similarity, {D}) AS similarity FROM top WHERE rank <= {Q.TOP_K}"""
+
+PROBE_WORDS = """pw AS (
+  SELECT 'v' || CAST(min(vec_id) AS VARCHAR) AS query FROM embeddings GROUP BY label
+  UNION ALL
+  SELECT 'v' || CAST((SELECT max(vec_id) FROM embeddings) + 1 + label AS VARCHAR) FROM embeddings GROUP BY label
+),
+words AS (SELECT vec_id, 'v' || CAST(vec_id AS VARCHAR) AS word FROM embeddings)"""
+
+SQL["probe_eval"] = f"""WITH {EMB}, {PROBE_WORDS},
+found AS (SELECT w.vec_id AS qid, pw.query FROM pw JOIN words w ON w.word = pw.query),
+fcos AS (
+  SELECT f.query, u.vec_id, list_dot_product(u.vec, q.vec) AS similarity
+  FROM found f JOIN unit q ON q.vec_id = f.qid CROSS JOIN unit u WHERE u.vec_id <> f.qid
+),
+ftop AS (
+  SELECT * FROM (SELECT query, vec_id, similarity,
+                        row_number() OVER (PARTITION BY query ORDER BY similarity DESC, vec_id) AS rank FROM fcos) x
+  WHERE rank <= 8
+)
+SELECT t.query, string_agg(printf('%s (%.3f)', w.word, t.similarity), ', ' ORDER BY t.rank) AS neighbours
+FROM ftop t JOIN words w ON w.vec_id = t.vec_id GROUP BY t.query"""
+
+SQL["probe_missing"] = f"""WITH {PROBE_WORDS}
+SELECT query FROM pw WHERE query NOT IN (SELECT word FROM words)"""
+
+SQL["pmi"] = with_(*STREAM) + f"""
+, pc AS (SELECT center, context, CAST(count(*) AS BIGINT) AS n FROM pairs GROUP BY center, context),
+na AS (SELECT center, sum(n) AS n_a FROM pc GROUP BY center),
+nb AS (SELECT context, sum(n) AS n_b FROM pc GROUP BY context),
+tot AS (SELECT sum(n) AS n_total FROM pc),
+j AS (
+  SELECT pc.center, pc.context, pc.n,
+         ln((CAST(pc.n AS DOUBLE) * CAST(tot.n_total AS DOUBLE)) / (CAST(na.n_a AS DOUBLE) * CAST(nb.n_b AS DOUBLE))) AS pmi
+  FROM pc JOIN na ON na.center = pc.center JOIN nb ON nb.context = pc.context CROSS JOIN tot
+)
+SELECT center, context, n, round(pmi, {D}) AS pmi, round(pmi - ln({Q.K_EXACT}::DOUBLE), {D}) AS spmi FROM j"""
+
+SQL["avg_embedding"] = with_(tokens_cte(), vocab_cte(), params_cte()) + f"""
+, av AS (
+  SELECT c.idx, list_transform(list_zip(c.vec, x.vec), lambda t: (t[1] + t[2]) / 2.0::DOUBLE) AS vec
+  FROM params c JOIN params x ON c.idx = x.idx AND c.matrix = 'center' AND x.matrix = 'context'
+)
+SELECT idx, CAST(unnest(range({Q.DIM_CHECK})) AS INTEGER) AS dim, round(unnest(vec), 12) AS val FROM av"""
+
+
+def redraw_sql(epochs: int) -> str:
+    parts = []
+    for e in range(1, epochs + 1):
+        u_keep = sql_uniform("subsample", Q.SEED, str(e), "doc_id", "pos")
+        u_win = sql_uniform("window", Q.SEED, str(e), "doc_id", "pos")
+        parts.append(f"""SELECT {e} AS epoch, (SELECT CAST(count(*) AS BIGINT) FROM dense{e}) AS n_kept,
+       (SELECT CAST(count(*) AS BIGINT) FROM dense{e} c JOIN dense{e} x
+          ON x.gpos >= c.gpos - c.r AND x.gpos <= c.gpos + c.r AND x.gpos <> c.gpos) AS n_pairs""")
+        parts[-1] = (f"dense{e} AS (SELECT doc_id, pos, CAST(row_number() OVER (ORDER BY doc_id, pos) - 1 AS BIGINT) AS gpos, "
+                     f"CAST(1 + floor({u_win} * {Q.WINDOW}) AS INTEGER) AS r FROM enc WHERE {u_keep} < keep_prob)", parts[-1])
+    ctes = [p[0] for p in parts]
+    sels = [p[1] for p in parts]
+    return with_(tokens_cte(), *kept_ctes(Q.T_PLAIN, "plain")[:4], *ctes) + " UNION ALL ".join(sels)
+
+
+SQL["epoch_redraw"] = redraw_sql(Q.EPOCHS_CHECK)
