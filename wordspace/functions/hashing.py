@@ -30,9 +30,13 @@ def hash_key(salt: str, seed: int, *keys) -> Column:
 
 
 def uniform(salt: str, seed: int, *keys) -> Column:
-    """Uniform double in [0, 1) from md5(salt|seed|k1|k2...)."""
+    """Uniform double in [0, 1) from md5(salt|seed|k1|k2...).
+
+    Declared non-nullable (the keys never are): otherwise Catalyst infers
+    ``isnotnull`` filters from joins on derived keys and evaluates the md5
+    once more per inferred filter."""
     hexpart = F.substring(F.md5(hash_key(salt, seed, *keys)), 1, HEX_DIGITS)
-    return F.conv(hexpart, 16, 10).cast("bigint") / F.lit(TWO_POW_32)
+    return F.coalesce(F.conv(hexpart, 16, 10).cast("bigint") / F.lit(TWO_POW_32), F.lit(0.0))
 
 
 def uniform_int(salt: str, seed: int, n, *keys) -> Column:

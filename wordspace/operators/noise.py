@@ -20,12 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform
+from ..session import spread
 from .encode import join_lookup
 
 # fixed value: slot-table size of the sentence variant
 TABLE_SIZE = 1_000_000
 # exclusion rounds before giving up (only reachable with a degenerate table)
-MAX_REFILL_ROUNDS = 64
+MAX_REFILL_ROUNDS = 16
 
 PAIR_KEY = ("gpos", "off")
 
@@ -49,6 +50,7 @@ def draw_exact(
     bins: int | None = None,
     key=PAIR_KEY,
     carry: tuple[str, ...] = (),
+    spread_input: bool = True,
 ) -> DataFrame:
     """N2 + N6 + E8: ``k`` independent draws per pair, long form
     ``(*key, *carry, k, neg)``; the center and context may be drawn
@@ -57,7 +59,9 @@ def draw_exact(
         bins = 1 << 16
     table = cdf_bins(noise, bins)
     total = noise.select("weight_total").limit(1)
-    draws = pairs.select(*key, *carry).join(F.broadcast(total), how="cross").select(
+    src = pairs.select(*key, *carry)
+    src = spread(src, *key) if spread_input else src
+    draws = src.join(F.broadcast(total), how="cross").select(
         *key, *carry, "weight_total", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("k")
     )
     u = uniform("neg", seed, F.lit(epoch), *key, "k")
@@ -98,10 +102,15 @@ def draw_from_table(
     table_size: int = TABLE_SIZE,
     key=PAIR_KEY,
     carry: tuple[str, ...] = (),
+    spread_input: bool = True,
 ) -> DataFrame:
     """Draws ``a in [attempts_from, attempts_to)`` per pair from the slot
     table: ``(*key, *carry, a, neg)``."""
-    draws = pairs.select(*key, *carry, F.explode(F.sequence(F.lit(attempts_from), F.lit(attempts_to - 1))).alias("a"))
+    src = pairs.select(*key, *carry)
+    src = spread(src, *key) if spread_input else src
+    draws = src.select(
+        *key, *carry, F.explode(F.sequence(F.lit(attempts_from), F.lit(attempts_to - 1))).alias("a")
+    )
     u = uniform("negtable", seed, F.lit(epoch), *key, "a")
     draws = draws.withColumn("slot", F.floor(u * table_size).cast("int"))
     hit = join_lookup(draws, slots, ["slot"])
@@ -125,6 +134,8 @@ def draw_excluding(
 
     Output ``(*key, k, neg)`` with ``k`` renumbered 0..k-1.
     """
+    if slots.select("idx").distinct().limit(3).count() <= 2:
+        raise RuntimeError("noise table has at most two words: cannot exclude center and context")
     base = pairs.select(*key, "center", "context")
     step = oversample * k
     collected = None

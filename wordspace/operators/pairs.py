@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform
 
-CHUNK = 1 << 18
+# positions per chunk: the halo costs 2W/CHUNK extra rows; the number of
+# tasks is set by the shuffle partitions, not by the chunk count
+CHUNK = 1 << 14
 
 
 def with_radius(kept: DataFrame, window: int = 5, seed: int = 42, epoch: int | None = None) -> DataFrame:
