@@ -1,0 +1 @@
+"""wordspace.operators."""

@@ -1,0 +1 @@
+"""wordspace.sources."""

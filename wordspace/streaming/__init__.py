@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The reference loads its whole corpus before any work starts and has no
+watermarks, windows over time, state or late data, so nothing here is
+re-expressed with Structured Streaming. Batch training already works on any
+DataFrame, including one produced by a ``foreachBatch`` sink.
+"""
