@@ -31,13 +31,21 @@ MAX_REFILL_ROUNDS = 16
 PAIR_KEY = ("gpos", "off")
 
 
+def bin_of(x, total, bins: int):
+    """Bin of an integer mass position: ``floor(x * bins / total)`` in double
+    arithmetic. Any non-decreasing function works (a word is listed in the
+    bins of its first and last position and all between, so the bin of any
+    position inside it lists it); doubles keep it cheap and identical in SQL."""
+    return F.floor(F.col(x).cast("double") * F.lit(float(bins)) / F.col(total).cast("double")).cast("long")
+
+
 def cdf_bins(noise: DataFrame, bins: int) -> DataFrame:
-    """Each word listed once per integer-mass bin it overlaps: ``bin, idx,
-    cdf_lo, cdf_hi`` (at most V + bins rows)."""
-    lo_bin = F.expr(f"CAST(cdf_lo AS DECIMAL(38,0)) * {bins} div weight_total")
-    hi_bin = F.expr(f"CAST(cdf_hi - 1 AS DECIMAL(38,0)) * {bins} div weight_total")
-    return noise.filter(F.col("weight") > 0).select(
-        F.explode(F.sequence(lo_bin, hi_bin)).alias("bin"), "idx", "cdf_lo", "cdf_hi", "weight_total"
+    """Each word listed once per mass bin it overlaps: ``bin, idx, cdf_lo,
+    cdf_hi`` (at most V + bins rows)."""
+    w = noise.filter(F.col("weight") > 0).withColumn("_last", F.col("cdf_hi") - 1)
+    return w.select(
+        F.explode(F.sequence(bin_of("cdf_lo", "weight_total", bins), bin_of("_last", "weight_total", bins))).alias("bin"),
+        "idx", "cdf_lo", "cdf_hi", "weight_total",
     )
 
 
@@ -66,7 +74,7 @@ def draw_exact(
     )
     u = uniform("neg", seed, F.lit(epoch), *key, "k")
     draws = draws.withColumn("_x", F.floor(u * F.col("weight_total")).cast("long"))
-    draws = draws.withColumn("_bin", F.expr(f"CAST(_x AS DECIMAL(38,0)) * {bins} div weight_total"))
+    draws = draws.withColumn("_bin", bin_of("_x", "weight_total", bins))
     hit = join_lookup(draws, table.withColumnRenamed("bin", "_bin").drop("weight_total"), ["_bin"])
     hit = hit.filter((F.col("cdf_lo") <= F.col("_x")) & (F.col("_x") < F.col("cdf_hi")))
     return hit.select(*key, *carry, "k", F.col("idx").alias("neg"))

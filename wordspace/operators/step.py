@@ -28,16 +28,20 @@ def init_params(vocab: DataFrame, dim: int, seed: int = 42, context: str = "zero
     """M1: center rows U(-0.5/d, 0.5/d) from hashed uniforms keyed by
     (idx, dim); context rows zero (``context='hashed'`` gives non-zero rows
     from another salt, for tests that need sigma != 0.5)."""
-    dims = F.sequence(F.lit(0), F.lit(dim - 1))
+    # one expression per dimension: inside a lambda the hash would run
+    # interpreted, outside whole-stage codegen
+    def hashed(salt):
+        return F.array(*[(uniform(salt, seed, "idx", F.lit(i)) - F.lit(0.5)) / F.lit(float(dim)) for i in range(dim)])
+
     center = vocab.select(
         F.lit("center").alias("matrix"),
         F.col("idx").cast("int").alias("idx"),
-        F.transform(dims, lambda i: (uniform("init", seed, "idx", i) - F.lit(0.5)) / F.lit(float(dim))).alias("vec"),
+        hashed("init").alias("vec"),
     )
     if context == "zeros":
         ctx_vec = F.array_repeat(F.lit(0.0), dim)
     elif context == "hashed":
-        ctx_vec = F.transform(dims, lambda i: (uniform("initctx", seed, "idx", i) - F.lit(0.5)) / F.lit(float(dim)))
+        ctx_vec = hashed("initctx")
     else:
         raise ValueError(context)
     ctx = vocab.select(F.lit("context").alias("matrix"), F.col("idx").cast("int").alias("idx"), ctx_vec.alias("vec"))

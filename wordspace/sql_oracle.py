@@ -204,12 +204,15 @@ def slots_ctes() -> list[str]:
     ]
 
 
+def sql_bin(x: str, total: str) -> str:
+    return f"CAST(floor(CAST({x} AS DOUBLE) * {float(GBINS)!r}::DOUBLE / CAST({total} AS DOUBLE)) AS BIGINT)"
+
+
 def exact_negs_cte(k: int, epoch: int, name: str = "negs") -> list[str]:
     u = sql_uniform("neg", Q.SEED, str(epoch), "p.gpos", "p.off", "t.k")
     return [
         f"""{name}_bins AS (
-  SELECT unnest(range(CAST((CAST(cdf_hi - weight AS HUGEINT) * {GBINS}) // weight_total AS BIGINT),
-                      CAST((CAST(cdf_hi - 1 AS HUGEINT) * {GBINS}) // weight_total AS BIGINT) + 1)) AS bin,
+  SELECT unnest(range({sql_bin("cdf_hi - weight", "weight_total")}, {sql_bin("cdf_hi - 1", "weight_total")} + 1)) AS bin,
          idx, cdf_hi - weight AS cdf_lo, cdf_hi
   FROM noise WHERE weight > 0
 )""",
@@ -221,7 +224,7 @@ def exact_negs_cte(k: int, epoch: int, name: str = "negs") -> list[str]:
         f"""{name} AS (
   SELECT d.gpos, d.off, d.center, d.k, b.idx AS neg
   FROM {name}_draws d JOIN {name}_bins b
-    ON b.bin = CAST((CAST(d.x AS HUGEINT) * {GBINS}) // d.weight_total AS BIGINT) AND b.cdf_lo <= d.x AND d.x < b.cdf_hi
+    ON b.bin = {sql_bin("d.x", "d.weight_total")} AND b.cdf_lo <= d.x AND d.x < b.cdf_hi
 )""",
     ]
 
