@@ -73,8 +73,9 @@ def draw_exact(
         *key, *carry, "weight_total", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("k")
     )
     u = uniform("neg", seed, F.lit(epoch), *key, "k")
-    draws = draws.withColumn("_x", F.floor(u * F.col("weight_total")).cast("long"))
-    draws = draws.withColumn("_bin", bin_of("_x", "weight_total", bins))
+    # non-nullable keys: otherwise inferred isnotnull filters re-evaluate md5
+    draws = draws.withColumn("_x", F.coalesce(F.floor(u * F.col("weight_total")).cast("long"), F.lit(-1).cast("long")))
+    draws = draws.withColumn("_bin", F.coalesce(bin_of("_x", "weight_total", bins), F.lit(-1).cast("long")))
     hit = join_lookup(draws, table.withColumnRenamed("bin", "_bin").drop("weight_total"), ["_bin"])
     hit = hit.filter((F.col("cdf_lo") <= F.col("_x")) & (F.col("_x") < F.col("cdf_hi")))
     return hit.select(*key, *carry, "k", F.col("idx").alias("neg"))
@@ -120,7 +121,7 @@ def draw_from_table(
         *key, *carry, F.explode(F.sequence(F.lit(attempts_from), F.lit(attempts_to - 1))).alias("a")
     )
     u = uniform("negtable", seed, F.lit(epoch), *key, "a")
-    draws = draws.withColumn("slot", F.floor(u * table_size).cast("int"))
+    draws = draws.withColumn("slot", F.coalesce(F.floor(u * table_size).cast("int"), F.lit(-1)))
     hit = join_lookup(draws, slots, ["slot"])
     return hit.select(*key, *carry, "a", F.col("idx").alias("neg"))
 

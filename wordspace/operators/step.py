@@ -99,33 +99,49 @@ def gradient_rows(pos: DataFrame, neg: DataFrame) -> DataFrame:
     return out
 
 
-def scatter_sum(rows: DataFrame, vec_col: str = "g", by=("matrix", "idx")) -> DataFrame:
-    """Element-wise vector sum per row index; partial aggregation on the
-    map side, so a hot index costs one buffer per task, not one row per use."""
-    agg = rows.groupBy(*by).agg(Summarizer.sum(array_to_vector(F.col(vec_col))).alias("_s"))
-    return agg.select(*by, vector_to_array("_s").alias(vec_col))
-
-
-def gradients(pos: DataFrame, neg: DataFrame) -> DataFrame:
-    return scatter_sum(gradient_rows(pos, neg))
-
-
-def apply_update(params: DataFrame, grads: DataFrame, lr) -> DataFrame:
-    """``W[i] -= lr * sum g`` for touched rows; others unchanged."""
+def scatter_sum(rows: DataFrame, vec_col: str = "g", by=("matrix", "idx"), dim: int | None = None, mean: bool = False) -> DataFrame:
+    """Element-wise vector sum (or mean) per row index.
+
+    With ``dim`` known this is one ``sum`` per dimension: fixed-width buffers,
+    so a codegen'd hash aggregate with map-side partial sums (a hot index
+    costs one buffer per task, not one row per use). Without it, the vector
+    ``Summarizer`` is used."""
+    if dim is None:
+        fn = Summarizer.mean if mean else Summarizer.sum
+        agg = rows.groupBy(*by).agg(fn(array_to_vector(F.col(vec_col))).alias("_s"))
+        return agg.select(*by, vector_to_array("_s").alias(vec_col))
+    sums = [F.sum(F.col(vec_col)[i]).alias(f"_s{i}") for i in range(dim)]
+    agg = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *sums)
+    scale = (F.lit(1.0) / F.col("_n")) if mean else F.lit(1.0)
+    vec = F.array(*[F.col(f"_s{i}") * scale if mean else F.col(f"_s{i}") for i in range(dim)])
+    return agg.select(*by, vec.alias(vec_col))
+
+
+def gradients(pos: DataFrame, neg: DataFrame, dim: int | None = None) -> DataFrame:
+    return scatter_sum(gradient_rows(pos, neg), dim=dim)
+
+
+def apply_update(params: DataFrame, grads: DataFrame, lr, dim: int | None = None) -> DataFrame:
+    """``W[i] -= lr * sum g`` for touched rows; others unchanged.
+    With ``dim`` known the update is unrolled per dimension (codegen'd)."""
     lr_col = lr if not isinstance(lr, (int, float)) else F.lit(float(lr))
     j = params.join(grads, ["matrix", "idx"], "left")
-    new_vec = F.when(F.col("g").isNull(), F.col("vec")).otherwise(
-        F.zip_with("vec", "g", lambda w, g: w - lr_col * g)
-    )
+    if dim is None:
+        upd = F.zip_with("vec", "g", lambda w, g: w - lr_col * g)
+    else:
+        upd = F.array(*[F.col("vec")[i] - lr_col * F.col("g")[i] for i in range(dim)])
+    new_vec = F.when(F.col("g").isNull(), F.col("vec")).otherwise(upd)
     return j.select("matrix", "idx", new_vec.alias("vec"))
 
 
-def sync_step(pairs: DataFrame, negs: DataFrame, params: DataFrame, lr: float, form: str = "clip", key=PAIR_KEY):
+def sync_step(
+    pairs: DataFrame, negs: DataFrame, params: DataFrame, lr: float, form: str = "clip", key=PAIR_KEY, dim: int | None = None
+):
     """One synchronous step on the whole ``pairs`` batch. Returns
     ``(new_params, mean_loss_df)``."""
     pos, neg = scored(pairs, negs, params, form, key)
     loss = pair_loss(pos, neg, key).agg(F.avg("loss").alias("mean_loss"), F.count(F.lit(1)).alias("n_pairs"))
-    return apply_update(params, gradients(pos, neg), lr), loss
+    return apply_update(params, gradients(pos, neg, dim), lr, dim), loss
 
 
 def explode_params(params: DataFrame, digits: int | None = None) -> DataFrame:

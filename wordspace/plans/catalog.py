@@ -339,14 +339,14 @@ def q_epoch_loss(spark, sf_dir):
 def q_gradients(spark, sf_dir):
     pairs, negs, params = check_model(spark, sf_dir)
     pos, neg = ST.scored(pairs, negs, params)
-    g = ST.gradients(pos, neg)
+    g = ST.gradients(pos, neg, DIM_CHECK)
     out = g.select("matrix", "idx", F.posexplode("g").alias("dim", "g"))
     return out.withColumn("g", r("g", GRAD_DIGITS))
 
 
 def q_sync_step(spark, sf_dir):
     pairs, negs, params = check_model(spark, sf_dir)
-    new_params, _ = ST.sync_step(pairs, negs, params, LR0)
+    new_params, _ = ST.sync_step(pairs, negs, params, LR0, dim=DIM_CHECK)
     return ST.explode_params(new_params, GRAD_DIGITS)
 
 
