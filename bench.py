@@ -71,7 +71,7 @@ def main() -> None:
         words = vocab.select(F.col("idx").cast("long").alias("id"), "word")
         vecs = params.filter("matrix = 'center'").select(F.col("idx").cast("long").alias("id"), "vec")
         probes = spark.createDataFrame([(w,) for w in catalog.PROBES], "query string")
-        lines, _ = S.neighbour_lines(vecs, words, probes, 8)
+        lines, _ = S.neighbour_lines(vecs, words, probes, 8, dim=cfg.dim)
         return lines.collect()
 
     timed("neighbours", neighbours_stage)

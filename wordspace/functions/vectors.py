@@ -20,11 +20,22 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def dot(a, b) -> Column:
+def dot(a, b, dim: int | None = None) -> Column:
+    """Sum of products, left to right. With ``dim`` known the sum is unrolled
+    into plain arithmetic (whole-stage codegen); otherwise higher-order
+    functions handle any length. Both give the same double."""
+    if dim is not None:
+        a, b = _c(a), _c(b)
+        acc = F.lit(0.0)
+        for i in range(dim):
+            acc = acc + a[i] * b[i]
+        return acc
     return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def norm(a) -> Column:
+def norm(a, dim: int | None = None) -> Column:
+    if dim is not None:
+        return F.sqrt(dot(a, a, dim))
     return F.sqrt(F.aggregate(F.transform(_c(a), lambda x: x * x), F.lit(0.0), lambda acc, v: acc + v))
 
 
@@ -43,11 +54,13 @@ def add(a, b) -> Column:
     return F.zip_with(_c(a), _c(b), lambda x, y: x + y)
 
 
-def normalize(a, guard: str = "add") -> Column:
+def normalize(a, guard: str = "add", dim: int | None = None) -> Column:
     """Row normalisation; ``guard='add'`` divides by norm+eps (variant A),
     ``guard='max'`` by max(norm, eps) (variant B)."""
-    n = norm(a)
+    n = norm(a, dim)
     denom = n + F.lit(NORM_EPS) if guard == "add" else F.greatest(n, F.lit(NORM_EPS))
+    if dim is not None:
+        return F.array(*[_c(a)[i] / denom for i in range(dim)])
     return F.transform(_c(a), lambda x: x / denom)
 
 

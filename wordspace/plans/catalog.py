@@ -499,7 +499,7 @@ def q_fit_neighbours(spark, sf_dir):
     words = m.vocab.select(F.col("idx").cast("long").alias("id"), "word")
     vecs = m.embeddings().select(F.col("idx").cast("long").alias("id"), "vec")
     probes = spark.createDataFrame([(w,) for w in PROBES], "query string")
-    lines, _ = S.neighbour_lines(vecs, words, probes, 8)
+    lines, _ = S.neighbour_lines(vecs, words, probes, 8, dim=m.config.dim)
     return lines
 
 
