@@ -138,16 +138,16 @@ SQL["vocab_ranked"] = with_(tokens_cte(), vocab_cte()) + "SELECT idx, word, cnt
 SQL["vocab_capped"] = with_(tokens_cte(), vocab_cte(cap=Q.VOCAB_CAP)) + "SELECT idx, word, cnt FROM vocab"
 
 SQL["vocab_frequencies"] = with_(tokens_cte(), vocab_cte(), freq_cte()) + """
-SELECT idx, word, cnt, total, vocab_size, round(freq, 12) AS freq FROM vfreq"""
+SELECT idx, word, cnt, total, vocab_size, (round(freq, 12) + 0.0::DOUBLE) AS freq FROM vfreq"""
 
 SQL["keep_prob_plain"] = with_(tokens_cte(), vocab_cte(), freq_cte(), keep_cte(Q.T_PLAIN, "plain")) + f"""
-SELECT idx, word, round(keep_prob, {D}) AS keep_prob FROM vkeep"""
+SELECT idx, word, (round(keep_prob, {D}) + 0.0::DOUBLE) AS keep_prob FROM vkeep"""
 
 SQL["keep_prob_additive"] = with_(tokens_cte(), vocab_cte(), freq_cte(), keep_cte(Q.T_ADDITIVE, "additive")) + f"""
-SELECT idx, word, round(keep_prob, {D}) AS keep_prob FROM vkeep"""
+SELECT idx, word, (round(keep_prob, {D}) + 0.0::DOUBLE) AS keep_prob FROM vkeep"""
 
 SQL["noise_distribution"] = with_(tokens_cte(), vocab_cte(), noise_cte()) + """
-SELECT idx, word, weight, weight_total, round(weight / weight_total, 12) AS prob FROM noise"""
+SELECT idx, word, weight, weight_total, (round(weight / weight_total, 12) + 0.0::DOUBLE) AS prob FROM noise"""
 
 SQL["noise_cumulative"] = with_(tokens_cte(), vocab_cte(), noise_cte()) + """
 SELECT idx, cdf_hi - weight AS cdf_lo, cdf_hi FROM noise"""
@@ -281,15 +281,15 @@ steps AS (
   FROM nb, range({Q.EPOCHS_CHECK}) e, range(nb.nb) b
 )
 SELECT epoch, batch, CAST((epoch - 1) * nb + batch + 1 AS BIGINT) AS step,
-       round(greatest({Q.LR0}::DOUBLE * (1.0::DOUBLE - CAST((epoch - 1) * nb + batch AS DOUBLE)
+       (round(greatest({Q.LR0}::DOUBLE * (1.0::DOUBLE - CAST((epoch - 1) * nb + batch AS DOUBLE)
                         / greatest(CAST({Q.EPOCHS_CHECK} * nb AS DOUBLE), 1.0::DOUBLE)),
-                      {Q.LR0 * 1e-4!r}::DOUBLE), 12) AS lr
+                      {Q.LR0 * 1e-4!r}::DOUBLE), 12) + 0.0::DOUBLE) AS lr
 FROM steps"""
 
 SQL["lr_absolute"] = with_(*SENTENCE, batches_cte(1)) + f"""
 SELECT rank AS step,
-       round(greatest(0.0001::DOUBLE, {Q.LR0}::DOUBLE * (1.0::DOUBLE - CAST(rank AS DOUBLE)
-                      / CAST((SELECT count(*) FROM pairs) AS DOUBLE))), 12) AS lr
+       (round(greatest(0.0001::DOUBLE, {Q.LR0}::DOUBLE * (1.0::DOUBLE - CAST(rank AS DOUBLE)
+                      / CAST((SELECT count(*) FROM pairs) AS DOUBLE))), 12) + 0.0::DOUBLE) AS lr
 FROM sb"""
 
 
@@ -308,7 +308,7 @@ def params_cte(dim: int = Q.DIM_CHECK, context: str = "hashed") -> str:
 
 
 SQL["param_init"] = with_(tokens_cte(), vocab_cte(), params_cte(context="zeros")) + f"""
-SELECT matrix, idx, CAST(unnest(range({Q.DIM_CHECK})) AS INTEGER) AS dim, round(unnest(vec), 12) AS val FROM params"""
+SELECT matrix, idx, CAST(unnest(range({Q.DIM_CHECK})) AS INTEGER) AS dim, (round(unnest(vec), 12) + 0.0::DOUBLE) AS val FROM params"""
 
 
 def sig(x: str) -> str:
@@ -344,13 +344,13 @@ def scored_ctes(epoch: int = 1) -> list[str]:
 G = Q.GRAD_DIGITS
 
 SQL["sigmoid_forms"] = with_(*STREAM, *scored_ctes()) + f"""
-SELECT gpos, off, round(s_pos, {D}) AS s_pos, round({sig('s_pos')}, {D}) AS sig_clip,
-       round(CASE WHEN s_pos >= 0 THEN 1.0::DOUBLE / (1.0::DOUBLE + exp(-s_pos))
-                  ELSE exp(s_pos) / (1.0::DOUBLE + exp(s_pos)) END, {D}) AS sig_branch
+SELECT gpos, off, (round(s_pos, {D}) + 0.0::DOUBLE) AS s_pos, (round({sig('s_pos')}, {D}) + 0.0::DOUBLE) AS sig_clip,
+       (round(CASE WHEN s_pos >= 0 THEN 1.0::DOUBLE / (1.0::DOUBLE + exp(-s_pos))
+                  ELSE exp(s_pos) / (1.0::DOUBLE + exp(s_pos)) END, {D}) + 0.0::DOUBLE) AS sig_branch
 FROM pos"""
 
 SQL["pair_loss"] = with_(*STREAM, *scored_ctes()) + f"""
-SELECT gpos, off, center, context, round(loss, {G}) AS loss FROM loss"""
+SELECT gpos, off, center, context, (round(loss, {G}) + 0.0::DOUBLE) AS loss FROM loss"""
 
 
 def epoch_losses_sql(epochs: int) -> str:
@@ -372,17 +372,17 @@ bl AS (
 """
 
 
-SQL["batch_loss"] = batch_loss_sql(1) + f"SELECT epoch, batch, n_pairs, round(mean_loss, {G}) AS mean_loss FROM bl"
+SQL["batch_loss"] = batch_loss_sql(1) + f"SELECT epoch, batch, n_pairs, (round(mean_loss, {G}) + 0.0::DOUBLE) AS mean_loss FROM bl"
 
 SQL["loss_history"] = batch_loss_sql(Q.EPOCHS_CHECK) + f"""
 , nb AS (SELECT CAST((count(*) + {Q.BATCH} - 1) // {Q.BATCH} AS BIGINT) AS nb FROM pairs)
 SELECT epoch, CAST(floor(((epoch - 1) * nb + batch) / {Q.LOG_EVERY}) AS BIGINT) AS window_no,
-       CAST(sum(n_pairs) AS BIGINT) AS n_pairs, round(sum(mean_loss * n_pairs) / sum(n_pairs), {G}) AS avg_loss
+       CAST(sum(n_pairs) AS BIGINT) AS n_pairs, (round(sum(mean_loss * n_pairs) / sum(n_pairs), {G}) + 0.0::DOUBLE) AS avg_loss
 FROM bl, nb GROUP BY 1, 2"""
 
 SQL["epoch_loss"] = with_(*STREAM) + f"""
 , el AS ({epoch_losses_sql(Q.EPOCHS_CHECK)})
-SELECT epoch, CAST(count(*) AS BIGINT) AS n_pairs, round(avg(loss), {G}) AS mean_loss FROM el GROUP BY epoch"""
+SELECT epoch, CAST(count(*) AS BIGINT) AS n_pairs, (round(avg(loss), {G}) + 0.0::DOUBLE) AS mean_loss FROM el GROUP BY epoch"""
 
 GRAD_CTES = [
     """grows AS (
@@ -399,11 +399,11 @@ GRAD_CTES = [
 ]
 
 SQL["gradients"] = with_(*STREAM, *scored_ctes(), *GRAD_CTES) + f"""
-SELECT matrix, idx, dim, round(g, {G}) AS g FROM gsum"""
+SELECT matrix, idx, dim, (round(g, {G}) + 0.0::DOUBLE) AS g FROM gsum"""
 
 SQL["sync_step"] = with_(*STREAM, *scored_ctes(), *GRAD_CTES) + f"""
 , plong AS (SELECT matrix, idx, CAST(unnest(range({Q.DIM_CHECK})) AS INTEGER) AS dim, unnest(vec) AS val FROM params)
-SELECT p.matrix, p.idx, p.dim, round(CASE WHEN g.g IS NULL THEN p.val ELSE p.val - {Q.LR0}::DOUBLE * g.g END, {G}) AS val
+SELECT p.matrix, p.idx, p.dim, (round(CASE WHEN g.g IS NULL THEN p.val ELSE p.val - {Q.LR0}::DOUBLE * g.g END, {G}) + 0.0::DOUBLE) AS val
 FROM plong p LEFT JOIN gsum g ON g.matrix = p.matrix AND g.idx = p.idx AND g.dim = p.dim"""
 
 
@@ -425,20 +425,20 @@ top AS (
 )"""
 
 SQL["embedding_lookup"] = f"""WITH {EMB}
-SELECT e.vec_id, e.label, CAST(unnest(range(len(e.vec))) AS INTEGER) AS dim, round(unnest(e.vec), {D}) AS val
+SELECT e.vec_id, e.label, CAST(unnest(range(len(e.vec))) AS INTEGER) AS dim, (round(unnest(e.vec), {D}) + 0.0::DOUBLE) AS val
 FROM emb e WHERE e.vec_id IN (SELECT query_id FROM probes)"""
 
 SQL["embedding_table"] = f"""WITH {EMB}
-SELECT vec_id, CAST(unnest(range(len(vec))) AS INTEGER) AS dim, round(unnest(vec), {D}) AS val FROM emb"""
+SELECT vec_id, CAST(unnest(range(len(vec))) AS INTEGER) AS dim, (round(unnest(vec), {D}) + 0.0::DOUBLE) AS val FROM emb"""
 
 SQL["embedding_norms"] = f"""WITH {EMB}
-SELECT vec_id, round(sqrt(list_sum(list_transform(vec, lambda y: y * y))), {D}) AS norm FROM emb"""
+SELECT vec_id, (round(sqrt(list_sum(list_transform(vec, lambda y: y * y))), {D}) + 0.0::DOUBLE) AS norm FROM emb"""
 
 SQL["cosine_all"] = f"""WITH {EMB}
-SELECT query_id, vec_id, round(similarity, {D}) AS similarity FROM cos"""
+SELECT query_id, vec_id, (round(similarity, {D}) + 0.0::DOUBLE) AS similarity FROM cos"""
 
 SQL["most_similar"] = f"""WITH {EMB}
-SELECT query_id, rank, vec_id, round(similarity, {D}) AS similarity FROM top WHERE rank <= {Q.TOP_K}"""
+SELECT query_id, rank, vec_id, (round(similarity, {D}) + 0.0::DOUBLE) AS similarity FROM top WHERE rank <= {Q.TOP_K}"""
 
 PROBE_WORDS = """pw AS (
   SELECT 'v' || CAST(min(vec_id) AS VARCHAR) AS query FROM embeddings GROUP BY label
@@ -474,14 +474,14 @@ j AS (
          ln((CAST(pc.n AS DOUBLE) * CAST(tot.n_total AS DOUBLE)) / (CAST(na.n_a AS DOUBLE) * CAST(nb.n_b AS DOUBLE))) AS pmi
   FROM pc JOIN na ON na.center = pc.center JOIN nb ON nb.context = pc.context CROSS JOIN tot
 )
-SELECT center, context, n, round(pmi, {D}) AS pmi, round(pmi - ln({Q.K_EXACT}::DOUBLE), {D}) AS spmi FROM j"""
+SELECT center, context, n, (round(pmi, {D}) + 0.0::DOUBLE) AS pmi, (round(pmi - ln({Q.K_EXACT}::DOUBLE), {D}) + 0.0::DOUBLE) AS spmi FROM j"""
 
 SQL["avg_embedding"] = with_(tokens_cte(), vocab_cte(), params_cte()) + f"""
 , av AS (
   SELECT c.idx, list_transform(list_zip(c.vec, x.vec), lambda t: (t[1] + t[2]) / 2.0::DOUBLE) AS vec
   FROM params c JOIN params x ON c.idx = x.idx AND c.matrix = 'center' AND x.matrix = 'context'
 )
-SELECT idx, CAST(unnest(range({Q.DIM_CHECK})) AS INTEGER) AS dim, round(unnest(vec), 12) AS val FROM av"""
+SELECT idx, CAST(unnest(range({Q.DIM_CHECK})) AS INTEGER) AS dim, (round(unnest(vec), 12) + 0.0::DOUBLE) AS val FROM av"""
 
 
 def redraw_sql(epochs: int) -> str:
