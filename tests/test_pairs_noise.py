@@ -136,3 +136,12 @@ def test_exclusion_with_two_words_is_bounded(spark):
     pairs = spark.createDataFrame([(0, 1, 0, 1)], "gpos long, off int, center int, context int")
     with pytest.raises(RuntimeError):
         N.draw_excluding(pairs, slots, 2, seed=1, table_size=100).collect()
+
+
+def test_salted_encode_equals_broadcast(spark, demo_tokens):
+    vocab = V.keep_probability(V.build_vocab(demo_tokens, 5), 1e-5, "plain")
+    a = E.encode(demo_tokens, vocab, carry=("keep_prob",))
+    # force the shuffle path and split every word with more than 300 tokens
+    b = E.encode(demo_tokens, vocab, carry=("keep_prob",), broadcast_max_rows=0, hot_word_rows=300)
+    assert a.count() == b.count() == 42_800
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
