@@ -7,8 +7,10 @@ to cut lineage between the big stages (vocabulary, pairs, training rounds).
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,6 +82,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per application.
+
+    The zip is served by the driver (``addPyFile``); tasks then import the
+    package wherever they run, without ``PYTHONPATH``."""
+    sc = spark.sparkContext
+    if getattr(sc, "_wordspace_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, dirs, files in os.walk(root):
+            dirs[:] = sorted(d for d in dirs if d != "__pycache__")
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("wordspace", os.path.relpath(path, root)))
+    target = os.path.join(tempfile.mkdtemp(prefix="wordspace-ship-"), "wordspace.zip")
+    with open(target, "wb") as f:
+        f.write(buffer.getvalue())
+    sc.addPyFile(target)
+    sc._wordspace_shipped = True
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts lineage and pins nondeterministic layouts
     (range bounds, partition ids) so later branches see the same rows."""
