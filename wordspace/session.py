@@ -121,6 +121,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote under the checkpoint directory."""
+    if not path.startswith(ensure_checkpoint_dir(spark).rstrip("/") + "/"):
+        raise ValueError(f"not a scratch folder: {path}")
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def spread(df: DataFrame, *key_cols: str) -> DataFrame:
     """Hash-repartition on ``key_cols`` only if ``df`` has fewer partitions than
     the session's parallelism (e.g. a small table that AQE coalesced), so
