@@ -7,13 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing
+from . import bpe, packing, warc
 from .common import prepare, table
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to ARC, converted to WARC and read back."""
+    prepare(spark)
+    return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     prepare(spark)
@@ -27,8 +33,23 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op3_bpe": op3_bpe,
     "op4_packing": op4_packing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha1(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), w AS (
+            SELECT payload_digest, max(page_id) AS winner FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest
+        )
+        SELECT p.page_id, p.payload_bytes, p.payload_digest,
+               CASE WHEN w.winner <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN w.winner <> p.page_id THEN w.winner END AS refers_to
+        FROM p LEFT JOIN w ON p.payload_digest = w.payload_digest AND p.payload_bytes >= 1000
+    """,
+}
