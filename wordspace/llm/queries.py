@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, topk, warc
+from . import bpe, fingerprints, packing, topk, warc
 from .common import prepare, table
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -39,11 +39,18 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), 5)
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every document and of its edited text."""
+    prepare(spark)
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_bpe": op3_bpe,
     "op4_packing": op4_packing,
     "op5_topk": op5_topk,
+    "op8_fingerprints": op8_fingerprints,
 }
 
 SQL: dict[str, str] = {
