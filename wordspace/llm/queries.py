@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, packing, topk, warc
+from . import bpe, fingerprints, licenses, packing, topk, warc
 from .common import prepare, table
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -39,6 +39,12 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), 5)
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that documents, or lines and paragraphs of them, are."""
+    prepare(spark)
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of every document and of its edited text."""
     prepare(spark)
@@ -50,10 +56,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_packing": op4_packing,
     "op5_topk": op5_topk,
+    "op6_licenses": op6_licenses,
     "op8_fingerprints": op8_fingerprints,
 }
 
 SQL: dict[str, str] = {
+    "op6_licenses": licenses.scan_sql(),
     "op5_topk": """
         WITH v AS (
             SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
