@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, licenses, packing, topk, warc
+from . import bpe, fingerprints, licenses, packing, quality, topk, warc
 from .common import prepare, table
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,6 +45,15 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality posterior of every document and whether it is kept."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.classify(spark, docs, model)
+    return scored.selectExpr("doc_id", "_qc_logit AS logit", "_qc_host_mean AS host_mean", "_qc_path_mean AS path_mean", "_qc_posterior AS posterior", f"_qc_posterior >= {quality.KEEP_FROM} AS keep")
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of every document and of its edited text."""
     prepare(spark)
@@ -57,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_topk": op5_topk,
     "op6_licenses": op6_licenses,
+    "op7_quality": op7_quality,
     "op8_fingerprints": op8_fingerprints,
 }
 
