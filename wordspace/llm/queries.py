@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, licenses, packing, quality, topk, warc
+from . import bpe, fingerprints, html_text, licenses, packing, quality, topk, warc
 from .common import prepare, table
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +20,13 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    prepare(spark)
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit_weights(pages))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     prepare(spark)
@@ -62,6 +69,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_html": op2_html,
     "op3_bpe": op3_bpe,
     "op4_packing": op4_packing,
     "op5_topk": op5_topk,
