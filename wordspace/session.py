@@ -130,6 +130,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under a path, from the path's own file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
 def spread(df: DataFrame, *key_cols: str) -> DataFrame:
     """Hash-repartition on ``key_cols`` only if ``df`` has fewer partitions than
     the session's parallelism (e.g. a small table that AQE coalesced), so
