@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, html_text, licenses, packing, quality, topk, warc
+from . import bpe, fingerprints, html_text, jaccard, licenses, packing, quality, topk, warc
 from .common import prepare, table
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -67,6 +67,13 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets have a Jaccard
+    similarity of 0.9 or more."""
+    prepare(spark)
+    return jaccard.jaccard_components(spark, table(spark, sf_dir, "documents"), 3, 90, 100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_html": op2_html,
@@ -76,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_licenses": op6_licenses,
     "op7_quality": op7_quality,
     "op8_fingerprints": op8_fingerprints,
+    "op9_jaccard": op9_jaccard,
 }
 
 SQL: dict[str, str] = {
