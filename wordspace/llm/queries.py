@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, html_text, jaccard, licenses, packing, quality, topk, warc
+from . import bpe, fingerprints, html_text, jaccard, licenses, packing, quality, substring, topk, warc
 from .common import prepare, table
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -74,6 +74,12 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(spark, table(spark, sf_dir, "documents"), 3, 90, 100)
 
 
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every document without repeats of 50 words or more."""
+    prepare(spark)
+    return substring.removed_words(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_html": op2_html,
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
     "op8_fingerprints": op8_fingerprints,
     "op9_jaccard": op9_jaccard,
+    "op10_substring": op10_substring,
 }
 
 SQL: dict[str, str] = {
