@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: 32 hex bits -> [0, 1)
-HEX_DIGITS = 8
-TWO_POW_32 = 4294967296.0
+# fixed values: 52 bits -> [0, 1), exact in a double
+HEX_DIGITS = 13
+TWO_POW_BITS = 4503599627370496.0
 
 
 def _as_col(k) -> Column:
@@ -36,16 +36,10 @@ def uniform(salt: str, seed: int, *keys) -> Column:
     ``isnotnull`` filters from joins on derived keys and evaluates the md5
     once more per inferred filter."""
     hexpart = F.substring(F.md5(hash_key(salt, seed, *keys)), 1, HEX_DIGITS)
-    return F.coalesce(F.conv(hexpart, 16, 10).cast("bigint") / F.lit(TWO_POW_32), F.lit(0.0))
-
-
-def uniform_int(salt: str, seed: int, n, *keys) -> Column:
-    """Integer in [0, n) (n may be a column)."""
-    n_col = n if isinstance(n, Column) else F.lit(n)
-    return F.floor(uniform(salt, seed, *keys) * n_col).cast("long")
+    return F.coalesce(F.conv(hexpart, 16, 10).cast("bigint") / F.lit(TWO_POW_BITS), F.lit(0.0))
 
 
 def sql_uniform(salt: str, seed: int, *key_sql: str) -> str:
     """DuckDB twin of :func:`uniform`; ``key_sql`` are SQL expressions."""
     concat = " || '|' || ".join([f"'{salt}|{seed}'"] + [f"CAST({k} AS VARCHAR)" for k in key_sql])
-    return f"((('0x' || substr(md5({concat}), 1, {HEX_DIGITS}))::BIGINT) / {TWO_POW_32})"
+    return f"((('0x' || substr(md5({concat}), 1, {HEX_DIGITS}))::BIGINT) / {TWO_POW_BITS})"
