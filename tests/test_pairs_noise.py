@@ -130,12 +130,39 @@ def test_exclusion_never_draws_center_or_context(spark):
     assert per == 0
 
 
-def test_exclusion_with_two_words_is_bounded(spark):
+def test_exclusion_fails_only_when_nothing_is_left(spark):
     noise = noise_for(spark, ["a a b"])
     slots = N.slot_table(noise, 100)
     pairs = spark.createDataFrame([(0, 1, 0, 1)], "gpos long, off int, center int, context int")
-    with pytest.raises(RuntimeError):
+    with pytest.raises(Exception, match="no slot is left"):
         N.draw_excluding(pairs, slots, 2, seed=1, table_size=100).collect()
+    same = spark.createDataFrame([(0, 1, 0, 0), (1, 1, 1, 1)], "gpos long, off int, center int, context int")
+    got = N.draw_excluding(same, slots, 3, seed=1, table_size=100).collect()
+    assert sorted((r.gpos, r.neg) for r in got) == [(0, 1)] * 3 + [(1, 0)] * 3
+
+
+def test_exclusion_with_two_very_heavy_words(spark):
+    weights = [1_000_000, 1_000_000, 5]
+    w = [round(c**0.75 * 1e6) for c in weights]
+    rows = [(i, w[i], sum(w[:i]), sum(w[: i + 1]), sum(w)) for i in range(3)]
+    noise = spark.createDataFrame(rows, "idx int, weight long, cdf_lo long, cdf_hi long, weight_total long")
+    slots = N.slot_table(noise)
+    pairs = spark.createDataFrame([(0, 1, 0, 1), (1, 1, 1, 0), (2, 1, 2, 0)], "gpos long, off int, center int, context int")
+    got = N.draw_excluding(pairs, slots, 5, seed=42).collect()
+    assert sorted((r.gpos, r.neg) for r in got) == [(0, 2)] * 5 + [(1, 2)] * 5 + [(2, 1)] * 5
+
+
+def test_lightest_word_is_reachable_under_a_very_large_mass(spark):
+    # the words around it own 2**57 units: steps of 32-bit draws are ten times as wide as it
+    w = [1 << 56, 3_343_702, 1 << 56]
+    rows = [(i, w[i], sum(w[:i]), sum(w[: i + 1]), sum(w)) for i in range(3)]
+    total, lo, hi = sum(w), w[0], w[0] + w[1]
+    step = 2.0**-52 * total
+    assert any(lo <= int(d * step) < hi for d in range(int(lo / step) - 2, int(hi / step) + 3))
+    assert total / 2**32 > 10 * w[1]
+    noise = spark.createDataFrame(rows, "idx int, weight long, cdf_lo long, cdf_hi long, weight_total long")
+    pairs = spark.range(2000).selectExpr("id AS gpos", "1 AS off", "0 AS center", "2 AS context")
+    assert N.draw_exact(pairs, noise, 2, seed=1).count() == 4000
 
 
 def test_salted_encode_equals_broadcast(spark, demo_tokens):

@@ -44,16 +44,6 @@ def scale(a, s) -> Column:
     return F.transform(_c(a), lambda x: x * s)
 
 
-def axpy(alpha, x, y) -> Column:
-    """alpha * x + y, element-wise."""
-    alpha = alpha if isinstance(alpha, Column) else F.lit(float(alpha))
-    return F.zip_with(_c(x), _c(y), lambda u, v: alpha * u + v)
-
-
-def add(a, b) -> Column:
-    return F.zip_with(_c(a), _c(b), lambda x, y: x + y)
-
-
 def normalize(a, guard: str = "add", dim: int | None = None) -> Column:
     """Row normalisation; ``guard='add'`` divides by norm+eps (variant A),
     ``guard='max'`` by max(norm, eps) (variant B)."""

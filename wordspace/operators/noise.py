@@ -25,8 +25,8 @@ from .encode import join_lookup
 
 # fixed value: slot-table size of the sentence variant
 TABLE_SIZE = 1_000_000
-# exclusion rounds before giving up (only reachable with a degenerate table)
-MAX_REFILL_ROUNDS = 16
+# mass bins of the exact lookup: at least this many, and four a word
+MIN_BINS = 1 << 16
 
 PAIR_KEY = ("gpos", "off")
 
@@ -39,6 +39,12 @@ def bin_of(x, total, bins: int):
     return F.floor(F.col(x).cast("double") * F.lit(float(bins)) / F.col(total).cast("double")).cast("long")
 
 
+def bins_for(noise: DataFrame) -> int:
+    """Number of mass bins: a draw meets a bounded number of words in its bin
+    on average, whatever the size of the vocabulary."""
+    return max(MIN_BINS, 4 * noise.count())
+
+
 def cdf_bins(noise: DataFrame, bins: int) -> DataFrame:
     """Each word listed once per mass bin it overlaps: ``bin, idx, cdf_lo,
     cdf_hi`` (at most V + bins rows)."""
@@ -63,8 +69,7 @@ def draw_exact(
     """N2 + N6 + E8: ``k`` independent draws per pair, long form
     ``(*key, *carry, k, neg)``; the center and context may be drawn
     (variant A)."""
-    if bins is None:
-        bins = 1 << 16
+    bins = bins or bins_for(noise)
     table = cdf_bins(noise, bins)
     total = noise.select("weight_total").limit(1)
     src = pairs.select(*key, *carry)
@@ -134,33 +139,33 @@ def draw_excluding(
     epoch: int = 1,
     table_size: int = TABLE_SIZE,
     key=PAIR_KEY,
-    oversample: int = 3,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``k`` negatives per pair that are neither its center nor its
-    context: draw ``oversample * k`` attempts, keep valid ones in attempt
-    order, take the first ``k``; pairs still short draw further rounds of
-    attempts (a bounded loop that only touches the short pairs).
-
-    Output ``(*key, k, neg)`` with ``k`` renumbered 0..k-1.
-    """
-    if slots.select("idx").distinct().limit(3).count() <= 2:
-        raise RuntimeError("noise table has at most two words: cannot exclude center and context")
-    base = pairs.select(*key, "center", "context")
-    step = oversample * k
-    collected = None
-    todo = base
-    for rnd in range(MAX_REFILL_ROUNDS):
-        drawn = draw_from_table(todo, slots, rnd * step, (rnd + 1) * step, seed, epoch, table_size, key, ("center", "context"))
-        valid = drawn.filter((F.col("neg") != F.col("center")) & (F.col("neg") != F.col("context"))).select(*key, "a", "neg")
-        collected = valid if collected is None else collected.unionByName(valid)
-        have = collected.groupBy(*key).agg(F.count(F.lit(1)).alias("_have"))
-        short = base.join(have, list(key), "left").filter(F.coalesce(F.col("_have"), F.lit(0)) < k)
-        if short.limit(1).count() == 0:
-            break
-        todo = short.select(*key, "center", "context")
-    else:
-        raise RuntimeError("noise table cannot supply negatives outside {center, context}")
-    # first k valid draws in attempt order; groups hold at most a few * k rows
-    ranked = collected.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("a", "neg"))).alias("_d"))
-    firstk = ranked.select(*key, F.posexplode(F.slice("_d", 1, k)).alias("k", "_x"))
-    return firstk.select(*key, "k", F.col("_x.neg").alias("neg"))
+    """``k`` negatives per pair that are neither its center nor its context.
+
+    A word owns one run of slots, so the table without the two words is the
+    table with at most two gaps: a draw is uniform over the slots that are left
+    and moves past the gaps that lie at or before it. This is exact, needs no
+    second try, and fails only for a pair that leaves no slot.
+
+    Output ``(*key, *carry, k, neg)`` with ``k`` in 0..k-1."""
+    runs = slots.groupBy("idx").agg(F.min("slot").cast("long").alias("lo"), F.count(F.lit(1)).alias("n"))
+    src = pairs.select(*key, "center", "context", *[c for c in carry if c not in ("center", "context")])
+    for col, tag in (("center", "c"), ("context", "o")):
+        named = runs.select(F.col("idx").alias(col), F.col("lo").alias(f"_lo_{tag}"), F.col("n").alias(f"_n_{tag}"))
+        src = join_lookup(src, named, [col], how="left")
+    n_c = F.coalesce("_n_c", F.lit(0))
+    n_o = F.when(F.col("center") == F.col("context"), F.lit(0)).otherwise(F.coalesce("_n_o", F.lit(0)))
+    none = F.lit(table_size + 1).cast("long")
+    src = src.withColumn("_c", F.struct(F.coalesce("_lo_c", none).alias("lo"), n_c.cast("long").alias("n")))
+    src = src.withColumn("_o", F.struct(F.coalesce("_lo_o", none).alias("lo"), n_o.cast("long").alias("n")))
+    src = src.withColumn("_left", F.lit(table_size) - F.col("_c.n") - F.col("_o.n"))
+    src = src.withColumn("_left", F.when(F.col("_left") > 0, F.col("_left")).otherwise(F.raise_error(F.lit("no slot is left beside center and context")).cast("long")))
+    src = src.select(*key, *carry, "_left", F.least("_c", "_o").alias("_a"), F.greatest("_c", "_o").alias("_b"))
+    draws = src.select("*", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("k"))
+    first = F.floor(uniform("negtable", seed, F.lit(epoch), *key, "k") * F.col("_left")).cast("long")
+    draws = draws.withColumn("_s", first)
+    for gap in ("_a", "_b"):
+        draws = draws.withColumn("_s", F.col("_s") + F.when(F.col("_s") >= F.col(f"{gap}.lo"), F.col(f"{gap}.n")).otherwise(F.lit(0)))
+    draws = draws.select(*key, *carry, "k", F.coalesce(F.col("_s").cast("int"), F.lit(-1)).alias("slot"))
+    return join_lookup(draws, slots, ["slot"]).select(*key, *carry, "k", F.col("idx").alias("neg"))

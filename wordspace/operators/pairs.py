@@ -86,8 +86,3 @@ def window_pairs(
 def pair_counts(pairs: DataFrame) -> DataFrame:
     """Occurrences of each (center, context); partial aggregation first."""
     return pairs.groupBy("center", "context").agg(F.count(F.lit(1)).alias("n"))
-
-
-def pair_total(pairs: DataFrame) -> DataFrame:
-    """V7."""
-    return pairs.agg(F.count(F.lit(1)).alias("n_pairs"))

@@ -52,7 +52,7 @@ def doc_tokens(spark, sf_dir) -> DataFrame:
 
 
 def doc_vocab(spark, sf_dir, min_count: int = MIN_COUNT) -> DataFrame:
-    return V.build_vocab(doc_tokens(spark, sf_dir), min_count)
+    return pinned(spark, sf_dir, f"vocab{min_count}", lambda: V.build_vocab(doc_tokens(spark, sf_dir), min_count))
 
 
 def r(c, digits: int = DIGITS):
@@ -158,16 +158,20 @@ def q_subsample_report(spark, sf_dir):
     return E.subsample_report(E.encode(toks, vocab, carry=("keep_prob",)), SEED)
 
 
-_PINNED: dict = {}
+def kept(spark, sf_dir, name, build):
+    """Build once per session: the value hangs on the session itself, so it
+    goes with it and no other session can meet it."""
+    held = spark.__dict__.setdefault("_wordspace_kept", {})
+    k = (sf_dir.rstrip("/"), name)
+    if k not in held:
+        held[k] = build()
+    return held[k]
 
 
 def pinned(spark, sf_dir, name, build):
-    """Build once per session and pin with a reliable checkpoint (the pairs
-    table is reused by many queries, as the trainer reuses it per epoch)."""
-    k = (id(spark), sf_dir.rstrip("/"), name)
-    if k not in _PINNED:
-        _PINNED[k] = materialize(build())
-    return _PINNED[k]
+    """A checkpointed table that many queries share (the pairs, as the trainer
+    reuses them per epoch; the vocabulary)."""
+    return kept(spark, sf_dir, name, lambda: materialize(build()))
 
 
 def stream_pairs(spark, sf_dir):
@@ -473,38 +477,66 @@ def q_epoch_redraw(spark, sf_dir):
 # --- M14 / M15 / S5-S8 (rows-only checks) -----------------------------------
 
 
-def small_config():
+def train_config():
+    """The reference defaults: 100 dimensions, 5 epochs, 10 negatives."""
     from .trainer import variant_stream
 
-    return variant_stream(dim=16, epochs=1, negatives=5, rounds_per_epoch=1, log_every=200)
+    return variant_stream(log_every=200)
 
 
 def fitted(spark, sf_dir):
     from .trainer import fit
 
-    k = (id(spark), sf_dir.rstrip("/"), "model")
-    if k not in _PINNED:
-        _PINNED[k] = fit(doc_tokens(spark, sf_dir), small_config())
-    return _PINNED[k]
+    return kept(spark, sf_dir, "model", lambda: fit(doc_tokens(spark, sf_dir), train_config()))
 
 
 def q_train_rounds(spark, sf_dir):
+    """Epochs, log windows and their pairs (the losses are in train_loss)."""
+    return fitted(spark, sf_dir).history.select("epoch", "window_no", "n_pairs")
+
+
+def q_train_loss(spark, sf_dir):
     return fitted(spark, sf_dir).history
 
 
-def q_fit_neighbours(spark, sf_dir):
+# fixed values: probe words (frequent words of the driver corpus plus one that is absent)
+PROBES = ["the", "of", "ci", "de", "and", "king"]
+TOP_N = 8
+
+
+def neighbours(spark, sf_dir):
     from ..operators import similarity as S
 
     m = fitted(spark, sf_dir)
     words = m.vocab.select(F.col("idx").cast("long").alias("id"), "word")
     vecs = m.embeddings().select(F.col("idx").cast("long").alias("id"), "vec")
     probes = spark.createDataFrame([(w,) for w in PROBES], "query string")
-    lines, _ = S.neighbour_lines(vecs, words, probes, 8, dim=m.config.dim)
-    return lines
+    return probes, S.neighbour_lines(vecs, words, probes, TOP_N, dim=m.config.dim)
 
 
-# fixed values: probe words (frequent words of the driver corpus plus one that is absent)
-PROBES = ["the", "of", "ci", "de", "and", "king"]
+def q_fit_neighbours(spark, sf_dir):
+    return neighbours(spark, sf_dir)[1][0]
+
+
+def q_fit_probe_report(spark, sf_dir):
+    """How many neighbours each probe word has; 0: the word is not known."""
+    probes, (lines, _) = neighbours(spark, sf_dir)
+    listed = lines.select("query", F.size(F.split("neighbours", ", ")).cast("long").alias("n"))
+    return probes.join(listed, "query", "left").select("query", F.coalesce("n", F.lit(0)).cast("long").alias("n_neighbours"))
+
+
+def q_params_roundtrip(spark, sf_dir):
+    """Save and load a model whose values SQL knows, value by value."""
+    from ..session import scratch_path
+    from ..sources import model_io as IO
+    from .trainer import Model
+
+    vocab = doc_vocab(spark, sf_dir)
+    params = ST.init_params(vocab, DIM_CHECK, SEED)
+    meta = {"vocab_size": vocab.count(), "embedding_dim": DIM_CHECK, "seed": SEED}
+    path = scratch_path(spark, "params")
+    IO.save_model(Model(vocab=vocab, params=params, history=None, config=train_config(), meta=meta), path)
+    return ST.explode_params(IO.load_model(spark, path).params, 12)
 
 
 def q_model_roundtrip(spark, sf_dir):
@@ -576,8 +608,11 @@ QUERIES = {
     "avg_embedding": q_avg_embedding,
     "epoch_redraw": q_epoch_redraw,
     "train_rounds": q_train_rounds,
+    "train_loss": q_train_loss,
     "fit_neighbours": q_fit_neighbours,
+    "fit_probe_report": q_fit_probe_report,
     "model_roundtrip": q_model_roundtrip,
+    "params_roundtrip": q_params_roundtrip,
     "export_embeddings": q_export_embeddings,
 }
 

@@ -98,9 +98,3 @@ def global_index(
         out = out.withColumn(dst, (F.col(f"_ord_off_{dst}") + F.col(f"_ord_cum_{dst}")).cast("long"))
     drop = [_PID, _LOC, "_ord_off_n"] + [f"_ord_off_{d}" for _, d in sums] + [f"_ord_cum_{d}" for _, d in sums]
     return out.drop(*drop)
-
-
-def dense_id(df: DataFrame, key_cols: Sequence[str], id_col: str) -> DataFrame:
-    """Map each distinct key to its 0-based rank in key order (a lookup table)."""
-    keys = df.select(*key_cols).distinct()
-    return global_index(keys, key_cols, idx_col=id_col)

@@ -137,12 +137,6 @@ def table_bytes(spark: SparkSession, path: str) -> int:
 
 
 def spread(df: DataFrame, *key_cols: str) -> DataFrame:
-    """Hash-repartition on ``key_cols`` only if ``df`` has fewer partitions than
-    the session's parallelism (e.g. a small table that AQE coalesced), so
-    expensive per-row expansions that follow still use every core. Large
-    inputs are returned unchanged: no extra shuffle at scale."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if df.rdd.getNumPartitions() >= n:
-        return df
-    return df.repartition(n, *key_cols)
+    """Hash-repartition narrow rows before each of them is expanded many times,
+    so that the expansion uses every core whatever the input's layout."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key_cols)

@@ -251,12 +251,26 @@ SQL["negatives_exact"] = with_(*STREAM, noise_cte(), *exact_negs_cte(Q.K_EXACT,
 
 SQL["negatives_table"] = with_(*SENTENCE, *slots_ctes(), table_draws_cte(0, Q.K_TABLE)) + PER_NEG.format(src="tdraws")
 
-SQL["negatives_excluding"] = with_(*SENTENCE, *slots_ctes(), table_draws_cte(0, 6 * Q.K_TABLE)) + f"""
-, valid AS (
-  SELECT gpos, neg, row_number() OVER (PARTITION BY gpos, off ORDER BY a) AS rn
-  FROM tdraws WHERE neg <> center AND neg <> context
-)
-""" + PER_NEG.format(src=f"(SELECT * FROM valid WHERE rn <= {Q.K_TABLE}) v")
+EXCLUDING_U = sql_uniform("negtable", Q.SEED, "1", "p.gpos", "p.off", "t.k")
+SQL["negatives_excluding"] = with_(*SENTENCE, *slots_ctes()) + f"""
+, runs AS (SELECT idx, min(slot) AS lo, count(*) AS n FROM slot_rows GROUP BY idx),
+gaps AS (
+  SELECT p.gpos, p.off, coalesce(c.lo, {M} + 1) AS c_lo, coalesce(c.n, 0) AS c_n, coalesce(o.lo, {M} + 1) AS o_lo,
+         CASE WHEN p.center = p.context THEN 0 ELSE coalesce(o.n, 0) END AS o_n
+  FROM pairs p LEFT JOIN runs c ON c.idx = p.center LEFT JOIN runs o ON o.idx = p.context
+),
+firsts AS (
+  SELECT p.*, CAST(floor({EXCLUDING_U} * ({M} - c_n - o_n)) AS BIGINT) AS s0
+  FROM gaps p CROSS JOIN range({Q.K_TABLE}) t(k)
+),
+seconds AS (
+  SELECT *, s0 + CASE WHEN s0 >= least(c_lo, o_lo) THEN CASE WHEN c_lo <= o_lo THEN c_n ELSE o_n END ELSE 0 END AS s1 FROM firsts
+),
+thirds AS (
+  SELECT *, s1 + CASE WHEN s1 >= greatest(c_lo, o_lo) THEN CASE WHEN c_lo <= o_lo THEN o_n ELSE c_n END ELSE 0 END AS s2 FROM seconds
+),
+drawn AS (SELECT d.gpos, s.idx AS neg FROM thirds d JOIN slot_rows s ON s.slot = d.s2)
+""" + PER_NEG.format(src="drawn")
 
 
 def batches_cte(epochs: int = Q.EPOCHS_CHECK, name: str = "sb") -> str:
@@ -500,3 +514,32 @@ def redraw_sql(epochs: int) -> str:
 
 
 SQL["epoch_redraw"] = redraw_sql(Q.EPOCHS_CHECK)
+
+
+# --- trained tables: all but the trained floats follows from the corpus ---------
+
+TRAIN = Q.train_config()
+TRAIN_U = sql_uniform("shuffle", Q.SEED, "e.epoch", "p.gpos", "p.off")
+SQL["train_rounds"] = with_(*STREAM) + f"""
+, n AS (SELECT count(*) AS n_pairs, CAST(ceil(count(*) / {TRAIN.batch_size}) AS BIGINT) AS steps FROM pairs),
+placed AS (
+  SELECT e.epoch, CAST(floor(u * {TRAIN.parts}) AS INTEGER) AS part, u, gpos, off
+  FROM (SELECT e.epoch, p.gpos, p.off, {TRAIN_U} AS u FROM pairs p CROSS JOIN range(1, {TRAIN.epochs} + 1) e(epoch)) e
+),
+ranked AS (SELECT epoch, row_number() OVER (PARTITION BY epoch, part ORDER BY u, gpos, off) - 1 AS rn FROM placed),
+stepped AS (SELECT epoch, (epoch - 1) * n.steps + (rn // {TRAIN.batch_size}) * {TRAIN.parts} AS step FROM ranked, n)
+SELECT CAST(epoch AS INTEGER) AS epoch, CAST(step // {TRAIN.log_every} AS BIGINT) AS window_no, count(*) AS n_pairs
+FROM stepped GROUP BY ALL"""
+
+SQL["fit_probe_report"] = with_(tokens_cte(), vocab_cte()) + f"""
+SELECT q.query, CAST(CASE WHEN v.idx IS NULL THEN 0 ELSE least({Q.TOP_N}, (SELECT count(*) - 1 FROM vocab)) END AS BIGINT) AS n_neighbours
+FROM (SELECT unnest([{", ".join("'" + w + "'" for w in Q.PROBES)}]) AS query) q LEFT JOIN vocab v ON v.word = q.query"""
+
+SQL["model_roundtrip"] = with_(tokens_cte(), vocab_cte()) + f"""
+SELECT m.matrix, count(*) AS rows, CAST({TRAIN.dim} AS INTEGER) AS dim, CAST(count(*) AS INTEGER) AS vocab_size
+FROM vocab CROSS JOIN (SELECT unnest(['center', 'context']) AS matrix) m GROUP BY m.matrix"""
+
+SQL["params_roundtrip"] = SQL["param_init"]
+
+SQL["export_embeddings"] = with_(tokens_cte(), vocab_cte()) + f"""
+SELECT idx, word, CAST({TRAIN.dim} AS INTEGER) AS dim FROM vocab"""
