@@ -92,6 +92,13 @@ def test_token_prefix(spark):
     assert got == [(0, 0, 0, "a"), (0, 1, 1, "b"), (0, 2, 2, "c"), (2, 0, 3, "d"), (2, 1, 4, "e"), (3, 0, 5, "f")]
 
 
+def test_document_prefix_equals_token_prefix(spark):
+    docs = docs_df(spark, ["a b c", "", "d e", "f g h i", "j"])
+    for n in (0, 1, 3, 4, 6, 100):
+        want = sorted(map(tuple, C.token_prefix(C.tokenize(docs), n).collect()))
+        assert sorted(map(tuple, C.document_prefix(docs, n).collect())) == want
+
+
 def test_global_index_matches_sort(spark):
     from wordspace.plans.ordering import global_index
 

@@ -22,12 +22,14 @@ def test_entry_contract(spark):
     assert all(isinstance(r.neighbours, str) and "(" in r.neighbours for r in rows)
 
 
-def test_read_text_one_line_keeps_order(spark):
+def test_read_text_one_line_keeps_order(spark, monkeypatch):
+    monkeypatch.setattr(C, "WORDS_PER_DOCUMENT", 30)
     text = "The cat, sat on 2 mats; the END " * 50
     d = tempfile.mkdtemp(prefix="wordspace-text-", dir="/tmp")
     with open(f"{d}/corpus.txt", "w", encoding="utf-8") as f:
         f.write(text)
     docs = C.read_text(spark, f"{d}/corpus.txt", one_line=True)
+    assert 400 // 30 <= docs.count() <= 400 // 30 + 2
     toks = C.tokenize(docs).orderBy("doc_id", "pos").collect()
     assert [r.word for r in toks] == re.findall(r"[a-z]+", text.lower())
     lines = C.read_text(spark, f"{d}/corpus.txt")

@@ -77,7 +77,7 @@ def q_sentence_tokens(spark, sf_dir):
 
 
 def q_token_prefix(spark, sf_dir):
-    return C.token_prefix(doc_tokens(spark, sf_dir), PREFIX_TOKENS)
+    return C.document_prefix(documents(spark, sf_dir), PREFIX_TOKENS)
 
 
 # --- V / R / P / N ---------------------------------------------------------

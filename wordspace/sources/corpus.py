@@ -39,6 +39,10 @@ DEMO_SENTENCES = [
 DEMO_REPEATS = 200
 
 
+# words of a file without line ends that make one document
+WORDS_PER_DOCUMENT = 4096
+
+
 def token_array(text_col="text"):
     """T1 + T2: lower-case, then all maximal ``[a-z]+`` runs (null -> null)."""
     c = F.col(text_col) if isinstance(text_col, str) else text_col
@@ -76,9 +80,9 @@ def read_text(spark: SparkSession, path: str, one_line: bool = False) -> DataFra
 
     By default one line is one document (a token never spans a line break, so
     the token stream equals the whole-file stream). ``one_line=True`` is for
-    text8-style files with a single huge line: it splits on spaces so the file
-    is read in parallel blocks; each word row becomes a document whose order
-    is recovered from (file, block start, scan order).
+    files with a single huge line: they are split on spaces, so they are read in
+    parallel blocks, and ``WORDS_PER_DOCUMENT`` words in a row make a document.
+    Documents are numbered in file order; only one row a document is ranked.
     """
     reader = spark.read.format("text")
     if one_line:
@@ -90,7 +94,13 @@ def read_text(spark: SparkSession, path: str, one_line: bool = False) -> DataFra
         # scan order inside one block; used only to recover the file order
         F.monotonically_increasing_id().alias("_row"),
     )
-    ranked = global_index(raw, ["_file", "_block", "_row"], idx_col="doc_id")
+    order = ["_file", "_block", "_row"]
+    if one_line:
+        chunk = F.floor(F.col("_row") / WORDS_PER_DOCUMENT)
+        words = F.array_sort(F.collect_list(F.struct("_row", "value")))
+        raw = raw.groupBy("_file", "_block", chunk.alias("_chunk")).agg(words.alias("_w"))
+        raw = raw.select("_file", "_block", F.col("_chunk").alias("_row"), F.array_join(F.transform("_w", lambda x: x["value"]), " ").alias("value"))
+    ranked = global_index(raw, order, idx_col="doc_id")
     return ranked.select("doc_id", F.col("value").alias("text"))
 
 
@@ -122,6 +132,21 @@ def token_prefix(tokens: DataFrame, max_tokens: int) -> DataFrame:
     ).filter(F.col("gpos") < max_tokens)
 
 
+def document_prefix(docs: DataFrame, max_tokens: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """S4 from documents: counts come from token arrays, before any explode, and
+    only documents up to the cut (a pushed filter on the id) are tokenised."""
+    n = F.coalesce(F.size(token_array(text_col)), F.lit(0))
+    counts = docs.select(F.col(id_col).cast("long").alias("doc_id"), n.alias("n")).filter("n > 0")
+    starts = global_index(counts, ["doc_id"], idx_col="_rank", sums=[("n", "_cum")])
+    starts = starts.select("doc_id", (F.col("_cum") - F.col("n")).alias("offset")).filter(F.col("offset") < max_tokens)
+    cut = starts.agg(F.max("doc_id")).first()[0]
+    if cut is None:
+        return token_prefix(tokenize(docs, id_col, text_col), max_tokens)
+    tokens = tokenize(docs.filter(F.col(id_col) <= cut), id_col, text_col)
+    placed = tokens.join(starts, "doc_id").select("doc_id", "pos", (F.col("offset") + F.col("pos")).cast("long").alias("gpos"), "word")
+    return placed.filter(F.col("gpos") < max_tokens)
+
+
 def corpus_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Documents (sentences) and tokens in one aggregate."""
     n_tok = F.coalesce(F.size(token_array(text_col)), F.lit(0))
