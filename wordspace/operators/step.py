@@ -20,8 +20,8 @@ from ..functions.hashing import uniform
 from .encode import join_lookup
 
 PAIR_KEY = ("gpos", "off")
-# param tables above this many rows are shuffle-joined (AQE splits hot keys)
-PARAM_BROADCAST_ROWS = 1_000_000
+# parameter rows up to this many bytes are broadcast to a gather
+PARAM_BROADCAST_BYTES = 256 << 20
 
 
 def init_params(vocab: DataFrame, dim: int, seed: int = 42, context: str = "zeros") -> DataFrame:
@@ -52,20 +52,22 @@ def matrix_rows(params: DataFrame, matrix: str, idx_name: str, vec_name: str) ->
     return params.filter(F.col("matrix") == matrix).select(F.col("idx").alias(idx_name), F.col("vec").alias(vec_name))
 
 
-def _gather(df: DataFrame, rows: DataFrame, on: str) -> DataFrame:
-    return join_lookup(df, rows, [on], PARAM_BROADCAST_ROWS)
+def _gather(df: DataFrame, rows: DataFrame, on: str, dim: int) -> DataFrame:
+    return join_lookup(df, rows, [on], PARAM_BROADCAST_BYTES // (8 * dim + 48))
 
 
 def scored(pairs: DataFrame, negs: DataFrame, params: DataFrame, form: str = "clip", key=PAIR_KEY):
     """E4 + M4 + M5/M6: positive rows ``(*key, center, context, v_c, u_o,
     s_pos, sig_pos)`` and negative rows ``(*key, k, center, neg, v_c, u_k,
     s_neg, sig_neg)``. ``negs`` carries ``center``."""
+    first = params.select(F.size("vec").alias("d")).first()
+    d = first["d"] if first else 1
     vc = matrix_rows(params, "center", "center", "v_c")
     uo = matrix_rows(params, "context", "context", "u_o")
     uk = matrix_rows(params, "context", "neg", "u_k")
-    pos = _gather(_gather(pairs.select(*key, "center", "context"), vc, "center"), uo, "context")
+    pos = _gather(_gather(pairs.select(*key, "center", "context"), vc, "center", d), uo, "context", d)
     pos = pos.withColumn("s_pos", VX.dot("v_c", "u_o")).withColumn("sig_pos", VX.sigmoid(F.col("s_pos"), form))
-    neg = _gather(_gather(negs.select(*key, "k", "center", "neg"), vc, "center"), uk, "neg")
+    neg = _gather(_gather(negs.select(*key, "k", "center", "neg"), vc, "center", d), uk, "neg", d)
     neg = neg.withColumn("s_neg", VX.dot("v_c", "u_k")).withColumn("sig_neg", VX.sigmoid(F.col("s_neg"), form))
     return pos, neg
 

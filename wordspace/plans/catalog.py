@@ -412,6 +412,14 @@ def q_cosine_all(spark, sf_dir):
     return sc.select("query_id", F.col("id").alias("vec_id"), r("similarity").alias("similarity"))
 
 
+def q_cosine_all_max_guard(spark, sf_dir):
+    """I3 with the other guard: rows divided by max(norm, 1e-10)."""
+    from ..operators import similarity as S
+
+    sc = S.cosine_scores(emb_vectors(spark, sf_dir), emb_probes(spark, sf_dir), guard="max")
+    return sc.select("query_id", F.col("id").alias("vec_id"), r("similarity").alias("similarity"))
+
+
 def q_most_similar(spark, sf_dir):
     from ..operators import similarity as S
 
@@ -601,6 +609,7 @@ QUERIES = {
     "embedding_table": q_embedding_table,
     "embedding_norms": q_embedding_norms,
     "cosine_all": q_cosine_all,
+    "cosine_all_max_guard": q_cosine_all_max_guard,
     "most_similar": q_most_similar,
     "probe_eval": q_probe_eval,
     "probe_missing": q_probe_missing,

@@ -451,6 +451,9 @@ SELECT vec_id, (round(sqrt(list_sum(list_transform(vec, lambda y: y * y))), {D})
 SQL["cosine_all"] = f"""WITH {EMB}
 SELECT query_id, vec_id, (round(similarity, {D}) + 0.0::DOUBLE) AS similarity FROM cos"""
 
+EMB_MAX = EMB.replace("(sqrt(list_sum(list_transform(vec, lambda y: y * y))) + 1e-10::DOUBLE)", "greatest(sqrt(list_sum(list_transform(vec, lambda y: y * y))), 1e-10::DOUBLE)")
+SQL["cosine_all_max_guard"] = SQL["cosine_all"].replace(EMB, EMB_MAX)
+
 SQL["most_similar"] = f"""WITH {EMB}
 SELECT query_id, rank, vec_id, (round(similarity, {D}) + 0.0::DOUBLE) AS similarity FROM top WHERE rank <= {Q.TOP_K}"""
 
