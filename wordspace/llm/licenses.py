@@ -2,7 +2,8 @@
 
 Method. A text is brought to a canonical form: lower case, copyright lines left
 out, every run of characters that are neither letters nor digits one space, and
-equivalent spellings made one (``SPELLINGS``). The digest of the entire
+equivalent spellings made one in texts that speak of licences (``SPELLINGS``,
+``LICENSE_MARKS``). The digest of the entire
 canonical text is looked up by a hash join against the digests of the known
 texts, which go through the same expressions. Besides a whole document, each of
 its lines and each run of lines between blank lines counts as an entire text, so
@@ -20,6 +21,8 @@ extra columns are dropped; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,59 +44,91 @@ SPELLINGS = [
     ("per cent", "percent"),
 ]
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n©]*(copyright \(c\)|copyright ©|copyright [0-9]|\(c\)|©|all rights reserved)[^\n]*$"
+COPYRIGHT_MARKS = ["copyright", "(c)", "©", "all rights reserved"]
+#: every known text has one of these; spellings are made one only in texts that have
+LICENSE_MARKS = ["license", "licence", "permission", "permitted", "redistribut", "warrant", "copyright"]
+
+
+def _has(text: Column, marks: list[str]) -> Column:
+    return reduce(lambda x, y: x | y, [F.contains(text, F.lit(m)) for m in marks])
+
+
+def plain(text: Column) -> Column:
+    """Lower case without copyright lines."""
+    text = F.lower(F.coalesce(text, F.lit("")))
+    return F.when(_has(text, COPYRIGHT_MARKS), F.regexp_replace(text, COPYRIGHT_LINE, "")).otherwise(text)
+
 
+def spaced(text: Column) -> Column:
+    """Words with one space between them; line ends stay."""
+    return F.regexp_replace(F.regexp_replace(text, r"[^\p{L}\p{N}\n]+", " "), r" ?\n ?", "\n")
 
-def canonical(text: Column) -> Column:
-    """Canonical form; line ends stay."""
-    text = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
-    text = F.regexp_replace(text, r"[^\p{L}\p{N}\n]+", " ")
-    text = F.regexp_replace(text, r" ?\n ?", "\n")
+
+def spelled(text: Column) -> Column:
+    """One spelling for equivalent ones in texts that speak of licences."""
+    same = text
     for pattern, replacement in SPELLINGS:
-        text = F.regexp_replace(text, pattern, replacement)
-    return text
+        same = F.regexp_replace(same, pattern, replacement)
+    return F.when(_has(text, LICENSE_MARKS), same).otherwise(text)
+
+
+def _forms(df: DataFrame, text: str, form: str) -> DataFrame:
+    """Adds the canonical form; a step a projection, so that none runs twice."""
+    return df.withColumn("_a", plain(F.col(text))).withColumn("_b", spaced(F.col("_a"))).withColumn(form, spelled(F.col("_b"))).drop("_a", "_b")
 
 
-def _whole(form: Column) -> Column:
-    return F.btrim(F.regexp_replace(form, r"[ \n]+", " "))
+def _line(form: Column) -> Column:
+    """A run of lines of a canonical form as one line."""
+    return F.btrim(F.regexp_replace(form, r"\n+", " "))
 
 
 def known_digests(spark) -> DataFrame:
-    """(digest, license): one row for each known canonical text."""
-    known = spark.createDataFrame(KNOWN, "license string, text string")
-    return known.select(F.sha2(_whole(canonical(F.col("text"))), 256).alias("digest"), "license").distinct()
+    """(digest, license, size): one row for each known canonical text."""
+    known = _forms(spark.createDataFrame(KNOWN, "license string, text string"), "text", "form")
+    return known.select(F.sha2(_line(F.col("form")), 256).alias("digest"), "license", F.length(_line(F.col("form"))).alias("size")).distinct()
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text_digest, license, notices, n_notices): the licence that the
     whole text is (or null), and the distinct licences of lines and paragraphs,
     sorted and joined by a comma (empty if none), with their number."""
+    spark = docs.sparkSession
+    known = known_digests(spark)
+    sizes = known.agg(F.min("size"), F.max("size")).first()
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("_t")).withColumn("_row", F.monotonically_increasing_id())
-    rows = rows.select("_row", "doc_id", canonical(F.col("_t")).alias("_form"))
-    lines = F.split("_form", "\n")
-    paragraphs = F.split("_form", "\n\n+")
-    whole = F.sha2(_whole(F.col("_form")), 256)
-    parts = F.array_distinct(F.transform(F.concat(lines, paragraphs), lambda x: F.sha2(F.btrim(F.regexp_replace(x, r"[ \n]+", " ")), 256)))
-    units = rows.select("_row", "doc_id", whole.alias("text_digest"), parts.alias("_parts"))
-    known = F.broadcast(known_digests(docs.sparkSession))
-    exploded = units.select("_row", "doc_id", "text_digest", F.explode("_parts").alias("digest")).join(known, "digest", "left")
-    found = exploded.groupBy("_row", "doc_id", "text_digest").agg(F.collect_set("license").alias("_all"))
-    of_whole = known.withColumnRenamed("digest", "text_digest")
-    return found.join(of_whole, "text_digest", "left").select("doc_id", "text_digest", "license", F.array_join(F.array_sort("_all"), ",").alias("notices"), F.size("_all").cast("long").alias("n_notices"))
+    rows = _forms(rows, "_t", "_form").select("_row", "doc_id", "_form")
+    # a text shorter or longer than all known ones cannot equal one
+    lines = F.transform(F.split("_form", "\n"), lambda x: F.btrim(x))
+    blank = F.contains(F.col("_form"), F.lit("\n\n"))
+    paragraphs = F.when(blank, F.transform(F.split("_form", "\n\n+"), lambda x: F.btrim(F.translate(x, "\n", " ")))).otherwise(F.array(_line(F.col("_form"))))
+    fitting = F.filter(F.concat(lines, paragraphs), lambda x: F.length(x).between(*sizes))
+    units = rows.select("_row", "doc_id", F.sha2(_line(F.col("_form")), 256).alias("text_digest"), F.array_distinct(F.transform(fitting, lambda x: F.sha2(x, 256))).alias("_parts"))
+    known = F.broadcast(known.select("digest", "license").distinct())
+    own = known.withColumnRenamed("digest", "text_digest")
+    exploded = units.select("_row", "doc_id", "text_digest", F.explode_outer("_parts").alias("digest")).join(known.withColumnRenamed("license", "_notice"), "digest", "left")
+    grouped = exploded.groupBy("_row", "doc_id", "text_digest").agg(F.collect_set("_notice").alias("_all"))
+    return grouped.join(own, "text_digest", "left").select("doc_id", "text_digest", "license", F.array_join(F.array_sort("_all"), ",").alias("notices"), F.size("_all").cast("long").alias("n_notices"))
 
 
 # ---- SQL twin ----------------------------------------------------------------
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
 def _canonical_sql(text: str) -> str:
-    quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    sql = f"regexp_replace(lower(coalesce({text}, '')), {quoted(COPYRIGHT_LINE)}, '', 'g')"
-    sql = f"regexp_replace({sql}, {quoted(chr(91) + '^' + chr(92) + 'p{L}' + chr(92) + 'p{N}' + chr(92) + 'n]+')}, ' ', 'g')"
-    sql = f"regexp_replace({sql}, ' ?\\n ?', chr(10), 'g')"
+    has = lambda x, marks: "(" + " OR ".join(f"contains({x}, {_quoted(m)})" for m in marks) + ")"
+    low = f"lower(coalesce({text}, ''))"
+    sql = f"CASE WHEN {has(low, COPYRIGHT_MARKS)} THEN regexp_replace({low}, {_quoted(COPYRIGHT_LINE)}, '', 'g') ELSE {low} END"
+    words = "[^\\p{L}\\p{N}\\n]+"
+    sql = f"regexp_replace(regexp_replace({sql}, '{words}', ' ', 'g'), ' ?\\n ?', chr(10), 'g')"
+    same = sql
     for pattern, replacement in SPELLINGS:
-        sql = f"regexp_replace({sql}, {quoted(pattern)}, {quoted(replacement.replace('$', chr(92)))}, 'g')"
-    return sql
+        same = f"regexp_replace({same}, {_quoted(pattern)}, {_quoted(replacement.replace('$', chr(92)))}, 'g')"
+    return f"CASE WHEN {has(sql, LICENSE_MARKS)} THEN {same} ELSE {sql} END"
 
 
 def _whole_sql(form: str) -> str:
-    return f"sha256(trim(regexp_replace({form}, '[ \\n]+', ' ', 'g')))"
+    return f"sha256(trim(regexp_replace({form}, '\\n+', ' ', 'g')))"
 
 
 def scan_sql() -> str:
