@@ -93,7 +93,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring": op10_substring,
 }
 
+SPACE = "[\\x20\\x09-\\x0D]+"
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words_sql(text: str) -> str:
+    return f"[x for x in regexp_split_to_array({text}, '{SPACE}') if x <> '']"
+
+
 SQL: dict[str, str] = {
+    "op9_jaccard": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, {_words_sql(LOWER.format("coalesce(text, '')"))} AS ws FROM documents
+        ), s AS (
+            SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                                ELSE list_distinct([array_to_string(ws[i:i + 2], ' ') for i in range(1, len(ws) - 1)]) END AS shingles
+            FROM w
+        ), e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+        links AS MATERIALIZED (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+        ), reach(doc_id, low) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.low FROM reach r JOIN links l ON l.a = r.doc_id WHERE r.low < l.b
+        ), least_of AS (SELECT doc_id, min(low) AS component_id FROM reach GROUP BY doc_id)
+        SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id FROM s JOIN least_of USING (doc_id)
+    """,
+    "op10_substring": f"""
+        WITH w AS (SELECT row_number() OVER () AS nr, doc_id, {_words_sql("coalesce(text, '')")} AS ws FROM documents),
+        v AS (
+            SELECT nr, doc_id, i, sha256(array_to_string(ws[i:i + 49], ' ')) AS h
+            FROM (SELECT nr, doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)
+        ), first AS (SELECT h, min(doc_id) AS source FROM v GROUP BY h),
+        gone AS (
+            SELECT nr, list(DISTINCT p) AS ps FROM (
+                SELECT v.nr, unnest(range(v.i, v.i + 50)) AS p FROM v JOIN first USING (h) WHERE source < v.doc_id
+            ) GROUP BY nr
+        ), cut AS (
+            SELECT w.doc_id, ws, [ws[i] for i in range(1, len(ws) + 1) if ps IS NULL OR NOT list_contains(ps, i)] AS kept
+            FROM w LEFT JOIN gone USING (nr)
+        )
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - len(kept) AS BIGINT) AS n_removed,
+               sha256(array_to_string(kept, ' ')) AS kept_sha256
+        FROM cut
+    """,
     "op6_licenses": licenses.scan_sql(),
     "op5_topk": """
         WITH v AS (
