@@ -1,12 +1,15 @@
 """Exact n-gram Jaccard join by T-occurrence search (DivideSkip).
 
-Method. A document is the set of its distinct word shingles (64-bit hashes). Two
-sets with Jaccard similarity of at least num/den share at least one of their
-``n - ceil(num/den * n) + 1`` smallest hashes (their prefixes), and their sizes
-differ by that ratio at most. So documents meet under the keys (prefix hash,
-size class); keys with one document leave the data. All documents of a key hang
-on its smallest one, the leader. The documents of a leader form an index block,
-cut into chunks of at most ``CHUNK_HASHES`` hashes.
+Method. A document is the set of its distinct word shingles (64-bit hashes). A
+linked set shares all but ``n - ceil(num/den * n)`` of its n hashes with its
+partner. So of its prefix, the smallest ``n - ceil(num/den * n) + ceil(n/10)``
+hashes, it shares at least a tenth of the smaller set's size with the partner's
+prefix. Prefix hashes of one document leave the data, and with them documents
+that keep less than that tenth: chance hits and common passages seldom pass.
+The others meet under the keys (prefix hash, size class); a class and its
+neighbour cover all sizes that can link. All documents of a key hang on its
+smallest one, the leader; the documents of a leader form an index block, cut
+into chunks of at most ``CHUNK_HASHES`` hashes.
 
 In a chunk every set is searched against the inverted lists of the others for
 those that share at least T hashes, T following from the threshold. DivideSkip:
@@ -34,11 +37,12 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,19 +51,11 @@ from .common import slices, utf8_rows
 from .components import components
 from .wordhash import WINDOW_BASE, Words, mix, range_sums
 
+LONG_LIST = 256  # entries from which a list is searched rather than merged
 CHUNK_HASHES = 1_000_000  # of 8 bytes: what one task holds at a time, with its index
 BROADCAST_BYTES = 32 << 20
 
 
-def size_classes(num: int, den: int) -> list[int]:
-    """Lower bounds of size classes, so wide that linked sets lie in the same or
-    in neighbouring ones."""
-    bounds, ratio = [1], 1.15 * den / num
-    while bounds[-1] < 1 << 40:
-        bounds.append(max(bounds[-1] + 1, int(np.ceil(bounds[-1] * ratio))))
-    return bounds
-
-
 def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     raw, offsets = utf8_rows(column)
@@ -74,50 +70,49 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-_SKETCH = T.StructType([
-    T.StructField("doc_id", T.LongType()),
-    T.StructField("n", T.LongType()),
-    T.StructField("s1", T.LongType()),
-    T.StructField("s2", T.LongType()),
-    T.StructField("class0", T.IntegerType()),
-    T.StructField("class1", T.IntegerType()),
-    T.StructField("prefix", T.ArrayType(T.LongType())),
-])
+_SKETCH = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("s1", T.LongType()), T.StructField("s2", T.LongType())])
+_KEYS = T.StructType([T.StructField("key", T.LongType()), T.StructField("doc_id", T.LongType())])
 
 
 def _text_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
-def sketches(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Set size, two set hashes, size classes and prefix of every row."""
-    bounds = np.array(size_classes(num, den))
+def sketches(docs: DataFrame, words: int) -> DataFrame:
+    """Size and two hashes of the set of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 1000):
-                n, s1, s2, c0, c1, prefixes, ends = [], [], [], [], [], [], [0]
+                n, s1, s2 = [], [], []
                 for s in shingle_sets(batch.column(1), words):
-                    size = len(s)
-                    n.append(size)
+                    n.append(len(s))
                     mixed = mix(s)
                     s1.append(mixed.sum(dtype=np.uint64))
-                    s2.append(np.bitwise_xor.reduce(mix(mixed + np.uint64(1))) if size else np.uint64(0))
-                    at = int(np.searchsorted(bounds, size, side="right")) - 1
-                    c0.append(at)
-                    c1.append(at + 1 if den * size >= num * int(bounds[at + 1]) else -1)
-                    prefixes.append(s[: size - -(-num * size // den) + 1] if size else s)
-                    ends.append(ends[-1] + len(prefixes[-1]))
-                flat = np.concatenate(prefixes).view(np.int64) if prefixes else np.zeros(0, np.int64)
+                    s2.append(np.bitwise_xor.reduce(mix(mixed + np.uint64(1))) if len(s) else np.uint64(0))
                 long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n, pa.int64()), long(s1), long(s2), pa.array(c0, pa.int32()), pa.array(c1, pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                    names=_SKETCH.names,
-                )
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), long(s1), long(s2)], names=_SKETCH.names)
 
     return docs.mapInArrow(run, _SKETCH)
 
 
+def prefix_keys(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """(key, doc_id): the prefix of every row's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, 1000):
+                keys, lens = [], []
+                for s in shingle_sets(batch.column(1), words):
+                    n = len(s)
+                    keys.append(s[: n - -(-num * n // den) + -(-n // 10)])
+                    lens.append(len(keys[-1]))
+                ids = np.repeat(batch.column(0).to_numpy(), lens)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)), pa.array(ids, pa.int64())], names=_KEYS.names)
+
+    return docs.mapInArrow(run, _KEYS)
+
+
 # ---- one chunk ---------------------------------------------------------------
 class Forest:
     """Components of a chunk's documents."""
@@ -136,22 +131,27 @@ class Forest:
         self.up[max(a, b)] = min(a, b)
 
 
-def divide_skip(lists: list[np.ndarray], least: int, n_docs: int) -> np.ndarray:
-    """Documents that occur in at least ``least`` of the sorted lists (the
-    T-occurrence problem)."""
-    lists = sorted(lists, key=len)
-    longest = len(lists[-1])
-    n_long = min(least - 1, int(least / (0.01 * np.log2(max(longest, 2)) + 1)))
-    short, long_ = lists[: len(lists) - n_long], lists[len(lists) - n_long :]
-    # merge of the short lists: each list is a sorted run, equal neighbours are counted
-    merged = np.sort(np.concatenate(short), kind="stable")
-    starts = np.flatnonzero(np.concatenate([[True], merged[1:] != merged[:-1]]))
-    counts = np.diff(np.append(starts, len(merged)))
+def divide_skip(postings: np.ndarray, start: np.ndarray, size: np.ndarray, least: int) -> np.ndarray:
+    """Documents that occur in at least ``least`` of the lists, which are the
+    sorted runs ``postings[start : start + size]`` (the T-occurrence problem).
+    At most ``least - 1`` lists can be set aside; only those longer than
+    ``LONG_LIST`` are worth a binary search."""
+    order = np.argsort(size, kind="stable")
+    start, size = start[order], size[order]
+    n_long = min(least - 1, int((size > LONG_LIST).sum()))
+    n_short = len(size) - n_long
+    # merge of the short lists: sorted runs brought together, equal neighbours counted
+    ends = np.cumsum(size[:n_short])
+    at = np.arange(ends[-1]) + np.repeat(start[:n_short] - ends + size[:n_short], size[:n_short])
+    merged = np.sort(postings[at], kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], merged[1:] != merged[:-1]]))
+    counts = np.diff(np.append(first, len(merged)))
     enough = counts >= least - n_long
-    found, counts = merged[starts[enough]], counts[enough]
-    for left, one in zip(range(n_long, 0, -1), reversed(long_), strict=True):
+    found, counts = merged[first[enough]], counts[enough]
+    for left in range(n_long, 0, -1):
         if not len(found):
             break
+        one = postings[start[n_short + left - 1] :][: size[n_short + left - 1]]
         at = np.minimum(np.searchsorted(one, found), len(one) - 1)
         counts = counts + (one[at] == found)
         hopeful = counts + left - 1 >= least
@@ -190,7 +190,7 @@ def chunk_links(ids: np.ndarray, sets: list[np.ndarray], num: int, den: int, ask
         mine = number[first[x] : first[x + 1]]
         mine = mine[shared[mine]]
         # with partners of any size the shared part is at least num/den of the set
-        for y in divide_skip([lists[a:b] for a, b in zip(starts[mine], ends[mine], strict=True)], int(-(-num * sizes[x] // den)), n).tolist():
+        for y in divide_skip(lists, starts[mine], ends[mine] - starts[mine], int(-(-num * sizes[x] // den))).tolist():
             if y == x or everyone and y > x or den * min(sizes[x], sizes[y]) < num * max(sizes[x], sizes[y]) or forest.root(x) == forest.root(y):
                 continue
             common = len(np.intersect1d(number[first[x] : first[x + 1]], number[first[y] : first[y + 1]], assume_unique=True))
@@ -275,22 +275,33 @@ def _places(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
 def jaccard_components(spark: SparkSession, docs: DataFrame, words: int, num: int, den: int, chunk_hashes: int = CHUNK_HASHES, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     rows = _text_rows(docs, key, text)
-    path = scratch_path(spark, "sketches")
-    sketches(rows, words, num, den).write.parquet(path)
-    sketch = spark.read.schema(_SKETCH).parquet(path)
-    narrow = sketch.select("doc_id", "n", "s1", "s2")
+    narrow = materialize(sketches(rows, words))
     classes = narrow.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("node"))
-    copies = sized(spark, narrow.filter("n > 0").join(classes, ["n", "s1", "s2"]).filter("node IS NULL OR NOT doc_id <=> node").select("doc_id").distinct(), "copies")
+    copies = sized(spark, narrow.filter("n > 0").join(classes, ["n", "s1", "s2"]).filter("doc_id > node").select("doc_id").distinct(), "copies")
 
     # documents that meet under a key
-    nodes = sketch.filter("n > 0 AND doc_id IS NOT NULL").join(copies, "doc_id", "left_anti")
-    under = F.explode(F.filter(F.array("class0", "class1"), lambda c: c >= 0))
-    keyed = nodes.select("doc_id", "prefix", under.alias("c")).select("doc_id", "c", F.explode("prefix").alias("h")).select(F.xxhash64("h", "c").alias("key"), "doc_id")
-    met = keyed.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).filter("leader < last").select("key", "leader")
-    stars = materialize(keyed.join(met, "key").filter("doc_id > leader").select("leader", "doc_id").distinct())
+    nodes = rows.filter("doc_id IS NOT NULL").join(copies, "doc_id", "left_anti").select("doc_id", "text")
+    keyed = prefix_keys(nodes, words, num, den)
+    shared = keyed.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("key")
+    path = scratch_path(spark, "hits")
+    keyed.join(shared, "key").write.parquet(path)
+    hits = spark.read.schema(_KEYS).parquet(path)
+    each = narrow.filter("doc_id IS NOT NULL AND n > 0").select("doc_id", "n").distinct()
+    enough = hits.groupBy("doc_id").agg(F.count(F.lit(1)).alias("met")).join(each, "doc_id").filter(F.col("met") * 10 * den >= F.col("n") * num)
+    size_class = lambda n: F.floor(F.log(n.cast("double")) / math.log(max(1.3, 1.05 * den / num))).cast("int")
+    classes_of = F.array_distinct(F.array(size_class(F.col("n")), size_class(F.floor(F.col("n") * den / num))))
+    able = sized(spark, enough.select("doc_id", "n", F.explode(classes_of).alias("c")).groupBy("doc_id", "c").agg(F.ceil(F.min("n") * num / (10 * den)).alias("share")), "able")
+    meeting = hits.join(able, "doc_id")
+    met = meeting.groupBy("key", "c").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).filter("leader < last").select("key", "c", "leader")
+    ties = meeting.join(met, ["key", "c"]).groupBy("doc_id", "c", "leader", "share").agg(F.count(F.lit(1)).alias("weight"))
+    # a linked pair meets under ``share`` keys of a class at least: a document can
+    # leave its lightest leaders as long as they hold less than half of that
+    lightest = Window.partitionBy("doc_id", "c").orderBy("weight", "leader").rowsBetween(Window.unboundedPreceding, 0)
+    ties = ties.withColumn("light", F.sum("weight").over(lightest)).filter(F.col("light") * 2 > F.col("share") - 1)
+    stars = materialize(ties.filter("doc_id > leader").select("leader", "doc_id").distinct())
 
     # a leader's documents in chunks; the leader itself is in each of them
-    sizes = nodes.groupBy("doc_id").agg(F.max("n").alias("n"))
+    sizes = narrow.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("n").alias("n"))
     followers = stars.join(sizes, "doc_id")
     chunks = followers.groupBy("leader").agg(F.ceil(F.sum("n") / chunk_hashes).alias("chunks"))
     hang = F.pmod(F.xxhash64("doc_id"), F.col("chunks"))
@@ -354,8 +365,13 @@ def _exploded(sets: DataFrame) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: that with the smallest id."""
-    found = jaccard_components(spark, docs, words, num, den, key=key, text=text)
+    """``docs`` with one document of each component: that with the smallest id.
+    Of rows with one id, one stays; rows with a null id stay."""
+    found = materialize(jaccard_components(spark, docs, words, num, den, key=key, text=text))
     dropped = sized(spark, found.filter("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct(), "dropped")
-    return docs.join(dropped, key, "left_anti")
-
+    repeated = sized(spark, found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).count().filter("count > 1").select(key), "repeated")
+    kept = docs.join(dropped, key, "left_anti")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    once = kept.join(repeated, key, "left_semi").dropDuplicates([key])
+    return kept.join(repeated, key, "left_anti").unionByName(once).select(*docs.columns)
