@@ -71,14 +71,17 @@ def test_components_of_odd_rows(ready, docs_of):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([1, 4, None, None], key=repr)
 
 
-def test_divide_skip_solves_t_occurrence():
+@pytest.mark.parametrize("long_list", [0, 5, 10**6])
+def test_divide_skip_solves_t_occurrence(monkeypatch, long_list):
+    monkeypatch.setattr(jaccard, "LONG_LIST", long_list)
     rng = np.random.default_rng(2)
     for _ in range(50):
         lists = [np.flatnonzero(rng.random(60) < p) for p in rng.choice([0.05, 0.3, 0.9], 30)]
         lists = [x for x in lists if len(x)]
+        size = np.array([len(x) for x in lists])
         least = int(rng.integers(1, len(lists) + 1))
         want = [d for d, c in sorted(Counter(np.concatenate(lists).tolist()).items()) if c >= least]
-        assert jaccard.divide_skip(lists, least, 60).tolist() == want
+        assert jaccard.divide_skip(np.concatenate(lists), np.cumsum(size) - size, size, least).tolist() == want
 
 
 def test_components_of_links(ready):
@@ -143,8 +146,9 @@ def test_text_without_repeats(ready, docs_of):
     assert {r.text for r in out.filter("doc_id = 10").collect()} == {rows[0][1]}  # untouched, white space too
 
 
-def test_factors_meet_at_boundaries():
-    pos, source = np.array([3, 4, 5, 6, 9, 20]), np.array([1, 1, 2, 2, 1, 1])
-    factors = substring.parse(pos, source, 4)
-    assert factors == [(3, 5, 1), (5, 5, 2), (9, 4, 1), (20, 4, 1)]
-    assert substring.merged(factors) == [(3, 10), (20, 4)]
+def test_factors_end_where_the_source_changes():
+    doc, seq = np.array([1, 1, 1, 1, 1, 2, 2]), np.array([7, 7, 7, 7, 7, 7, 7])
+    pos, source = np.array([3, 4, 5, 6, 9, 9, 10]), np.array([0, 0, -1, -1, 0, 0, 0])
+    first, length = substring.parse(doc, seq, pos, source, 4)
+    assert list(zip(doc[first], pos[first], length, strict=True)) == [(1, 3, 5), (1, 5, 5), (1, 9, 4), (2, 9, 5)]
+    assert len(substring.parse(doc[:0], seq[:0], pos[:0], source[:0], 4)[0]) == 0

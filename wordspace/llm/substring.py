@@ -57,8 +57,7 @@ _WINDOWS = T.StructType([
     T.StructField("s1", T.LongType()),
     T.StructField("pos", T.IntegerType()),
 ])
-_SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("length", T.IntegerType())]))
-_FACTORS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("s1", T.LongType()), T.StructField("spans", _SPAN)])
+_FACTORS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("s1", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("length", T.IntegerType())])
 
 
 def _text_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -118,36 +117,25 @@ def block_windows(rows: DataFrame, window: int, gram: int) -> DataFrame:
     return rows.select("doc_id", "text", "s1", "wanted").mapInArrow(run, _WINDOWS)
 
 
-def parse(pos: np.ndarray, source: np.ndarray, window: int) -> list[tuple[int, int, int]]:
-    """Greedy factors (start, length, source) from the positions of a document's
-    known windows and where each comes from."""
-    order = np.argsort(pos, kind="stable")
-    pos, source = pos[order], source[order]
-    new = np.flatnonzero(np.concatenate([[True], (np.diff(pos) > 1) | (source[1:] != source[:-1])]))
+def parse(doc: np.ndarray, seq: np.ndarray, pos: np.ndarray, source: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Greedy factors of known windows, sorted by document and position: the
+    row at which each starts, and its length in words."""
+    if not len(pos):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (seq[1:] != seq[:-1]) | (np.diff(pos) > 1) | (source[1:] != source[:-1])]))
     last = np.append(new[1:], len(pos)) - 1
-    return [(int(pos[a]), int(pos[b] - pos[a]) + window, int(source[a])) for a, b in zip(new, last, strict=True)]
-
-
-def merged(factors: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Spans of words (start, length) that the factors cover."""
-    spans: list[tuple[int, int]] = []
-    for start, length, _ in factors:
-        if spans and start <= spans[-1][0] + spans[-1][1]:
-            spans[-1] = (spans[-1][0], max(spans[-1][1], start + length - spans[-1][0]))
-        else:
-            spans.append((start, length))
-    return spans
+    return new, pos[last] - pos[new] + window
 
 
 def repeated_spans(spark: SparkSession, rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(doc_id, cuts): what to remove from each document that repeats a smaller
-    one; ``cuts`` lists (s1, spans), spans null for the whole text."""
+    one; ``cuts`` lists (s1, start, length), start null for the whole text."""
     path = scratch_path(spark, "anchors")
     sketches(rows, window, gram).write.parquet(path)
     sketch = spark.read.schema(_SKETCH).parquet(path).filter(F.col("n_words") >= window)
     classes = sketch.groupBy("n_words", "s1", "s2").agg(F.min("doc_id").alias("first"))
     both = sketch.join(classes, ["n_words", "s1", "s2"])
-    copies = both.filter("doc_id > first").select("doc_id", "s1", F.lit(None).cast(_SPAN).alias("spans")).distinct()
+    copies = both.filter("doc_id > first").select("doc_id", "s1", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("length")).distinct()
 
     anchors = both.filter("doc_id = first").select("doc_id", "s1", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("anchor")
@@ -157,16 +145,18 @@ def repeated_spans(spark: SparkSession, rows: DataFrame, window: int = WINDOW, g
     block_windows(rows.join(wanted, "doc_id"), window, gram).write.parquet(index_path)
     windows = spark.read.schema(_WINDOWS).parquet(index_path)
     index = windows.groupBy("window").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).filter("source < last").select("window", "source")
-    known = windows.join(index, "window").filter("source < doc_id").groupBy("doc_id", "s1").agg(F.collect_list("pos").alias("pos"), F.collect_list("source").alias("source"))
+    known = windows.join(index, "window").filter("source < doc_id").select("doc_id", "s1", "pos", "source")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a factor that the edge of a batch cuts becomes two; their union is the same
         for batch in batches:
-            spans = [[{"start": s, "length": n} for s, n in merged(parse(np.array(p), np.array(q), window))] for p, q in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            kind = pa.list_(pa.struct([pa.field("start", pa.int32()), pa.field("length", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, kind)], names=_FACTORS.names)
+            doc, seq, pos, source = (batch.column(i).to_numpy() for i in range(4))
+            first, length = parse(doc, seq, pos, source, window)
+            yield pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(seq[first]), pa.array(pos[first], pa.int32()), pa.array(length, pa.int32())], names=_FACTORS.names)
 
-    factors = known.select("doc_id", "s1", "pos", "source").mapInArrow(run, _FACTORS)
-    return factors.unionByName(copies).groupBy("doc_id").agg(F.collect_list(F.struct("s1", "spans")).alias("cuts"))
+    ordered = known.repartition("doc_id", "s1").sortWithinPartitions("doc_id", "s1", "pos")
+    factors = ordered.mapInArrow(run, _FACTORS)
+    return factors.unionByName(copies).groupBy("doc_id").agg(F.collect_list(F.struct("s1", "start", "length")).alias("cuts"))
 
 
 def cut_words(w: Words, cuts: list[dict] | None) -> np.ndarray | None:
@@ -174,13 +164,14 @@ def cut_words(w: Words, cuts: list[dict] | None) -> np.ndarray | None:
     if not cuts:
         return None
     own = int(_sequence_hashes(w)[0].view(np.int64)[0])
+    keep = np.ones(len(w.hash), bool)
     for cut in cuts:
         if cut["s1"] == own:
-            keep = np.zeros(len(w.hash), bool) if cut["spans"] is None else np.ones(len(w.hash), bool)
-            for span in cut["spans"] or ():
-                keep[span["start"] : span["start"] + span["length"]] = False
-            return keep
-    return None
+            if cut["start"] is None:
+                keep[:] = False
+            else:
+                keep[cut["start"] : cut["start"] + cut["length"]] = False
+    return keep
 
 
 _REMOVED = T.StructType([
@@ -221,7 +212,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
     white space after it, the rest of the text stays as it is, and ``n_chars``
     is counted anew. Untouched rows stay as they are, nulls included."""
     cuts = sized(spark, repeated_spans(spark, _text_rows(docs, key, text), window, gram), "cuts")
-    at, schema = docs.columns.index(text), docs.schema
+    names, at, schema = docs.columns, docs.columns.index(text), docs.schema
     count_at = docs.columns.index(n_chars) if n_chars in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +236,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
                 cols[at] = pa.array(texts, cols[at].type)
                 if count_at is not None:
                     cols[count_at] = pa.array(counts, cols[count_at].type)
-                yield pa.RecordBatch.from_arrays(cols, names=docs.columns)
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     joined = docs.withColumn("_cut_key", F.col(key).cast("long")).join(cuts.withColumnRenamed("doc_id", "_cut_key").withColumnRenamed("cuts", "_cuts"), "_cut_key", "left")
     return joined.select(*docs.columns, "_cuts").mapInArrow(run, schema)
