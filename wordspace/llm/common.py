@@ -6,12 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir, ship_package
 
 #: rows per Arrow batch: keeps a batch of very long texts small
 ARROW_ROWS = 2000
+SLICE_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,10 +27,21 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
-def slices(batch: pa.RecordBatch, rows: int = ARROW_ROWS) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of at most ``rows`` rows (views, no copies)."""
-    for i in range(0, batch.num_rows, rows):
-        yield batch.slice(i, rows)
+def slices(batch: pa.RecordBatch, rows: int = ARROW_ROWS, text: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces (views, no copies) of at most ``rows`` rows and, if
+    the column ``text`` is named, of about ``SLICE_BYTES`` of it, or one row."""
+    if text is None or not batch.num_rows:
+        cuts = range(0, batch.num_rows, rows)
+    else:
+        held = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        cuts, at = [], 0
+        while at < batch.num_rows:
+            cuts.append(at)
+            before = held[at - 1] if at else 0
+            at = max(at + 1, min(at + rows, int(np.searchsorted(held, before + SLICE_BYTES, side="right"))))
+    ends = [*list(cuts)[1:], batch.num_rows]
+    for a, b in zip(cuts, ends, strict=True):
+        yield batch.slice(a, b - a)
 
 
 def utf8_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -203,7 +203,9 @@ def fit_weights(pages: DataFrame, rows: int = FIT_PAGES, key: str = "page_id", h
         kinds = sorted({*inside, *outside})
         yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array([inside[k] for k in kinds], pa.int64()), pa.array([outside[k] for k in kinds], pa.int64())], names=_COUNTS.names)
 
-    sample = pages.select(F.col(html).cast("string").alias("h"), F.xxhash64(key).alias("o")).orderBy("o", F.xxhash64("h")).limit(rows).select("h")
+    # ids are chosen on narrow rows; the pages themselves are only filtered
+    ids = pages.select(F.col(key).alias("_k")).distinct().orderBy(F.xxhash64("_k"), "_k").limit(rows)
+    sample = pages.select(F.col(key).alias("_k"), F.col(html).cast("string").alias("h")).join(F.broadcast(ids), "_k", "left_semi").select("h").limit(rows)
     # tag names of a bounded sample: few rows
     got = sample.mapInArrow(run, _COUNTS).groupBy("kind").agg(F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out")).collect()
     return weights({r["kind"]: r["n_in"] for r in got}, {r["kind"]: r["n_out"] for r in got})
@@ -217,7 +219,7 @@ def extract(pages: DataFrame, weight: dict[str, float], key: str = "page_id", ur
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 500):
+            for batch in slices(whole, 500, text=2):
                 texts = [main_text(h or "", weight) for h in batch.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=TEXTS.names)
 
