@@ -213,7 +213,7 @@ def encode_digests(spark: SparkSession, docs: DataFrame, vocabulary: str, key: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(spec.value)
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, text=1):
                 counts, ids_sha, text_sha = [], [], []
                 for raw in batch.column(1).cast(pa.binary()).fill_null(b"").to_pylist():
                     ids = bpe.encode(raw)
@@ -235,7 +235,7 @@ def encode_ids(spark: SparkSession, docs: DataFrame, vocabulary: str, key: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(spec.value)
         for whole in batches:
-            for batch in slices(whole, 500):
+            for batch in slices(whole, 500, text=1):
                 ids = [np.frombuffer(bpe.encode(raw), "<u4").astype(np.int32) for raw in batch.column(1).cast(pa.binary()).fill_null(b"").to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=TOKENS.names)
 

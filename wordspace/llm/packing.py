@@ -248,7 +248,7 @@ def pack(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int = EN
         tokenizer, packer = _tokenizer(spec.value), SumOfSquares(window)
         first = TaskContext.get().partitionId() << 32
         for whole in batches:
-            for batch in slices(whole, 500):
+            for batch in slices(whole, 500, text=1):
                 texts = batch.column(1).cast(pa.binary()).fill_null(b"").to_pylist()
                 for doc_id, ids in zip(batch.column(0).to_pylist(), tokenizer.encode(texts), strict=True):
                     packer.add((doc_id, len(ids) // 4 + 1), ids + end)
