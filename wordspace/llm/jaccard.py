@@ -53,7 +53,7 @@ from .wordhash import WINDOW_BASE, Words, mix, range_sums
 
 LONG_LIST = 256  # entries from which a list is searched rather than merged
 CHUNK_HASHES = 1_000_000  # of 8 bytes: what one task holds at a time, with its index
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 32 << 20  # files of a table that is broadcast rather than shuffled with texts
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -83,7 +83,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 1000):
+            for batch in slices(whole, 1000, text=1):
                 n, s1, s2 = [], [], []
                 for s in shingle_sets(batch.column(1), words):
                     n.append(len(s))
@@ -101,7 +101,7 @@ def prefix_keys(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 1000):
+            for batch in slices(whole, 1000, text=1):
                 keys, lens = [], []
                 for s in shingle_sets(batch.column(1), words):
                     n = len(s)
@@ -247,7 +247,7 @@ def _with_sets(docs: DataFrame, places: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 200):
+            for batch in slices(whole, 200, text=1):
                 rows: list[tuple] = []
                 for doc, s, at in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), words), batch.column(2).to_pylist(), strict=True):
                     packed = s.tobytes()
@@ -260,7 +260,9 @@ def _with_sets(docs: DataFrame, places: DataFrame, words: int) -> DataFrame:
 
 def sized(spark: SparkSession, df: DataFrame, name: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """The frame written and read again, marked for broadcast if its files are
-    small enough; beyond that Spark joins it by a shuffle."""
+    small enough (never with a limit of 0). Beyond that Spark joins it by a shuffle of both sides, which
+    adaptive execution can split at hot keys: it could not if the frame were an
+    aggregate by the same keys in the same stage."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
@@ -276,13 +278,17 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, words: int, num: in
     """(doc_id, n_shingles, component_id) of every row."""
     rows = _text_rows(docs, key, text)
     narrow = materialize(sketches(rows, words))
-    classes = narrow.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("node"))
-    copies = sized(spark, narrow.filter("n > 0").join(classes, ["n", "s1", "s2"]).filter("doc_id > node").select("doc_id").distinct(), "copies")
+    # sets of more than one row; a written table, so that a large group of copies
+    # is no hot key of a join with an aggregate
+    classes = narrow.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("rows"))
+    classes = sized(spark, classes.filter("rows > 1").drop("rows"), "classes")
+    copies = sized(spark, narrow.join(classes, ["n", "s1", "s2"]).filter("doc_id > node").select("doc_id").distinct(), "copies")
 
     # documents that meet under a key
     nodes = rows.filter("doc_id IS NOT NULL").join(copies, "doc_id", "left_anti").select("doc_id", "text")
     keyed = prefix_keys(nodes, words, num, den)
     shared = keyed.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("key")
+    shared = sized(spark, shared, "shared", 0)
     path = scratch_path(spark, "hits")
     keyed.join(shared, "key").write.parquet(path)
     hits = spark.read.schema(_KEYS).parquet(path)
@@ -293,6 +299,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, words: int, num: in
     able = sized(spark, enough.select("doc_id", "n", F.explode(classes_of).alias("c")).groupBy("doc_id", "c").agg(F.ceil(F.min("n") * num / (10 * den)).alias("share")), "able")
     meeting = hits.join(able, "doc_id")
     met = meeting.groupBy("key", "c").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).filter("leader < last").select("key", "c", "leader")
+    met = sized(spark, met, "met", 0)
     ties = meeting.join(met, ["key", "c"]).groupBy("doc_id", "c", "leader", "share").agg(F.count(F.lit(1)).alias("weight"))
     # a linked pair meets under ``share`` keys of a class at least: a document can
     # leave its lightest leaders as long as they hold less than half of that
@@ -313,7 +320,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, words: int, num: in
     hot = sized(spark, chunks.filter("chunks > 1"), "hot")
     if not hot.isEmpty():
         links = materialize(links.unionByName(_across_chunks(spark, rows, stars, hot, components(links), words, num, den)))
-    reached = components(links)
+    reached = sized(spark, components(links), "reached")
 
     named = narrow.join(classes, ["n", "s1", "s2"], "left").withColumn("node", F.coalesce("node", "doc_id"))
     named = named.join(reached, "node", "left")

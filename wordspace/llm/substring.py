@@ -76,7 +76,7 @@ def sketches(rows: DataFrame, window: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 500):
+            for batch in slices(whole, 500, text=1):
                 w = Words(*utf8_rows(batch.column(1)))
                 s1, s2 = _sequence_hashes(w)
                 low = sliding_min(w.runs(gram), window - gram + 1)
@@ -97,7 +97,7 @@ def block_windows(rows: DataFrame, window: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 200):
+            for batch in slices(whole, 200, text=1):
                 w = Words(*utf8_rows(batch.column(1)))
                 s1 = _sequence_hashes(w)[0].view(np.int64)
                 low, runs = sliding_min(w.runs(gram), window - gram + 1).view(np.int64), w.runs(window).view(np.int64)
@@ -133,18 +133,23 @@ def repeated_spans(spark: SparkSession, rows: DataFrame, window: int = WINDOW, g
     path = scratch_path(spark, "anchors")
     sketches(rows, window, gram).write.parquet(path)
     sketch = spark.read.schema(_SKETCH).parquet(path).filter(F.col("n_words") >= window)
-    classes = sketch.groupBy("n_words", "s1", "s2").agg(F.min("doc_id").alias("first"))
-    both = sketch.join(classes, ["n_words", "s1", "s2"])
+    # texts of more than one row; a written table, so that a large group of copies
+    # is no hot key of a join with an aggregate
+    classes = sketch.groupBy("n_words", "s1", "s2").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows"))
+    classes = sized(spark, classes.filter("rows > 1").drop("rows"), "classes")
+    both = sketch.join(classes, ["n_words", "s1", "s2"], "left").withColumn("first", F.coalesce("first", "doc_id"))
     copies = both.filter("doc_id > first").select("doc_id", "s1", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("length")).distinct()
 
     anchors = both.filter("doc_id = first").select("doc_id", "s1", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("anchor")
+    shared = sized(spark, shared, "shared", 0)
     wanted = sized(spark, anchors.join(shared, "anchor").groupBy("doc_id", "s1").agg(F.collect_set("anchor").alias("wanted")), "wanted")
 
     index_path = scratch_path(spark, "windows")
     block_windows(rows.join(wanted, "doc_id"), window, gram).write.parquet(index_path)
     windows = spark.read.schema(_WINDOWS).parquet(index_path)
     index = windows.groupBy("window").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).filter("source < last").select("window", "source")
+    index = sized(spark, index, "index", 0)
     known = windows.join(index, "window").filter("source < doc_id").select("doc_id", "s1", "pos", "source")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +198,7 @@ def removed_words(spark: SparkSession, docs: DataFrame, window: int = WINDOW, gr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 500):
+            for batch in slices(whole, 500, text=1):
                 n_words, n_removed, sha = [], [], []
                 for raw, cut in zip(batch.column(1).cast(pa.binary()).fill_null(b"").to_pylist(), batch.column(2).to_pylist(), strict=True):
                     words = raw.split()
@@ -217,7 +222,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 500):
+            for batch in slices(whole, 500, text=at):
                 texts, cols = batch.column(at).to_pylist(), list(batch.columns[:-1])
                 counts = cols[count_at].to_pylist() if count_at is not None else []
                 for i, cut in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
