@@ -6,7 +6,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from wordspace.llm import fingerprints, licenses, quality, topk
+from wordspace.llm import fingerprints, license_texts, licenses, quality, topk
 
 from .conftest import words
 
@@ -124,6 +124,26 @@ def test_licences(ready, docs_of):
     assert licenses.scan(docs_of([])).count() == 0
 
 
+def test_whole_licenses_and_those_inside_documents(docs_of):
+    files = dict(license_texts.whole_texts()[::-1])
+    isc, bsd = (next(t for k, t in licenses.KNOWN if k == x) for x in ("ISC", "BSD-3-Clause"))
+    flat = "\n".join(x for x in bsd.split("\n") if x)  # other paragraphs, the same lines
+    rows = [
+        *enumerate(license_texts.FILES),
+        (20, "# Tool\n\nSome words.\n\n## License\n\nCopyright (c) 2020 Someone\n\n" + licenses.KNOWN[0][1] + "\n\nMore words.\n\nThe end."),
+        (21, "/*\n * " + isc.replace("\n", "\n * ") + "\n */\nint x;\n" + flat + "\nint y;"),
+        (22, "words\n" + files["GPL-3.0-only"] + "\nReleased under the MIT License.\n" + files["CC0-1.0"].replace("\n\n", "\n")),
+        (23, licenses.KNOWN[0][1].replace("sublicense", "lend") + "\n\nLicensed under CC BY 4.0. And more"),
+        (24, "gnu general public license\n" * 500),
+    ]
+    rows = [(i, files[t] if i < 20 else t) for i, t in rows]
+    by = {r.doc_id: r for r in licenses.scan(docs_of(rows)).collect()}
+    for i, name in enumerate(license_texts.FILES):
+        assert by[i].license == name and name in by[i].notices.split(",")
+    assert by[20].notices == "MIT" and by[20].license is None and by[21].notices == "BSD-3-Clause,ISC"
+    assert by[22].notices == "CC0-1.0,GPL-3.0-only,MIT" and by[23].notices == by[24].notices == ""
+
+
 def corpus(n):
     rows, labels = [], []
     for i in range(n):

@@ -1,5 +1,7 @@
 """Known licence texts and notices (fixed values: public standard wording)."""
 
+import pkgutil
+
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
 in the Software without restriction, including without limitation the rights
@@ -116,3 +118,19 @@ KNOWN = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
 ]
+
+#: SPDX ids of the licences whose whole text is a file of ``license_files``
+FILES = ["Apache-2.0", "GPL-1.0-only", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0"]
+_TERMS_END = "END OF TERMS AND CONDITIONS"
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(SPDX id, text) of the files: each whole and, where the terms have a
+    marked end, without the appendix after it."""
+    found = []
+    for name in FILES:
+        text = pkgutil.get_data(__package__, f"license_files/{name}.txt").decode()
+        found.append((name, text))
+        if _TERMS_END in text:
+            found.append((name, text[: text.index(_TERMS_END) + len(_TERMS_END)]))
+    return found

@@ -5,14 +5,16 @@ out, every run of characters that are neither letters nor digits one space, and
 equivalent spellings made one in texts that speak of licences (``SPELLINGS``,
 ``LICENSE_MARKS``). The digest of the entire
 canonical text is looked up by a hash join against the digests of the known
-texts, which go through the same expressions. Besides a whole document, each of
-its lines and each run of lines between blank lines counts as an entire text, so
-a licence or notice inside a document is found where it stands by itself.
+texts, which go through the same expressions. Besides a whole document, each run
+of its consecutive lines (blank ones do not count) is an entire text, so a
+licence or notice inside a document is found wherever it begins and ends with a
+line, however its lines and paragraphs are broken. Of these runs only those are
+digested that begin like a known text and are as long as it.
 
-The known texts are a constant table, so their broadcast has a fixed bound. A
-document's texts are exploded and grouped again by row; the digests of lines
-that are known nowhere leave the data before any shuffle of their own (the group
-is partially aggregated where it is made).
+The known texts are a constant table, so their broadcast has a fixed bound:
+notices and short licences (``KNOWN``) and the whole texts of ``license_files``.
+A document's digests are exploded and grouped again by row (the group is
+partially aggregated where it is made).
 
 Defined results: a null or empty text, or one of copyright lines alone, has the
 digest of the empty text, which is no licence; repeated rows give a row each;
@@ -26,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .license_texts import KNOWN
+from .license_texts import KNOWN, whole_texts
 
 #: equivalent spellings on canonical text (fixed values): pattern, replacement
 SPELLINGS = [
@@ -47,6 +49,8 @@ COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n©]*(copyright \(c\)|copyright ©|copyrigh
 COPYRIGHT_MARKS = ["copyright", "(c)", "©", "all rights reserved"]
 #: every known text has one of these; spellings are made one only in texts that have
 LICENSE_MARKS = ["license", "licence", "permission", "permitted", "redistribut", "warrant", "copyright"]
+#: first characters of a known text that a line, and the lines from it on, must have
+START, HEAD = 16, 64
 
 
 def _has(text: Column, marks: list[str]) -> Column:
@@ -83,27 +87,47 @@ def _line(form: Column) -> Column:
 
 
 def known_digests(spark) -> DataFrame:
-    """(digest, license, size): one row for each known canonical text."""
-    known = _forms(spark.createDataFrame(KNOWN, "license string, text string"), "text", "form")
-    return known.select(F.sha2(_line(F.col("form")), 256).alias("digest"), "license", F.length(_line(F.col("form"))).alias("size")).distinct()
+    """(digest, license, size, head): one row for each known canonical text."""
+    known = _forms(spark.createDataFrame(KNOWN + whole_texts(), "license string, text string"), "text", "form").select("license", _line(F.col("form")).alias("form"))
+    return known.select(F.sha2("form", 256).alias("digest"), "license", F.length("form").alias("size"), F.substring("form", 1, HEAD).alias("head")).distinct()
+
+
+def _run_digests(lines: Column, known: list) -> Column:
+    """Digests of the runs of lines that begin and are as long as a known text.
+
+    A run must begin with a line that begins a known text (looked up among the
+    first characters of all of them, so that nearly all lines leave here), go on
+    like the head of one, and have a line end where that one ends."""
+    starts = sorted({k.head[:n] for k in known for n in range(1, START + 1)})
+    kinds = F.array(*[F.struct(F.lit(h).alias("head"), F.lit(n).alias("size")) for h, n in sorted({(k.head, k.size) for k in known})])
+    # lines are not empty, so a run of n characters has at most (n + 1) / 2
+    at = F.filter(F.transform(lines, lambda x, i: F.when(F.substring(x, 1, START).isin(starts), i + 1)), lambda i: i.isNotNull())
+
+    def runs(i: Column) -> Column:
+        near = F.substring(F.array_join(F.slice(lines, i, HEAD // 2 + 1), " "), 1, HEAD)
+        fitting = F.filter(kinds, lambda k: near.startswith(k["head"]))
+        return F.filter(F.transform(fitting, lambda k: run(i, k["size"])), lambda x: x.isNotNull())
+
+    def run(i: Column, size: Column) -> Column:
+        # one character more than the known text: a line end, or missing at the end of the text
+        text = F.rtrim(F.substring(F.array_join(F.slice(lines, i, F.floor(size / 2).cast("int") + 2), "\n"), 1, size + 1), F.lit("\n"))
+        return F.when(F.length(text) == size, F.sha2(F.translate(text, "\n", " "), 256))
+
+    return F.array_distinct(F.flatten(F.transform(at, runs)))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text_digest, license, notices, n_notices): the licence that the
-    whole text is (or null), and the distinct licences of lines and paragraphs,
-    sorted and joined by a comma (empty if none), with their number."""
+    whole text is (or null), and the distinct licences of runs of lines, sorted
+    and joined by a comma (empty if none), with their number."""
     spark = docs.sparkSession
-    known = known_digests(spark)
-    sizes = known.agg(F.min("size"), F.max("size")).first()
+    found = known_digests(spark).collect()  # a constant table of a few dozen rows
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("_t")).withColumn("_row", F.monotonically_increasing_id())
     rows = _forms(rows, "_t", "_form").select("_row", "doc_id", "_form")
-    # a text shorter or longer than all known ones cannot equal one
-    lines = F.transform(F.split("_form", "\n"), lambda x: F.btrim(x))
-    blank = F.contains(F.col("_form"), F.lit("\n\n"))
-    paragraphs = F.when(blank, F.transform(F.split("_form", "\n\n+"), lambda x: F.btrim(F.translate(x, "\n", " ")))).otherwise(F.array(_line(F.col("_form"))))
-    fitting = F.filter(F.concat(lines, paragraphs), lambda x: F.length(x).between(*sizes))
-    units = rows.select("_row", "doc_id", F.sha2(_line(F.col("_form")), 256).alias("text_digest"), F.array_distinct(F.transform(fitting, lambda x: F.sha2(x, 256))).alias("_parts"))
-    known = F.broadcast(known.select("digest", "license").distinct())
+    lines = F.filter(F.transform(F.split("_form", "\n"), lambda x: F.btrim(x)), lambda x: x != "")
+    rows = rows.select("_row", "doc_id", F.sha2(_line(F.col("_form")), 256).alias("text_digest"), lines.alias("_lines"))
+    units = rows.select("_row", "doc_id", "text_digest", _run_digests(F.col("_lines"), found).alias("_parts"))
+    known = F.broadcast(spark.createDataFrame(sorted({(k.digest, k.license) for k in found}), "digest string, license string"))
     own = known.withColumnRenamed("digest", "text_digest")
     exploded = units.select("_row", "doc_id", "text_digest", F.explode_outer("_parts").alias("digest")).join(known.withColumnRenamed("license", "_notice"), "digest", "left")
     grouped = exploded.groupBy("_row", "doc_id", "text_digest").agg(F.collect_set("_notice").alias("_all"))

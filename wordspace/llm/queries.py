@@ -47,7 +47,7 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Licences that documents, or lines and paragraphs of them, are."""
+    """Licences that documents, or runs of lines of them, are."""
     prepare(spark)
     return licenses.scan(table(spark, sf_dir, "documents"))
 
