@@ -144,6 +144,20 @@ def test_whole_licenses_and_those_inside_documents(docs_of):
     assert by[22].notices == "CC0-1.0,GPL-3.0-only,MIT" and by[23].notices == by[24].notices == ""
 
 
+def test_only_copyright_statements_are_left_out(docs_of):
+    long = "Copyright 2020 " + "word " * 80 + "end. More"
+    rows = [
+        ("Copyright 2020 X. Licensed under the MIT License.", "Licensed under the MIT License."), ("All rights reserved. Released under the MIT License.", "Released under the MIT License."),
+        ("© 2020 X | Licensed under CC BY 4.0.", "Licensed under CC BY 4.0."), ("(c) 2020 me. (c) 2021 you. Text goes on. And on", "Text goes on. And on"),
+        ("copyright (c) 2020 Foo Inc. See LICENSE", "See LICENSE"), ("All rights reserved. all rights reserved. " * 20_000 + "words", "words"),
+        ("  (c) You must retain notices", "c you must retain notices"), (long, long.replace(".", "")), ("All rights reserved to nobody here", "all rights reserved to nobody here"),
+        ("Copyright (c) 2015-2020 John Q. Public", ""), ("# Copyright (C) 2007 Acme, Inc. and others <https://a.b/>", ""), ("/* Copyright © Acme, Inc. All rights reserved. */", ""), ("All rights reserved.", ""),
+    ]
+    got = {r.doc_id: r for r in licenses.scan(docs_of([x for i, (a, b) in enumerate(rows) for x in ((2 * i, a), (2 * i + 1, b))])).collect()}
+    assert [i for i in range(len(rows)) if got[2 * i].text_digest != got[2 * i + 1].text_digest] == []
+    assert [got[2 * i].license for i in range(4)] == ["MIT", "MIT", "CC-BY-4.0", None] and got[24].text_digest == hashlib.sha256(b"").hexdigest()
+
+
 def corpus(n):
     rows, labels = [], []
     for i in range(n):

@@ -1,7 +1,7 @@
 """Licence scan by canonical digests, in DataFrame functions alone.
 
-Method. A text is brought to a canonical form: lower case, copyright lines left
-out, every run of characters that are neither letters nor digits one space, and
+Method. A text is brought to a canonical form: lower case, copyright statements
+at the start of a line left out (what follows them on the line stays), every run of characters that are neither letters nor digits one space, and
 equivalent spellings made one in texts that speak of licences (``SPELLINGS``,
 ``LICENSE_MARKS``). The digest of the entire
 canonical text is looked up by a hash join against the digests of the known
@@ -16,7 +16,7 @@ notices and short licences (``KNOWN``) and the whole texts of ``license_files``.
 A document's digests are exploded and grouped again by row (the group is
 partially aggregated where it is made).
 
-Defined results: a null or empty text, or one of copyright lines alone, has the
+Defined results: a null or empty text, or one of copyright statements alone, has the
 digest of the empty text, which is no licence; repeated rows give a row each;
 extra columns are dropped; an empty table gives an empty result.
 """
@@ -45,7 +45,23 @@ SPELLINGS = [
     ("fulfil(ment|s|) ", "fulfill$1 "),
     ("per cent", "percent"),
 ]
+#: of the SQL twin, which leaves out whole lines
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n©]*(copyright \(c\)|copyright ©|copyright [0-9]|\(c\)|©|all rights reserved)[^\n]*$"
+#: words that follow a copyright statement and are not its holder
+_AFTER = r"(?:all rights reserved|(?:is |are )?(?:licen[sc]ed|released|distributed|available|provided) under|permission |redistribution |this )"
+#: the end of a holder: of the line; a full stop after a word that is neither an
+#: initial nor a company's ending that goes on; or the words after a statement
+_ENDS = (
+    r"(?:[^\p{L}\p{N}\n]*$|(?<=[\p{L}\p{N})>]{2})(?<!\b(?:inc|ltd|corp|co|llc|jr|sr|dr|st))\.(?=\s)"
+    r"|(?<=\b(?:inc|ltd|corp|co|llc|jr|sr))\.(?=\s+(?!and\b|&|et\b|or\b|[<(,]|https?:|all rights))|(?=[^\p{L}\p{N}\n]" + _AFTER + "))"
+)
+#: copyright statements at the start of a line: a mark, at most 200 characters of
+#: years and holder, and the end; or "all rights reserved" as a sentence. An
+#: enumerated "(c)" without a year, and a longer sentence, are none.
+COPYRIGHT_STATEMENTS = (
+    r"(?m)^[^\p{L}\p{N}\n©]*(?<!\()(?:(?:(?:copyright (?:\(c\)|©|(?=(?:19|20)[0-9]{2}))|\(c\)(?=[^\p{L}\p{N}\n]*(?:19|20)[0-9]{2})|©)"
+    rf"[^\n]{{0,200}}?{_ENDS}|all rights reserved(?:\.(?=\s)|[^\p{{L}}\p{{N}}\n]*$|(?=[^\p{{L}}\p{{N}}\n]+{_AFTER})))[^\p{{L}}\p{{N}}\n©(]*)++"
+)
 COPYRIGHT_MARKS = ["copyright", "(c)", "©", "all rights reserved"]
 #: every known text has one of these; spellings are made one only in texts that have
 LICENSE_MARKS = ["license", "licence", "permission", "permitted", "redistribut", "warrant", "copyright"]
@@ -58,9 +74,9 @@ def _has(text: Column, marks: list[str]) -> Column:
 
 
 def plain(text: Column) -> Column:
-    """Lower case without copyright lines."""
+    """Lower case without copyright statements."""
     text = F.lower(F.coalesce(text, F.lit("")))
-    return F.when(_has(text, COPYRIGHT_MARKS), F.regexp_replace(text, COPYRIGHT_LINE, "")).otherwise(text)
+    return F.when(_has(text, COPYRIGHT_MARKS), F.regexp_replace(text, COPYRIGHT_STATEMENTS, "")).otherwise(text)
 
 
 def spaced(text: Column) -> Column:
