@@ -54,3 +54,24 @@ def test_query_rows(ready):
     assert by[None].n_chars == len("long words " * 50_000) - 1
     empty = ready.createDataFrame([], SCHEMA)
     assert H.extract(empty, H.fit_weights(empty)).count() == 0
+
+
+def test_article_is_not_left_out_with_its_surroundings():
+    body = "<h1>Title here</h1><p>First part of the text.</p><p>Second part of the text.</p>"
+    text = "Title here\nFirst part of the text.\nSecond part of the text."
+    nav, notes = "<nav>Home page</nav>", '<section id="comments"><article><p>Nice one</p></article></section>'
+    for start, end in [
+        ('<div class="layout no-sidebar">', "</div>"), ('<div class="container has-sidebar"><article>', "</article></div>"), ("<form>" + nav + "<main>", "</main></form>"),
+        ('<form><div class="content">', "</div>" + nav + "</form>"), ('<div class="sidebar"><article>', "</article></div>"), ('<article data-x="1"><div data-hidden="false" data-title="hidden costs">', "</div></article>"),
+        (nav + "<article>", "</article>" + notes), ("<head><title>t</title>", ""), (nav + '<article><div class="cookie-notice ad-box">Buy</div>', "</article>" + notes),
+        ('<article><div title="class=ad role=menu">', "</div></article>"),
+    ]:
+        assert H.main_text(start + body + end, {"word": 1.0} | {t: -0.01 for t in ("div", "p", "h1", "article", "main", "form", "nav", "section", "head", "title")}) == text, start
+
+
+def test_anchors_are_no_names():
+    parts = '<h2 id="related-work">Related work</h2><p id="reply">A reply.</p><section id="search"><p>How to search.</p></section><div class="article-header"><h1>Head line</h1></div>'
+    w = {"word": 1.0} | {t: -0.01 for t in ("div", "p", "h1", "h2", "article", "section")}
+    assert H.main_text(f"<article>{parts}<p>End of it.</p></article>", w) == "Related work\nA reply.\nHow to search.\nHead line\nEnd of it."
+    out = '<div hidden>a</div><div class="site-footer">b</div><div id=comments>c</div><div role="navigation">d</div><p class="x ad">e</p><div STYLE="display: none">f</div>'
+    assert H.main_text(f"<article>Some words here{out}</article>", w) == "Some words here"

@@ -7,8 +7,10 @@ against outside the article, counted on labelled pages: pages that mark their
 article themselves (one ``article`` or ``main`` element). At most ``FIT_PAGES``
 pages are counted, those with the smallest hash of their id; without any, words
 weigh 1 and tags -3.25. Inside the region, elements that are no part of the
-article by their name, class, id or role (menus, adverts, notices, forms,
-sidebars, reader comments, scripts, styles) are left out; their words weigh 0.
+article by their name, a whole class, id or role (menus, adverts, notices, forms,
+sidebars, reader comments, scripts, styles) are left out; their words weigh 0. An
+element that holds the page's article or, without any article outside of such
+elements, more than half of the page's words is not left out.
 
 Character references are decoded, white space inside a block becomes one space,
 and blocks are joined in page order by a line end.
@@ -46,7 +48,7 @@ _TOKEN = re.compile(
     | (?P<text>[^<]++|<)""",
     re.S | re.X,
 )
-_NAMED = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden|type)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("b i em strong u s small big sub sup span font abbr acronym cite code kbd samp var mark q time tt ins del dfn bdi bdo ruby rt rp data wbr br img a label".split())
@@ -59,33 +61,94 @@ NAMES = frozenset(
     "disqus respond reply replies footer header masthead topbar popup modal overlay newsletter subscribe subscription signup login search "
     "pagination pager toolbar complementary contentinfo alert".split()
 )
+#: what a name of NAMES may be joined with in one class, id or role (ad-box, site-footer)
+BESIDE = frozenset("site global top bottom left right primary secondary list links buttons bar box container wrapper wrap area inner outer block item items mobile desktop form icons section posts stories".split())
+#: elements whose ids are anchors; those of sections inside an article are too, but for readers' parts
+ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 hgroup p dt pre blockquote figure".split())
+READERS = frozenset("comments respond disqus".split())
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+def _named(token: str, in_article: bool) -> bool:
+    """Whether a whole class, id or role names what is no part of an article."""
+    parts = [p.lower() for p in _PARTS.findall(token)]
+    names = [p for p in parts if p in NAMES and not (p == "header" and in_article)]
+    return bool(names) and all(p in NAMES or p in BESIDE for p in parts)
+
+
 def _left_out(name: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element is no part of an article."""
+    """Whether an element is no part of an article by its name and attributes."""
     if name in LEFT_OUT and not (name == "header" and in_article):
         return True
     if not attrs or name in ("html", "body") or name in ARTICLE:
         return False
-    for m in _NAMED.finditer(attrs):
+    for m in _ATTRIBUTE.finditer(attrs):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             return True
         if key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return True
-        elif key != "type" and any(p.lower() in NAMES for p in _PARTS.findall(value)):
+        elif key == "id":
+            if name not in ANCHORED and (value.lower() in READERS or not (name == "section" and in_article)) and _named(value, in_article):
+                return True
+        elif key in ("class", "role") and any(_named(x, in_article) for x in value.split()):
             return True
     return False
 
 
+class _Element:
+    """An open or closed block element of a page."""
+
+    __slots__ = ("above", "inner", "name", "skipped", "words")
+
+    def __init__(self, name: str, above: _Element | None, skipped: bool):
+        self.name, self.above, self.skipped, self.words = name, above, skipped, 0
+        self.inner = above is not None and (above.inner or above.name in ARTICLE)  # inside an article
+
+
+def _settle(elements: list[_Element]) -> None:
+    """Decides for each element whether it is left out, with all in it. What
+    holds the page's article is not: the outermost article or main element
+    outside of all that could be left out; if there is none, the longest one, or
+    what holds more than half of the page's words."""
+    top = elements[0]
+    for e in reversed(elements[1:]):
+        e.above.words += e.words
+    below = {top: False}
+    for e in elements[1:]:
+        below[e] = below[e.above] or e.skipped
+    marked = [e for e in elements if e.name in ARTICLE and not e.inner]
+    if not any(not below[e] and e.words for e in marked):
+        kept = max(marked, key=lambda e: (e.words, e.name == "main"), default=None)
+        while kept is not None:
+            kept.skipped, kept = False, kept.above
+        for e in elements:
+            if e.skipped and 2 * e.words > top.words:
+                e.skipped = False
+    for e in elements[1:]:
+        e.skipped = e.skipped or e.above.skipped
+
+
 def units(html: str) -> Iterator[tuple[str, str, bool, bool]]:
     """(kind, text, new block, inside an article) of the page's words and tags.
     Kind is ``word`` (a run of text), ``link`` (text of a link), ``out`` (text
     that is left out) or a tag name."""
-    stack: list[tuple[str, bool]] = []
-    out = links = articles = at = 0
+    elements = [_Element("", None, False)]
+    seq = list(_parse(html, elements))
+    _settle(elements)
+    for kind, text, block, in_article, element in seq:
+        if element is None or not element.skipped:
+            yield kind, text, block, in_article
+        elif kind != "space":
+            yield "out", text, block, in_article
+
+
+def _parse(html: str, elements: list[_Element]) -> Iterator[tuple[str, str, bool, bool, _Element | None]]:
+    """The units before any is left out, texts with the element they are in.
+    Adds the page's elements, with the words directly in them."""
+    stack = [elements[0]]
+    links = articles = at = 0
     while at < len(html):
         m = _TOKEN.match(html, at)
         if m is None:
@@ -93,9 +156,11 @@ def units(html: str) -> Iterator[tuple[str, str, bool, bool]]:
         at = m.end()
         if (text := m["text"]) is not None:
             if not text.isspace():
-                yield ("out" if out else "link" if links else "word"), unescape(text), False, articles > 0
-            elif not out:
-                yield "space", " ", False, articles > 0
+                text = unescape(text)
+                stack[-1].words += len(text.split())
+                yield ("link" if links else "word"), text, False, articles > 0, stack[-1]
+            else:
+                yield "space", " ", False, articles > 0, stack[-1]
             continue
         name = m["name"] or m["name2"]
         if name is None:
@@ -103,21 +168,20 @@ def units(html: str) -> Iterator[tuple[str, str, bool, bool]]:
         name, attrs = name.lower(), m["attrs"] or m["attrs2"] or ""
         block = name not in INLINE
         if m["end"] or m["end2"]:
-            yield name, "", block, articles > 0
+            yield name, "", block, articles > 0, None
             if name == "a":
                 links = 0
-            elif block and any(t == name for t, _ in stack):
+            elif block and any(e.name == name for e in stack):
                 while True:
-                    t, skipped = stack.pop()
-                    out -= skipped
-                    articles -= t in ARTICLE
-                    if t == name:
+                    e = stack.pop()
+                    articles -= e.name in ARTICLE
+                    if e.name == name:
                         break
             continue
         if block and name not in VOID:
-            while stack and stack[-1][0] in ENDS_ITSELF and (stack[-1][0] in ("p", name) or name in ENDS_ITSELF and stack[-1][0] in ("td", "th") and name == "tr"):
-                out -= stack.pop()[1]
-        yield name, "", block, articles > 0
+            while stack[-1].name in ENDS_ITSELF and (stack[-1].name in ("p", name) or name in ENDS_ITSELF and stack[-1].name in ("td", "th") and name == "tr"):
+                stack.pop()
+        yield name, "", block, articles > 0, None
         if name in RAW:
             if not attrs.rstrip().endswith("/") or name not in ("svg", "math"):
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
@@ -127,9 +191,8 @@ def units(html: str) -> Iterator[tuple[str, str, bool, bool]]:
         elif name == "a":
             links = 1
         elif block:
-            skipped = _left_out(name, attrs, articles > 0)
-            stack.append((name, skipped))
-            out += skipped
+            elements.append(_Element(name, stack[-1], _left_out(name, attrs, articles > 0)))
+            stack.append(elements[-1])
             articles += name in ARTICLE
 
 
