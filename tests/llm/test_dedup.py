@@ -152,3 +152,11 @@ def test_factors_end_where_the_source_changes():
     first, length = substring.parse(doc, seq, pos, source, 4)
     assert list(zip(doc[first], pos[first], length, strict=True)) == [(1, 3, 5), (1, 5, 5), (1, 9, 4), (2, 9, 5)]
     assert len(substring.parse(doc[:0], seq[:0], pos[:0], source[:0], 4)[0]) == 0
+
+
+def test_repeated_ids_with_different_texts_are_one_document(ready, docs_of):
+    a, b = words(1, 60, 400), words(2, 60, 400)
+    rows = [(1, a), (5, a), (5, b), (7, b + " end"), (9, words(3, 60, 400)), (11, ""), (12, b), (12, ""), (None, b)]
+    got = jaccard.jaccard_components(ready, docs_of(rows), 3, 90, 100).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got if r.doc_id is not None) == [(1, 1), (5, 1), (5, 1), (7, 1), (9, 9), (11, 11), (12, 1), (12, 1)]
+    assert [r.component_id for r in got if r.doc_id is None] == [1]

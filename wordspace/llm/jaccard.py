@@ -251,7 +251,8 @@ def _with_sets(docs: DataFrame, places: DataFrame, words: int) -> DataFrame:
                 rows: list[tuple] = []
                 for doc, s, at in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), words), batch.column(2).to_pylist(), strict=True):
                     packed = s.tobytes()
-                    rows += [(p["leader"], p["chunk"], doc, p["asked"], p["known"], packed) for p in at]
+                    if packed:  # an id can have an empty text beside others
+                        rows += [(p["leader"], p["chunk"], doc, p["asked"], p["known"], packed) for p in at]
                 cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()), strict=True)], names=_MEMBERS.names)
 
@@ -282,7 +283,14 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, words: int, num: in
     # is no hot key of a join with an aggregate
     classes = narrow.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("rows"))
     classes = sized(spark, classes.filter("rows > 1").drop("rows"), "classes")
-    copies = sized(spark, narrow.join(classes, ["n", "s1", "s2"]).filter("doc_id > node").select("doc_id").distinct(), "copies")
+    # ids with rows of different sets: all their rows are keyed, and linked with their classes
+    of_id = F.struct("n", "s1", "s2")
+    several = narrow.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(of_id).alias("a"), F.max(of_id).alias("b")).filter("a <> b").select("doc_id")
+    several = sized(spark, several, "several")
+    copies = narrow.join(classes, ["n", "s1", "s2"]).filter("doc_id > node").select("doc_id").distinct()
+    if mixed := not several.isEmpty():
+        copies = copies.join(several, "doc_id", "left_anti")
+    copies = sized(spark, copies, "copies")
 
     # documents that meet under a key
     nodes = rows.filter("doc_id IS NOT NULL").join(copies, "doc_id", "left_anti").select("doc_id", "text")
@@ -317,6 +325,9 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, words: int, num: in
     leading = chunks.select(F.col("leader").alias("doc_id"), "leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("asked"), no_label)
     links = materialize(_searched(_with_sets(rows, _places(spark, placed.unionByName(leading), "places"), words), num, den))
 
+    if mixed:
+        own = narrow.join(several, "doc_id").join(classes, ["n", "s1", "s2"]).filter("doc_id <> node")
+        links = materialize(links.unionByName(own.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct()))
     hot = sized(spark, chunks.filter("chunks > 1"), "hot")
     if not hot.isEmpty():
         links = materialize(links.unionByName(_across_chunks(spark, rows, stars, hot, components(links), words, num, den)))
