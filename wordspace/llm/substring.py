@@ -1,14 +1,15 @@
-"""Substring dedup by relative Lempel-Ziv parsing against indexed blocks.
+"""Substring dedup by an exact hash join of windows in indexed blocks.
 
-Method. The reference is the corpus itself, cut into blocks at content: every
+Method. It replaces relative Lempel-Ziv parsing (the README says why). The corpus
+is cut into blocks at content: every
 window of ``WINDOW`` words belongs to the block of its anchor, the smallest hash
 among its ``GRAM``-word runs. Equal windows have equal anchors, so only blocks
 whose anchor occurs in two different documents are indexed: each of their
-windows with the smallest id of a document in which it starts. A document is
-then parsed greedily: from each position the factor runs as long as its windows
-come from one source with a smaller id; a factor is at least a window long. The
-windows that straddle the end of a factor are looked up like all others, so no
-repeat is lost at a factor's boundary. The words of all factors are removed.
+windows with the smallest id of a document in which it starts. All windows of
+these blocks are joined with the index; neighbouring hits of one source id with a
+smaller id are merged to a span ("factor" in the code). Source positions are not
+kept, so a span need not be one substring of its source. The words of all spans
+are removed.
 
 Documents of equal words are one class: all but those of the smallest id are
 removed whole if they are a window long, without going through the index.
@@ -118,7 +119,7 @@ def block_windows(rows: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def parse(doc: np.ndarray, seq: np.ndarray, pos: np.ndarray, source: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Greedy factors of known windows, sorted by document and position: the
+    """Runs of known windows of one source, sorted by document and position: the
     row at which each starts, and its length in words."""
     if not len(pos):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
