@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from wordspace.llm import fingerprints, license_texts, licenses, quality, topk
@@ -46,6 +47,18 @@ def test_index_processes_segments_in_impact_order_and_is_exact():
         assert at.tolist() == np.lexsort((np.arange(3000), -exact))[:5].tolist() and (score == exact[at]).all()
 
 
+def test_index_has_no_limit_but_that_of_the_scores():
+    rng = np.random.default_rng(1)
+    for high, dims in ((90, 5000), (1 << 18, 64), (1 << 24, 8), (1 << 29, 8)):
+        vectors, q = rng.integers(-high, high, (300, dims)), rng.integers(-high, high, dims)
+        exact = [sum(int(a) * int(b) for a, b in zip(v, q, strict=True)) for v in vectors]
+        at, score = topk.ImpactIndex(np.arange(300), vectors).search(q, 5, -1)
+        best = sorted(range(300), key=lambda i: (-exact[i], i))[:5]
+        assert at.tolist() == best and score.tolist() == [exact[i] for i in best]
+    with pytest.raises(OverflowError):
+        topk.ImpactIndex(np.arange(2), np.full((2, 4), 1 << 40)).search(np.full(4, 1 << 40), 1, -1)
+
+
 def simhash_brute(spark, text):
     """Votes of the same term hashes, counted one by one."""
     row = fingerprints.term_hashes(spark.createDataFrame([(text or "",)], "t string"), "t").selectExpr("transform(terms, x -> struct(x AS a, xxhash64(x, 1) AS b)) AS h").first()["h"]

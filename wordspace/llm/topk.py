@@ -20,7 +20,9 @@ take no part, neither as query nor as candidate; vectors of another length than
 the query's never match it; a row is never its own candidate, and neither are
 rows with the same id; repeated candidate rows count each; ties go to the
 smaller id; extra columns are dropped; an empty table gives an empty result;
-fewer than k candidates give all of them.
+fewer than k candidates give all of them. Products too large for sums in 64 bits
+are scored without the index; a score of the result itself must fit 64 bits
+(OverflowError).
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ BLOCK = 8192  # vectors of an index block
 QUERY_BLOCK = 512
 LEVEL = 4  # integer values of one impact level
 RESCORE = 64  # vectors of the highest bounds that are scored exactly after a round
-UNIT = float(1 << 40)
+SAFE = 1 << 60  # sums of products below it are held in 64-bit integers
 ROUNDS = (0.52, 0.65, 0.8, 1.0)  # shares of the postings after which a stop is tried
 
 _HITS = T.StructType([
@@ -61,6 +63,7 @@ class ImpactIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, level: int = LEVEL):
         self.ids, self.vectors, self.level = ids, vectors, level
         n, dims = vectors.shape
+        self.largest = max(abs(int(vectors.min())), abs(int(vectors.max())))
         impact = np.floor_divide(vectors, level)
         self.postings, dim, imp, start = [], [], [], []
         for d in range(dims):
@@ -78,6 +81,8 @@ class ImpactIndex:
         """(positions, exact scores) of the k best vectors whose id is not
         ``own``; ties go to the smaller id."""
         n, dims = self.vectors.shape
+        if 2 * dims * (self.largest + self.level) * max(abs(int(query.min())), abs(int(query.max()))) >= SAFE:
+            return self._scan(query, k, own)
         weight = query[self.dim]
         # the largest contribution that a vector of the segment can make
         bound = weight * (self.impact * self.level + np.where(weight > 0, self.level - 1, 0))
@@ -88,24 +93,27 @@ class ImpactIndex:
         np.maximum.at(most, self.dim, gain)
         ranked = np.argsort(-gain, kind="stable")
         cost = np.cumsum(self.size[ranked])
-        # one accumulator holds the gain and, above UNIT, the dimensions met
-        gains = gain.astype(np.float64) + UNIT
-        if int(gain.max()) * dims >= UNIT or dims >= 1 << 12:
-            raise OverflowError("components are too large for exact accumulators")
-        accumulator, done = np.zeros(n), 0
+        # gains and the number of dimensions met of each vector
+        gained, met, done = np.zeros(n, np.int64), np.zeros(n, np.int64), 0
+        wide = int(gain.max()) * dims >= 1 << 53  # sums in doubles would be rounded
         tried = np.zeros(n, bool)
         best = np.zeros(0, np.int64)
         score = np.zeros(n, np.int64)
         for share in ROUNDS:
             stop = min(int(np.searchsorted(cost, share * cost[-1])) + 1, len(ranked))
             at, sizes = self._postings(ranked[done:stop])
-            accumulator += np.bincount(at, np.repeat(gains[ranked[done:stop]], sizes), n)
-            met = np.floor(accumulator / UNIT)
+            if wide:
+                each = np.repeat(gain[ranked[done:stop]], sizes)
+                gained += np.bincount(at, each >> 30, n).astype(np.int64) << 30
+                gained += np.bincount(at, each & (1 << 30) - 1, n).astype(np.int64)
+            else:
+                gained += np.bincount(at, np.repeat(gain[ranked[done:stop]].astype(np.float64), sizes), n).astype(np.int64)
+            met += np.bincount(at, minlength=n)
             done = stop
             # a vector's dimensions that are still open hold at most the next gain each
             ahead = gain[ranked[done]] if done < len(ranked) else 0
             untouched = most <= ahead
-            upper = lowest.sum() + (accumulator - met * UNIT) + most[untouched].sum() + (dims - untouched.sum() - met) * ahead
+            upper = lowest.sum() + gained + most[untouched].sum() + (dims - untouched.sum() - met) * ahead
             fresh = np.argpartition(-upper, RESCORE)[:RESCORE] if n > RESCORE else np.arange(n)
             fresh = fresh[~tried[fresh]]
             best = self._exact(query, k, own, np.concatenate([best, fresh]), fresh, score, tried)
@@ -116,6 +124,15 @@ class ImpactIndex:
         best = self._exact(query, k, own, np.concatenate([best, open_]), open_, score, tried)
         return best, score[best]
 
+    def _scan(self, query: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
+        """``search`` with unbounded integers, without the index."""
+        score = self.vectors.astype(object) @ query.astype(object)
+        among = np.flatnonzero(self.ids != own).tolist()
+        best = sorted(among, key=lambda i: (-score[i], self.ids[i]))[:k]
+        if any(not -(1 << 63) <= score[i] < 1 << 63 for i in best):
+            raise OverflowError("a score does not fit 64 bits")
+        return np.array(best, np.int64), np.array([score[i] for i in best], np.int64)
+
     def _exact(self, query, k, own, among, fresh, score, tried) -> np.ndarray:
         score[fresh] = self.vectors[fresh] @ query
         tried[fresh] = True
