@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, html_text, jaccard, licenses, packing, quality, substring, topk, warc
+from . import bpe, cover_tree, divergence, fingerprints, html_text, jaccard, licenses, packing, prefix_trie, quality, substring, topk, warc
 from .common import prepare, table
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -80,6 +80,24 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removed_words(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    prepare(spark)
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of a language, and overused terms."""
+    prepare(spark)
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with a cosine of 0.9 or more."""
+    prepare(spark)
+    return cover_tree.near_duplicates(spark, table(spark, sf_dir, "embeddings"), 0.9)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_html": op2_html,
@@ -91,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_jaccard": op9_jaccard,
     "op10_substring": op10_substring,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_divergence": op12_divergence,
+    "op13_cover_tree": op13_cover_tree,
 }
 
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -137,6 +158,9 @@ SQL: dict[str, str] = {
         FROM cut
     """,
     "op6_licenses": licenses.scan_sql(),
+    "op11_prefix_trie": prefix_trie.prefix_trie_sql(),
+    "op12_divergence": divergence.divergence_sql(),
+    "op13_cover_tree": cover_tree.near_duplicates_sql(),
     "op5_topk": """
         WITH v AS (
             SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
