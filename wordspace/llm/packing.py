@@ -5,16 +5,17 @@ counts the open (partly filled) windows that hold ``h`` tokens. A document's
 remainder of ``s`` tokens goes to the open window, or the new one, for which the
 sum of squared counts after the placement is smallest; ties go to the fullest.
 Full stretches of a longer document fill windows by themselves before that.
-When a partition ends (or ``MAX_OPEN`` windows are open, which bounds memory),
-the open windows are closed: the emptiest are cut up to fill the fullest, and
-the one window that stays partly filled is cut into powers of two, which need no
-padding. So padding does not depend on the number of partitions.
+When a partition ends, the open windows are closed: the emptiest are cut up to
+fill the fullest, and the one window that stays partly filled is cut into powers
+of two, which need no padding. So padding does not depend on the number of
+partitions. If more than ``MAX_OPEN`` windows are open (64 MB of ids; it takes
+documents that fit nowhere together), the emptiest is spread over the fullest.
 
 Tokens come from the ``tokenizers`` library with the given vocabulary file. The
 file's pre-tokens never hold white space, so each distinct run between white
 space is encoded once per worker; an ASCII run is first lowered and cut into its
 pre-tokens, of which only the unseen ones go to the library (both caches are of
-bounded size).
+bounded size). The ids of a text are gathered from those of its runs.
 
 Defined results: null or empty text is the end id alone; equal rows are packed
 each by itself; a null ``doc_id`` stays null; other columns are dropped; an
@@ -33,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -43,8 +45,9 @@ END_ID = 2
 MAX_OPEN = 4096
 CACHE_RUNS = 400_000
 CACHE_WORDS = 600_000
-#: the vocabulary file's split pattern on lowered ASCII (fixed value of the file)
-ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+GATHER = 64  # texts whose ids are put together at a time
+#: the vocabulary file's split pattern on lowered ASCII (fixed value of the file), and the space
+ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 ]+| ")
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -58,7 +61,8 @@ PIECES = T.StructType([
 
 
 class RunTokenizer:
-    """Ids of whole texts by the library, one call for the runs not yet seen."""
+    """Ids of whole texts by the library, which sees only what is new: many
+    pieces in one call, parted by a special token of the vocabulary."""
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -66,57 +70,110 @@ class RunTokenizer:
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
-        special = [re.escape(t["content"].encode()) for t in json.loads(spec).get("added_tokens", [])]
-        self.special = re.compile(b"|".join(special) or rb"(?!)")
+        settings = json.loads(spec)
+        added = settings.get("added_tokens", [])
+        self.special = re.compile(b"|".join(re.escape(t["content"].encode()) for t in added) or rb"(?!)")
+        whole = [t for t in added if t.get("special") and not any(t.get(k) for k in ("normalized", "lstrip", "rstrip", "single_word"))]
+        self.parting = (whole[-1]["content"], whole[-1]["id"]) if whole else None
+        suffix = settings["model"].get("end_of_word_suffix")
+        self.ends = None  # by id: whether the token ends a word
+        if suffix:
+            vocabulary = settings["model"]["vocab"]
+            self.ends = np.zeros(max([*vocabulary.values(), *(t["id"] for t in added)]) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.words: dict[bytes, bytes] = {}
 
-    def _learn(self, parts: set[bytes], into: dict[bytes, bytes]) -> None:
-        order = list(parts)
-        for i in range(0, len(order), 10_000):
-            some = order[i : i + 10_000]
-            for r, e in zip(some, self.library.encode_batch_fast([r.decode() for r in some], add_special_tokens=False), strict=True):
-                ids = e.ids
-                into[r] = struct.pack(f"<{len(ids)}I", *ids)
-
-    def _learn_runs(self, unseen: set[bytes]) -> None:
-        young, words, special = self.young, self.words, self.special.search
-        plain = {r: ASCII_WORDS.findall(r.lower()) for r in unseen if r.isascii() and not special(r)}
-        self._learn(unseen - plain.keys(), young)
-        new = {w for ws in plain.values() for w in ws if w not in words}
-        if len(words) + len(new) > CACHE_WORDS:
-            words.clear()
-            new = {w for ws in plain.values() for w in ws}
-        self._learn(new, words)
-        look = words.__getitem__
-        for r, ws in plain.items():
-            young[r] = b"".join(map(look, ws))
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids (little-endian unsigned 32 bit) of each UTF-8 text."""
-        runs = [t.split() for t in texts]
-        flat = [r for doc in runs for r in doc]
-        got = list(map(self.young.get, flat))
-        missing = [k for k, ids in enumerate(got) if ids is None]
-        if missing:
-            if len(self.young) >= CACHE_RUNS:
-                self.old, self.young = self.young, {}
-            young, old, unseen = self.young, self.old, set()
-            for k in missing:
-                r = flat[k]
-                if (ids := old.get(r)) is not None:
-                    young[r] = got[k] = ids
+    def _learn(self, parts: list[bytes], into: dict[bytes, bytes], words: bool = False) -> None:
+        """Encode pieces that hold no special token; ``words``: each is one
+        pre-token, so that a token at a word's end ends it."""
+        for i in range(0, len(parts), 10_000):
+            some = parts[i : i + 10_000]
+            texts = [r.decode() for r in some]
+            if words and self.ends is not None:
+                ids = self._ids(" ".join(texts))
+                last = np.flatnonzero(self.ends[ids]) + 1
+                if len(last) == len(some):
+                    self._cut(some, ids, [0, *last[:-1].tolist()], last.tolist(), into)
+                    continue
+            if self.parting is not None:
+                ids = self._ids(self.parting[0].join(texts))
+                cuts = np.flatnonzero(ids == self.parting[1])
+                self._cut(some, ids, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], into)
+                continue
+            for r, text in zip(some, texts, strict=True):
+                into[r] = self._ids(text).tobytes()
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    @staticmethod
+    def _cut(parts: list[bytes], ids: np.ndarray, start: list[int], end: list[int], into: dict[bytes, bytes]) -> None:
+        raw = ids.tobytes()
+        for r, a, b in zip(parts, start, end, strict=True):
+            into[r] = raw[4 * a : 4 * b]
+
+    def _learn_runs(self, unseen: list[bytes]) -> None:
+        """Runs: an ASCII one is put together from its words."""
+        words, special = self.words, self.special.search
+        odd = [r for r in unseen if special(r)]
+        for r in odd:
+            self.young[r] = self._ids(r.decode()).tobytes()
+        if odd:
+            unseen = [r for r in unseen if r not in self.young]
+        self._learn([r for r in unseen if not r.isascii()], self.young)
+        plain = [r for r in unseen if r.isascii()]
+        for i in range(0, len(plain), 50_000):
+            some = plain[i : i + 50_000]
+            parts = ASCII_WORDS.findall(b" ".join(some).lower())
+            new = set(parts).difference(words)
+            if len(words) + len(new) > CACHE_WORDS:
+                words.clear()
+                new = set(parts)
+            new.discard(b" ")
+            self._learn(list(new), words, words=True)
+            words[b" "] = b""  # only parts the runs
+            got = list(map(words.__getitem__, parts))
+            at = np.cumsum([0, *map(len, got)])
+            ends = at[[k for k, x in enumerate(parts) if x == b" "]].tolist()
+            raw = b"".join(got)
+            for r, a, b in zip(some, [0, *ends], [*ends, len(raw)], strict=True):
+                self.young[r] = raw[a:b]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids (little-endian unsigned 32 bit) of each text; null: none."""
+        runs = pc.ascii_split_whitespace(texts.cast(pa.string()).fill_null(""))
+        first = runs.offsets.to_numpy()
+        coded = runs.flatten().dictionary_encode()
+        names = coded.dictionary.cast(pa.binary()).to_pylist()
+        if len(self.young) >= CACHE_RUNS:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        young[b""] = b""
+        unseen = []
+        for r in names:
+            if r not in young:
+                if (ids := old.get(r)) is None:
+                    unseen.append(r)
                 else:
-                    unseen.add(r)
-            self._learn_runs(unseen)
-            for k in missing:
-                if got[k] is None:
-                    got[k] = young[flat[k]]
-        out, at = [], 0
-        for doc in runs:
-            out.append(b"".join(got[at : at + len(doc)]))
-            at += len(doc)
+                    young[r] = ids
+        self._learn_runs(unseen)
+        known = [young[r] for r in names]
+        # the ids of every run of every text, gathered from those of the distinct runs
+        flat = np.frombuffer(b"".join(known), "<u4")
+        size = np.array(list(map(len, known)), np.int64) // 4
+        which = coded.indices.to_numpy()
+        take = size[which]
+        ends = np.cumsum(take)
+        start = np.cumsum(size) - size
+        out, cuts = [], np.concatenate([[0], ends])[first - first[0]].tolist()
+        for a in range(0, len(texts), GATHER):  # some texts at a time
+            b = min(len(texts), a + GATHER)
+            lo, hi = int(first[a] - first[0]), int(first[b] - first[0])
+            at = np.arange(cuts[a], cuts[b]) + np.repeat(start[which[lo:hi]] - ends[lo:hi] + take[lo:hi], take[lo:hi])
+            ids = flat[at].tobytes()
+            out += [ids[4 * (x - cuts[a]) : 4 * (y - cuts[a])] for x, y in zip(cuts[a:b], cuts[a + 1 : b + 1], strict=True)]
         return out
 
 
@@ -148,8 +205,8 @@ class SumOfSquares:
             self.done.append([(doc, a, ids[4 * a : 4 * (a + w)])])
         if size > full:
             self._place((doc, full, ids[4 * full :]), size - full)
-        if self.n_open > self.max_open:
-            self.close()
+        while self.n_open > max(1, self.max_open):
+            self._relieve()
 
     def _place(self, piece: tuple, s: int) -> None:
         n, w = self.levels, self.window
@@ -175,6 +232,34 @@ class SumOfSquares:
             self.levels[level] += 1
             self.n_open += 1
 
+    def _relieve(self) -> None:
+        """Spread the emptiest open window over the fullest ones."""
+        level = int(np.flatnonzero(self.levels)[0])
+        source = self._take(level)
+        while level:
+            high = int(np.flatnonzero(self.levels)[-1])
+            target = self._take(high)
+            take = min(level, self.window - high)
+            self._move(source, target, take)
+            level -= take
+            self._put(target, high + take)
+
+    def _take(self, level: int) -> list:
+        self.levels[level] -= 1
+        self.n_open -= 1
+        return self.open[level].pop()
+
+    @staticmethod
+    def _move(source: list, target: list, tokens: int) -> None:
+        """Move so many tokens, cutting a piece where they end."""
+        while tokens:
+            doc, start, ids = source.pop()
+            size = min(tokens, len(ids) // 4)
+            target.append((doc, start, ids[: 4 * size]))
+            if 4 * size < len(ids):
+                source.append((doc, start + size, ids[4 * size :]))
+            tokens -= size
+
     def close(self) -> None:
         """Fill the fullest open windows with cuts of the emptiest; cut the last
         one into powers of two."""
@@ -249,8 +334,7 @@ def pack(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int = EN
         first = TaskContext.get().partitionId() << 32
         for whole in batches:
             for batch in slices(whole, 500, text=1):
-                texts = batch.column(1).cast(pa.binary()).fill_null(b"").to_pylist()
-                for doc_id, ids in zip(batch.column(0).to_pylist(), tokenizer.encode(texts), strict=True):
+                for doc_id, ids in zip(batch.column(0).to_pylist(), tokenizer.encode(batch.column(1)), strict=True):
                     packer.add((doc_id, len(ids) // 4 + 1), ids + end)
                 if done := packer.drain():
                     yield _rows(done, first)
