@@ -13,9 +13,9 @@ documents that fit nowhere together), the emptiest is spread over the fullest.
 
 Tokens come from the ``tokenizers`` library with the given vocabulary file. The
 file's pre-tokens never hold white space, so each distinct run between white
-space is encoded once per worker; an ASCII run is first lowered and cut into its
-pre-tokens, of which only the unseen ones go to the library (both caches are of
-bounded size). The ids of a text are gathered from those of its runs.
+space is encoded once per worker; a run of ASCII and Latin-1 letters is first
+lowered and cut into its pre-tokens, of which only the unseen ones go to the
+library (both caches are of bounded size). The ids of a text are gathered from those of its runs.
 
 Defined results: null or empty text is the end id alone; equal rows are packed
 each by itself; a null ``doc_id`` stays null; other columns are dropped; an
@@ -46,8 +46,10 @@ MAX_OPEN = 4096
 CACHE_RUNS = 400_000
 CACHE_WORDS = 600_000
 GATHER = 64  # texts whose ids are put together at a time
-#: the vocabulary file's split pattern on lowered ASCII (fixed value of the file), and the space
-ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 ]+| ")
+#: ASCII and the letters of Latin-1, which neither normalisation nor lowering makes into several characters
+PLAIN = re.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*").fullmatch
+#: the vocabulary file's split pattern on such text, lowered (fixed value of the file), and the space
+PLAIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff ]+| ")
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -72,7 +74,7 @@ class RunTokenizer:
         self.library.no_padding()
         settings = json.loads(spec)
         added = settings.get("added_tokens", [])
-        self.special = re.compile(b"|".join(re.escape(t["content"].encode()) for t in added) or rb"(?!)")
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in added) or "(?!)")
         whole = [t for t in added if t.get("special") and not any(t.get(k) for k in ("normalized", "lstrip", "rstrip", "single_word"))]
         self.parting = (whole[-1]["content"], whole[-1]["id"]) if whole else None
         suffix = settings["model"].get("end_of_word_suffix")
@@ -81,62 +83,63 @@ class RunTokenizer:
             vocabulary = settings["model"]["vocab"]
             self.ends = np.zeros(max([*vocabulary.values(), *(t["id"] for t in added)]) + 1, bool)
             self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.words: dict[bytes, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
-    def _learn(self, parts: list[bytes], into: dict[bytes, bytes], words: bool = False) -> None:
+    def _learn(self, parts: list[str], into: dict[str, bytes], words: bool = False) -> None:
         """Encode pieces that hold no special token; ``words``: each is one
         pre-token, so that a token at a word's end ends it."""
-        for i in range(0, len(parts), 10_000):
-            some = parts[i : i + 10_000]
-            texts = [r.decode() for r in some]
+        for i in range(0, len(parts), 5_000):
+            some = parts[i : i + 5_000]
             if words and self.ends is not None:
-                ids = self._ids(" ".join(texts))
+                ids = self._ids(" ".join(some))
                 last = np.flatnonzero(self.ends[ids]) + 1
                 if len(last) == len(some):
                     self._cut(some, ids, [0, *last[:-1].tolist()], last.tolist(), into)
                     continue
             if self.parting is not None:
-                ids = self._ids(self.parting[0].join(texts))
+                ids = self._ids(self.parting[0].join(some))
                 cuts = np.flatnonzero(ids == self.parting[1])
                 self._cut(some, ids, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], into)
                 continue
-            for r, text in zip(some, texts, strict=True):
-                into[r] = self._ids(text).tobytes()
+            for r in some:
+                into[r] = self._ids(r).tobytes()
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     @staticmethod
-    def _cut(parts: list[bytes], ids: np.ndarray, start: list[int], end: list[int], into: dict[bytes, bytes]) -> None:
+    def _cut(parts: list[str], ids: np.ndarray, start: list[int], end: list[int], into: dict[str, bytes]) -> None:
         raw = ids.tobytes()
         for r, a, b in zip(parts, start, end, strict=True):
             into[r] = raw[4 * a : 4 * b]
 
-    def _learn_runs(self, unseen: list[bytes]) -> None:
-        """Runs: an ASCII one is put together from its words."""
+    def _learn_runs(self, unseen: list[str]) -> None:
+        """Runs: a plain one is put together from its words."""
         words, special = self.words, self.special.search
-        odd = [r for r in unseen if special(r)]
-        for r in odd:
-            self.young[r] = self._ids(r.decode()).tobytes()
-        if odd:
-            unseen = [r for r in unseen if r not in self.young]
-        self._learn([r for r in unseen if not r.isascii()], self.young)
-        plain = [r for r in unseen if r.isascii()]
+        plain, other = [], []
+        for r in unseen:
+            if special(r):
+                self.young[r] = self._ids(r).tobytes()
+            elif r.isascii() or PLAIN(r):
+                plain.append(r)
+            else:
+                other.append(r)
+        self._learn(other, self.young)
         for i in range(0, len(plain), 50_000):
             some = plain[i : i + 50_000]
-            parts = ASCII_WORDS.findall(b" ".join(some).lower())
+            parts = PLAIN_WORDS.findall(" ".join(some).lower())
             new = set(parts).difference(words)
             if len(words) + len(new) > CACHE_WORDS:
                 words.clear()
                 new = set(parts)
-            new.discard(b" ")
+            new.discard(" ")
             self._learn(list(new), words, words=True)
-            words[b" "] = b""  # only parts the runs
+            words[" "] = b""  # only parts the runs
             got = list(map(words.__getitem__, parts))
             at = np.cumsum([0, *map(len, got)])
-            ends = at[[k for k, x in enumerate(parts) if x == b" "]].tolist()
+            ends = at[[k for k, x in enumerate(parts) if x == " "]].tolist()
             raw = b"".join(got)
             for r, a, b in zip(some, [0, *ends], [*ends, len(raw)], strict=True):
                 self.young[r] = raw[a:b]
@@ -146,11 +149,11 @@ class RunTokenizer:
         runs = pc.ascii_split_whitespace(texts.cast(pa.string()).fill_null(""))
         first = runs.offsets.to_numpy()
         coded = runs.flatten().dictionary_encode()
-        names = coded.dictionary.cast(pa.binary()).to_pylist()
+        names = coded.dictionary.to_pylist()
         if len(self.young) >= CACHE_RUNS:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        young[b""] = b""
+        young[""] = b""
         unseen = []
         for r in names:
             if r not in young:
@@ -236,13 +239,15 @@ class SumOfSquares:
         """Spread the emptiest open window over the fullest ones."""
         level = int(np.flatnonzero(self.levels)[0])
         source = self._take(level)
-        while level:
+        while level and self.n_open:
             high = int(np.flatnonzero(self.levels)[-1])
             target = self._take(high)
             take = min(level, self.window - high)
             self._move(source, target, take)
             level -= take
             self._put(target, high + take)
+        if level:
+            self._put(source, level)
 
     def _take(self, level: int) -> list:
         self.levels[level] -= 1
