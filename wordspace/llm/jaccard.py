@@ -42,18 +42,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize, scratch_path, table_bytes
+from ..session import materialize, scratch_path
 from .common import slices, utf8_rows
 from .components import components
 from .wordhash import WINDOW_BASE, Words, mix, range_sums
 
+SCANS = 32  # documents of a chunk that are compared with all others first
 LONG_LIST = 256  # entries from which a list is searched rather than merged
 CHUNK_HASHES = 1_000_000  # of 8 bytes: what one task holds at a time, with its index
-BROADCAST_BYTES = 32 << 20  # files of a table that is broadcast rather than shuffled with texts
+CHUNK_ROWS = 8192  # documents of a chunk
+BROADCAST_BYTES = 32 << 20  # of a table in memory that is broadcast rather than shuffled with texts
+ROW_BYTES = 64  # of a row of up to five numbers in a broadcast relation
+ITEM_BYTES = 48  # of an item of a list in it
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -115,20 +120,33 @@ def prefix_keys(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
 
 # ---- one chunk ---------------------------------------------------------------
 class Forest:
-    """Components of a chunk's documents."""
+    """Components of a chunk's documents: ``label`` of each; a smaller component
+    takes the label of a larger one."""
 
     def __init__(self, n: int):
-        self.up = list(range(n))
+        self.label = np.arange(n)
+        self.members: dict[int, np.ndarray] = {}
 
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
+    def _of(self, label: int) -> np.ndarray:
+        return self.members.get(label, np.array([label]))
 
     def join(self, i: int, j: int) -> None:
-        a, b = self.root(i), self.root(j)
-        self.up[max(a, b)] = min(a, b)
+        a, b = int(self.label[i]), int(self.label[j])
+        if a != b:
+            one, other = self._of(a), self._of(b)
+            if len(one) < len(other):
+                a, b, one, other = b, a, other, one
+            self.label[other] = a
+            self.members[a] = np.concatenate([one, other])
+            self.members.pop(b, None)
+
+    def join_all(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Joins documents with i; one of each component that was another's."""
+        labels, first = np.unique(self.label[others], return_index=True)
+        fresh = others[first[labels != self.label[i]]]
+        for j in fresh.tolist():
+            self.join(i, j)
+        return fresh
 
 
 def divide_skip(postings: np.ndarray, start: np.ndarray, size: np.ndarray, least: int) -> np.ndarray:
@@ -182,25 +200,58 @@ def chunk_links(ids: np.ndarray, sets: list[np.ndarray], num: int, den: int, ask
     asked = np.ones(n, bool) if asked is None else asked[order]
     forest, out = Forest(n), []
     if known is not None:
-        leaders: dict[int, int] = {}
-        for x, label in enumerate(known[order].tolist()):
-            forest.join(x, leaders.setdefault(label, x))
-    everyone = bool(asked.all())
-    for x in np.flatnonzero(asked & (met >= -(-num * sizes // den))).tolist():
+        labels, leader, of = np.unique(known[order], return_index=True, return_inverse=True)
+        for x in range(n):
+            forest.join(x, int(leader[of[x]]))
+    able = met >= -(-num * sizes // den)
+
+    def link(x: int, ys: np.ndarray) -> None:
+        out.extend((int(ids[order[x]]), int(ids[order[y]])) for y in forest.join_all(x, ys).tolist())
+
+    def shared_with(x: int, ys: np.ndarray | None) -> np.ndarray:
+        """Which of the documents ``ys`` (all, if None) are linked with x."""
+        mark = np.zeros(len(keys), bool)
+        mark[number[first[x] : first[x + 1]]] = True
+        if ys is None:
+            common, ys = np.add.reduceat(mark[number], first[:-1], dtype=np.int64), np.arange(n)
+        else:
+            size = sizes[ys]
+            ends = np.cumsum(size)
+            at = np.arange(ends[-1]) + np.repeat(first[ys] - ends + size, size)
+            common = np.add.reduceat(mark[number[at]], ends - size, dtype=np.int64)
+        return ys[(den * common >= num * (sizes[x] + sizes[ys] - common)) & (ys != x)]
+
+    # some documents against all, so that a group of copies becomes one component
+    # at once; a link between components is one of a set outside the largest
+    if asked.all():
+        # first those whose hashes are met most often, in turn of all and of the unlinked
+        met_often = np.add.reduceat((ends - starts)[number], first[:-1]) / sizes
+        central = np.argsort(-met_often, kind="stable")
+        central = central[able[central]]
+        scanned = np.zeros(n, bool)
+        for k in range(SCANS):
+            free = ~scanned[central]
+            alone = free & (np.bincount(forest.label, minlength=n)[forest.label[central]] == 1)
+            if not alone.any():
+                break
+            x = int(central[np.argmax(alone if k % 2 else free)])
+            scanned[x] = True
+            link(x, shared_with(x, None))
+        asked = forest.label != np.bincount(forest.label).argmax()
+    for x in np.flatnonzero(asked & able).tolist():
         mine = number[first[x] : first[x + 1]]
         mine = mine[shared[mine]]
         # with partners of any size the shared part is at least num/den of the set
-        for y in divide_skip(lists, starts[mine], ends[mine] - starts[mine], int(-(-num * sizes[x] // den))).tolist():
-            if y == x or everyone and y > x or den * min(sizes[x], sizes[y]) < num * max(sizes[x], sizes[y]) or forest.root(x) == forest.root(y):
-                continue
-            common = len(np.intersect1d(number[first[x] : first[x + 1]], number[first[y] : first[y + 1]], assume_unique=True))
-            if den * common >= num * (int(sizes[x]) + int(sizes[y]) - common):
-                forest.join(x, y)
-                out.append((int(ids[order[x]]), int(ids[order[y]])))
+        ys = divide_skip(lists, starts[mine], ends[mine] - starts[mine], int(-(-num * sizes[x] // den)))
+        ys = ys[(forest.label[ys] != forest.label[x]) & (den * np.minimum(sizes[x], sizes[ys]) >= num * np.maximum(sizes[x], sizes[ys]))]
+        ys = ys[(ys < x) | ~asked[ys]]
+        if len(ys):
+            link(x, shared_with(x, ys))
     return out
 
 
 _LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+_SETS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("hashes", T.BinaryType())])
 _MEMBERS = T.StructType([
     T.StructField("leader", T.LongType()),
     T.StructField("chunk", T.LongType()),
@@ -241,38 +292,40 @@ def _searched(members: DataFrame, num: int, den: int) -> DataFrame:
     return members.repartition("leader", "chunk").sortWithinPartitions("leader", "chunk", "doc_id").mapInArrow(run, _LINKS)
 
 
-def _with_sets(docs: DataFrame, places: DataFrame, words: int) -> DataFrame:
-    """Members with their sets: ``places`` has (doc_id, at) with a list of
-    (leader, chunk, asked, known); a document's set is built once."""
+def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, hashes): the set of every row that has one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 200, text=1):
-                rows: list[tuple] = []
-                for doc, s, at in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), words), batch.column(2).to_pylist(), strict=True):
-                    packed = s.tobytes()
-                    if packed:  # an id can have an empty text beside others
-                        rows += [(p["leader"], p["chunk"], doc, p["asked"], p["known"], packed) for p in at]
-                cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()), strict=True)], names=_MEMBERS.names)
-
-    return docs.join(places, "doc_id").select("doc_id", "text", "at").mapInArrow(run, _MEMBERS)
-
-
-def sized(spark: SparkSession, df: DataFrame, name: str, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """The frame written and read again, marked for broadcast if its files are
-    small enough (never with a limit of 0). Beyond that Spark joins it by a shuffle of both sides, which
-    adaptive execution can split at hot keys: it could not if the frame were an
-    aggregate by the same keys in the same stage."""
+            for batch in slices(whole, 500, text=1):
+                sets = [s.tobytes() for s in shingle_sets(batch.column(1), words)]
+                some = pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=_SETS.names)
+                yield some.filter(pc.greater(pc.binary_length(some.column(1)), 0))
+
+    return docs.mapInArrow(run, _SETS)
+
+
+def _with_sets(docs: DataFrame, places: DataFrame, words: int) -> DataFrame:
+    """Members (``places``: doc_id, leader, chunk, asked, known) with their sets,
+    which are built once a document and joined by its id."""
+    wanted = docs.join(places.select("doc_id").distinct(), "doc_id", "left_semi")
+    return _sets(wanted, words).join(places, "doc_id").select(_MEMBERS.names)
+
+
+def sized(spark: SparkSession, df: DataFrame, name: str, limit: int = BROADCAST_BYTES, lists: str | None = None) -> DataFrame:
+    """The frame, of numbers and at most one column of ``lists``, written and
+    read again, marked for broadcast if its rows are small enough in memory
+    (never with a limit of 0). Beyond that Spark joins it by a shuffle of both
+    sides, which adaptive execution can split at hot keys: it could not if the
+    frame were an aggregate by the same keys in the same stage."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
-    return F.broadcast(back) if table_bytes(spark, path) <= limit else back
-
-
-def _places(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
-    at = F.collect_list(F.struct("leader", "chunk", "asked", "known")).alias("at")
-    return sized(spark, rows.groupBy("doc_id").agg(at), name)
+    if not limit:
+        return back
+    size = F.lit(ROW_BYTES) if lists is None else F.lit(ROW_BYTES) + F.size(lists) * ITEM_BYTES
+    held = back.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return F.broadcast(back) if held <= limit else back
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame, words: int, num: int, den: int, chunk_hashes: int = CHUNK_HASHES, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -294,7 +347,9 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, words: int, num: in
 
     # documents that meet under a key
     nodes = rows.filter("doc_id IS NOT NULL").join(copies, "doc_id", "left_anti").select("doc_id", "text")
-    keyed = prefix_keys(nodes, words, num, den)
+    path = scratch_path(spark, "keyed")
+    prefix_keys(nodes, words, num, den).write.parquet(path)
+    keyed = spark.read.schema(_KEYS).parquet(path)
     shared = keyed.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("key")
     shared = sized(spark, shared, "shared", 0)
     path = scratch_path(spark, "hits")
@@ -318,12 +373,12 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, words: int, num: in
     # a leader's documents in chunks; the leader itself is in each of them
     sizes = narrow.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("n").alias("n"))
     followers = stars.join(sizes, "doc_id")
-    chunks = followers.groupBy("leader").agg(F.ceil(F.sum("n") / chunk_hashes).alias("chunks"))
+    chunks = followers.groupBy("leader").agg(F.ceil(F.greatest(F.sum("n") / chunk_hashes, F.count(F.lit(1)) / CHUNK_ROWS)).alias("chunks"))
     hang = F.pmod(F.xxhash64("doc_id"), F.col("chunks"))
     no_label = F.lit(None).cast("long").alias("known")
     placed = followers.join(chunks, "leader").select("doc_id", "leader", hang.alias("chunk"), F.lit(True).alias("asked"), no_label)
     leading = chunks.select(F.col("leader").alias("doc_id"), "leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("asked"), no_label)
-    links = materialize(_searched(_with_sets(rows, _places(spark, placed.unionByName(leading), "places"), words), num, den))
+    links = materialize(_searched(_with_sets(rows, materialize(placed.unionByName(leading)), words), num, den))
 
     if mixed:
         own = narrow.join(several, "doc_id").join(classes, ["n", "s1", "s2"]).filter("doc_id <> node")
@@ -347,7 +402,7 @@ def _across_chunks(spark: SparkSession, rows: DataFrame, stars: DataFrame, hot:
     member = materialize(member.join(main, "leader", "left").withColumn("main", F.coalesce("main", "leader")))
     # hashes that only one document of a leader has cannot count
     blank = [F.lit(0).cast("long").alias("chunk"), F.lit(True).alias("asked"), F.lit(None).cast("long").alias("known")]
-    sets = _with_sets(rows, _places(spark, member.select("doc_id", "leader", *blank), "hot-places"), words)
+    sets = _with_sets(rows, member.select("doc_id", "leader", *blank), words)
     hashes = _exploded(sets)
     often = hashes.groupBy("leader", "h").agg(F.countDistinct("doc_id").alias("f")).filter("f > 1").select("leader", "h")
     total = hashes.groupBy("leader", "doc_id").agg(F.count(F.lit(1)).alias("n"))
@@ -364,7 +419,7 @@ def _across_chunks(spark: SparkSession, rows: DataFrame, stars: DataFrame, hot:
     task = (F.col("c") * F.col("chunks") + F.col("block")).alias("chunk")
     asking = asking.select("doc_id", "leader", task, F.lit(True).alias("asked"), F.col("label").alias("known"))
     placed = index.select("doc_id", "leader", task, "asked", "known").unionByName(asking)
-    return _searched(_with_sets(rows, _places(spark, placed, "asked-places"), words), num, den)
+    return _searched(_with_sets(rows, materialize(placed), words), num, den)
 
 
 def _exploded(sets: DataFrame) -> DataFrame:
