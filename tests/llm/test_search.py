@@ -204,3 +204,46 @@ def test_sites_shrink_toward_priors(ready):
     out = quality.classify(ready, df, quality.fit(df, labels))
     mean = {r.source: r.m for r in out.groupBy("source").agg(F.max("_qc_path_mean").alias("m")).collect()}
     assert mean["spam"] < mean["tiny"] < mean["big"]
+
+
+def test_posteriors_by_hand(ready, docs_of):
+    """Hosts, paths, pulls and posteriors computed anew, document by document."""
+    import math
+    from collections import defaultdict
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(160):
+        host, lang = f"h{min(rng.integers(0, 6), rng.integers(0, 6))}", ["en", "de", None][rng.integers(0, 3)]
+        bad = rng.random() < (0.9 if host == "h1" else 0.2)
+        rows.append((i, " ".join(f"word{k}" + ("%%%" if bad else "") for k in range(int(rng.integers(3, 30)))), lang, host if i % 11 else None, bad))
+    df = ready.createDataFrame([r[:4] for r in rows], "doc_id long, text string, lang string, source string").selectExpr("*", "'x' AS _qc_host", "1 AS _QC_good", "2 AS n", "3 AS _qc_logit")
+    labels = ready.createDataFrame([(r[0], int(not r[4]), 0) for r in rows[::3]] + [(0, 1, 0), (0, 0, 0)], "doc_id long, quality int, toxic int")
+    model = quality.fit(df, labels)
+    got = {r.doc_id: r for r in quality.classify(ready, df, model).collect()}
+    assert all(r._qc_host == "x" and r["_QC_good"] == 1 and r.n == 2 for r in got.values())
+    good = {i: math.floor(1e6 / (1 + math.exp(-r._qc_logit)) + 0.5) / 1e6 for i, r in got.items()}
+    site = {r[0]: (r[3] or "", r[2] or "") for r in rows}
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for i, (h, p) in site.items():
+        hosts[h].append(good[i])
+        paths[h, p].append(good[i])
+    overall = sum(good.values()) / len(good)
+
+    def pull(groups, prior):
+        n = {g: len(v) for g, v in groups.items()}
+        total = sum(n.values())
+        mean = sum(n[g] * prior[g] for g in groups) / total
+        ss = sum(n[g] * (sum(v) / n[g] - prior[g]) ** 2 for g, v in groups.items())
+        spread = (ss - (len(n) - 1) * mean * (1 - mean)) / (total - sum(x * x for x in n.values()) / total)
+        return min(max(mean * (1 - mean) / spread - 1, 1.0), 1e6) if spread > 0 else 1e6
+
+    k_host = pull(hosts, dict.fromkeys(hosts, overall))
+    mean = {h: (sum(v) + k_host * overall) / (len(v) + k_host) for h, v in hosts.items()}
+    k_path = pull(paths, {g: mean[g[0]] for g in paths})
+    for i, r in got.items():
+        h, p = site[i]
+        host_mean = (sum(hosts[h]) - good[i] + k_host * overall) / (len(hosts[h]) - 1 + k_host)
+        path_mean = (sum(paths[h, p]) - good[i] + k_path * host_mean) / (len(paths[h, p]) - 1 + k_path)
+        odds = r._qc_logit - math.log(model.share / (1 - model.share)) + math.log(path_mean / (1 - path_mean))
+        assert (r._qc_host_mean, r._qc_path_mean, r._qc_posterior) == pytest.approx((host_mean, path_mean, 1 / (1 + math.exp(-odds))), abs=1e-9)

@@ -27,6 +27,14 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def unused(name: str, taken: list[str]) -> str:
+    """The name, lengthened until no column has it (names differ by more than case)."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def slices(batch: pa.RecordBatch, rows: int = ARROW_ROWS, text: int | None = None) -> Iterator[pa.RecordBatch]:
     """The batch in pieces (views, no copies) of at most ``rows`` rows and, if
     the column ``text`` is named, of about ``SLICE_BYTES`` of it, or one row."""

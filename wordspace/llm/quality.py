@@ -11,18 +11,21 @@ shrinks: a host's posterior mean lies between its own share and the global one,
 a path's between its own share and its host's. How strongly a level pulls is
 estimated from the spread of its groups (method of moments), so a sparse site
 stays near its prior and a large one speaks for itself. A document's posterior
-odds are its classifier's likelihood ratio times the odds of its path.
+odds are its classifier's likelihood ratio times the odds of its path; the means
+of its host and path leave the document itself out, so its evidence counts once.
 
+Texts are read once: their evidence is written, summed and joined from there.
 Sums are integers (millionths), so that results do not depend on the order of
 rows. The table of paths is written and read again: its size on disk decides
 whether the join broadcasts it; a hot path is split by adaptive execution.
 
 Defined results: a null text counts as empty; null sources and langs are a site
 of their own (the empty name); repeated rows are scored each; labels that are
-null or name no document are left out; without labels of both kinds every
+null or name no document are left out; of several labels of one id the good one
+counts; without labels of both kinds every
 document has the evidence 0 and the global share 0.5, so all are kept; extra
-columns stay in ``classify`` (its own are named by ``COLUMNS``); an empty table
-gives an empty result.
+columns stay in ``classify``, but for those named as one of ``COLUMNS``, which
+are replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .common import unused
 
 FIT_ROWS = 20_000
 RIDGE = 1.0
@@ -130,29 +134,45 @@ def _odds(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
-def classify(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text", host: str = "source", path: str = "lang") -> DataFrame:
-    """``docs`` with ``COLUMNS``: own evidence, site means and posterior."""
+def classify(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text", host: str = "source", path: str = "lang", carry: list[str] | None = None) -> DataFrame:
+    """The columns ``carry`` of ``docs`` (all, if None) with ``COLUMNS``: own
+    evidence, site means without the document itself, and posterior."""
+    carry = [c for c in (docs.columns if carry is None else carry) if c not in COLUMNS]
+    site, place, good = (unused(c, docs.columns) for c in ("_qc_host", "_qc_path", "_qc_good"))
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    scored = docs.withColumns({"_qc_logit": model.logit(F.col(text)), "_qc_host": name(host), "_qc_path": name(path)})
-    good = F.round(MICRO / (1 + F.exp(-F.col("_qc_logit")))).cast("long")
-    sums = scored.groupBy("_qc_host", "_qc_path").agg(F.count(F.lit(1)).alias("n"), F.sum(good).alias("good"))
+    # the one pass over the texts: their evidence is written and read again
+    scored = docs.withColumns({"_qc_logit": model.logit(F.col(text)), site: name(host), place: name(path)}).select(*carry, "_qc_logit", site, place)
+    scored = scored.withColumn(good, F.round(MICRO / (1 + F.exp(-F.col("_qc_logit")))).cast("long"))
+    evidence = scratch_path(spark, "evidence")
+    scored.write.parquet(evidence)
+    scored = spark.read.schema(scored.schema).parquet(evidence)
+
+    sums = scored.groupBy(F.col(site).alias("host"), F.col(place).alias("path")).agg(F.count(F.lit(1)).alias("n"), F.sum(good).alias("good"))
     written = scratch_path(spark, "paths")
     sums.write.parquet(written)
-    paths = spark.read.schema(sums.schema).parquet(written).withColumn("share", F.col("good") / F.col("n") / MICRO)
-    hosts = paths.groupBy("_qc_host").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).withColumn("share", F.col("good") / F.col("n") / MICRO)
+    share = F.col("good") / F.col("n") / MICRO
+    paths = spark.read.schema(sums.schema).parquet(written).withColumn("share", share)
+    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).withColumn("share", share)
     total = paths.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
     overall = total["good"] / total["n"] / MICRO if total["n"] else 0.5
     k_host = _pull(hosts, F.lit(overall))
-    hosts = hosts.select("_qc_host", ((F.col("share") * F.col("n") + k_host * overall) / (F.col("n") + k_host)).alias("_qc_host_mean"))
-    paths = paths.join(hosts, "_qc_host")
-    k_path = _pull(paths, F.col("_qc_host_mean"))
-    means = paths.select("_qc_host", "_qc_path", "_qc_host_mean", ((F.col("share") * F.col("n") + k_path * F.col("_qc_host_mean")) / (F.col("n") + k_path)).alias("_qc_path_mean"))
-    table = scratch_path(spark, "path-means")
-    means.write.parquet(table)
+    whole = F.col("share") * F.col("n")
+    hosts = hosts.select("host", F.col("n").alias("host_n"), F.col("good").alias("host_good"), ((whole + k_host * overall) / (F.col("n") + k_host)).alias("mean"))
+    paths = paths.join(hosts, "host")
+    k_path = _pull(paths, F.col("mean"))
+    table = scratch_path(spark, "path-sums")
+    sums = paths.select(F.col("host").alias(site), F.col("path").alias(place), F.struct("n", "good", "host_n", "host_good").alias("_qc_posterior"))
+    sums.write.parquet(table)
+    joined = scored.join(spark.read.schema(sums.schema).parquet(table), [site, place])
+    # what the rest of the host and of the path say: the document's own evidence counts once
+    own, site_of = F.col(good), F.col("_qc_posterior")
+    host_mean = ((site_of["host_good"] - own) / MICRO + k_host * overall) / (site_of["host_n"] - 1 + k_host)
+    joined = joined.withColumn("_qc_host_mean", host_mean)
+    path_mean = ((site_of["good"] - own) / MICRO + k_path * F.col("_qc_host_mean")) / (site_of["n"] - 1 + k_path)
+    joined = joined.withColumn("_qc_path_mean", path_mean)
     prior = float(np.log(max(model.share, 1e-6) / max(1 - model.share, 1e-6)))
-    joined = scored.join(spark.read.schema(means.schema).parquet(table), ["_qc_host", "_qc_path"], "left")
-    posterior = 1 / (1 + F.exp(-(F.col("_qc_logit") - prior + _odds(F.coalesce("_qc_path_mean", F.lit(overall))))))
-    return joined.withColumn("_qc_posterior", posterior).select(*docs.columns, *COLUMNS)
+    posterior = 1 / (1 + F.exp(-(F.col("_qc_logit") - prior + _odds(F.col("_qc_path_mean")))))
+    return joined.withColumn("_qc_posterior", posterior).select(*carry, *COLUMNS)
 
 
 def keep(classified: DataFrame, threshold: float = KEEP_FROM) -> DataFrame:

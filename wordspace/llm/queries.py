@@ -57,7 +57,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality.classify(spark, docs, model)
+    scored = quality.classify(spark, docs, model, carry=["doc_id"])
     return scored.selectExpr("doc_id", "_qc_logit AS logit", "_qc_host_mean AS host_mean", "_qc_path_mean AS path_mean", "_qc_posterior AS posterior", f"_qc_posterior >= {quality.KEEP_FROM} AS keep")
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from .common import slices, utf8_rows
+from .common import slices, unused, utf8_rows
 from .jaccard import sized
 from .wordhash import BASE, WINDOW_BASE, Words, mix, range_sums, sliding_min
 
@@ -144,7 +144,7 @@ def repeated_spans(spark: SparkSession, rows: DataFrame, window: int = WINDOW, g
     anchors = both.filter("doc_id = first").select("doc_id", "s1", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("anchor")
     shared = sized(spark, shared, "shared", 0)
-    wanted = sized(spark, anchors.join(shared, "anchor").groupBy("doc_id", "s1").agg(F.collect_set("anchor").alias("wanted")), "wanted")
+    wanted = sized(spark, anchors.join(shared, "anchor").groupBy("doc_id", "s1").agg(F.collect_set("anchor").alias("wanted")), "wanted", lists="wanted")
 
     index_path = scratch_path(spark, "windows")
     block_windows(rows.join(wanted, "doc_id"), window, gram).write.parquet(index_path)
@@ -195,7 +195,7 @@ def _one(raw: bytes) -> Words:
 def removed_words(spark: SparkSession, docs: DataFrame, window: int = WINDOW, gram: int = GRAM, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row."""
     rows = _text_rows(docs, key, text)
-    cuts = sized(spark, repeated_spans(spark, rows, window, gram), "cuts")
+    cuts = sized(spark, repeated_spans(spark, rows, window, gram), "cuts", lists="cuts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -217,7 +217,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
     """``docs`` without the repeated words: each removed stretch goes with the
     white space after it, the rest of the text stays as it is, and ``n_chars``
     is counted anew. Untouched rows stay as they are, nulls included."""
-    cuts = sized(spark, repeated_spans(spark, _text_rows(docs, key, text), window, gram), "cuts")
+    cuts = sized(spark, repeated_spans(spark, _text_rows(docs, key, text), window, gram), "cuts", lists="cuts")
     names, at, schema = docs.columns, docs.columns.index(text), docs.schema
     count_at = docs.columns.index(n_chars) if n_chars in docs.columns else None
 
@@ -244,5 +244,6 @@ def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
                     cols[count_at] = pa.array(counts, cols[count_at].type)
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    joined = docs.withColumn("_cut_key", F.col(key).cast("long")).join(cuts.withColumnRenamed("doc_id", "_cut_key").withColumnRenamed("cuts", "_cuts"), "_cut_key", "left")
-    return joined.select(*docs.columns, "_cuts").mapInArrow(run, schema)
+    own, found = unused("_cut_key", docs.columns), unused("_cuts", docs.columns)
+    joined = docs.withColumn(own, F.col(key).cast("long")).join(cuts.select(F.col("doc_id").alias(own), F.col("cuts").alias(found)), own, "left")
+    return joined.select(*docs.columns, found).mapInArrow(run, schema)
