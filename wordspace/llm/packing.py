@@ -13,7 +13,7 @@ documents that fit nowhere together), the emptiest is spread over the fullest.
 
 Tokens come from the ``tokenizers`` library with the given vocabulary file. The
 file's pre-tokens never hold white space, so each distinct run between white
-space is encoded once per worker; a run of ASCII and Latin-1 letters is first
+space is encoded once per task; a run of ASCII and Latin-1 letters is first
 lowered and cut into its pre-tokens, of which only the unseen ones go to the
 library (both caches are of bounded size). The ids of a text are gathered from those of its runs.
 
@@ -43,8 +43,8 @@ from .common import slices
 WINDOW = 4096
 END_ID = 2
 MAX_OPEN = 4096
-CACHE_RUNS = 400_000
-CACHE_WORDS = 600_000
+CACHE_RUNS = 300_000
+CACHE_WORDS = 400_000
 GATHER = 64  # texts whose ids are put together at a time
 #: ASCII and the letters of Latin-1, which neither normalisation nor lowering makes into several characters
 PLAIN = re.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*").fullmatch
@@ -87,6 +87,11 @@ class RunTokenizer:
         self.old: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Give the caches' memory back."""
+        self.young, self.old, self.words = {}, {}, {}
+        pa.default_memory_pool().release_unused()
+
     def _learn(self, parts: list[str], into: dict[str, bytes], words: bool = False) -> None:
         """Encode pieces that hold no special token; ``words``: each is one
         pre-token, so that a token at a word's end ends it."""
@@ -347,5 +352,6 @@ def pack(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int = EN
         packer.close()
         if done := packer.drain():
             yield _rows(done, first)
+        tokenizer.forget()  # the worker process lives on, also in stages that do not tokenise
 
     return docs.selectExpr(f"CAST(`{key}` AS BIGINT) AS doc_id", f"CAST(`{text}` AS STRING) AS text").mapInArrow(run, PIECES)
