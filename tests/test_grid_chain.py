@@ -119,9 +119,9 @@ def toy(spark):
     return make
 
 
-@pytest.mark.parametrize("partitions", [2, 16])
-def test_grid_equals_the_cells_one_by_one(spark, toy, partitions):
-    cfg = TR.variant_stream(dim=5, negatives=3, epochs=2, batch_size=16, log_every=7, parts=3, rounds_per_epoch=2, schedule="grid", min_count=1, subsample_t=1.0)
+@pytest.mark.parametrize("partitions,size", [(2, 16), (16, 16), (4, 1)])
+def test_grid_equals_the_cells_one_by_one(spark, toy, partitions, size):
+    cfg = TR.variant_stream(dim=5, negatives=3, epochs=2, batch_size=size, log_every=7, parts=3, rounds_per_epoch=2, schedule="grid", min_count=1, subsample_t=1.0)
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     try:

@@ -52,22 +52,51 @@ def matrix_rows(params: DataFrame, matrix: str, idx_name: str, vec_name: str) ->
     return params.filter(F.col("matrix") == matrix).select(F.col("idx").alias(idx_name), F.col("vec").alias(vec_name))
 
 
-def _gather(df: DataFrame, rows: DataFrame, on: str, dim: int) -> DataFrame:
-    return join_lookup(df, rows, [on], PARAM_BROADCAST_BYTES // (8 * dim + 48))
-
-
-def scored(pairs: DataFrame, negs: DataFrame, params: DataFrame, form: str = "clip", key=PAIR_KEY):
+# uses of one parameter row that one join task may meet
+HOT_USES = 1_000_000
+
+
+def _gather(df: DataFrame, rows: DataFrame, on: str, dim: int, hot: DataFrame | None = None, key=PAIR_KEY, hot_uses: int | None = None) -> DataFrame:
+    """Join every use of a word with its row. Small tables are broadcast.
+    Otherwise words of ``hot`` (idx, uses) are dealt over ``ceil(uses /
+    HOT_USES)`` tasks: their rows are copied as often, their uses are salted by
+    the pair's id. The hot words are at most all uses over ``HOT_USES``, so
+    their list is broadcast."""
+    limit = PARAM_BROADCAST_BYTES // (8 * dim + 48)
+    if hot is None or rows.count() <= limit:
+        return join_lookup(df, rows, [on], limit)
+    copies = F.ceil(F.col("uses") / F.lit(hot_uses or HOT_USES)).cast("int").alias("_copies")
+    many = F.broadcast(hot.select(F.col("idx").alias(on), copies).filter("_copies > 1"))
+    one = F.coalesce("_copies", F.lit(1))
+    uses = df.join(many, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*key), one).cast("int")).drop("_copies")
+    copied = rows.join(many, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), one - 1))).drop("_copies")
+    return uses.join(copied, [on, "_salt"]).drop("_salt")
+
+
+def row_uses(pairs: DataFrame, negs: DataFrame) -> DataFrame:
+    """(idx, uses): the most often that one gather uses a word's row; summed
+    map-side, a row per word."""
+    most = None
+    for source, column in ((pairs, "center"), (pairs, "context"), (negs, "center"), (negs, "neg")):
+        one = source.groupBy(F.col(column).alias("idx")).agg(F.count(F.lit(1)).alias("uses"))
+        most = one if most is None else most.unionByName(one)
+    return most.groupBy("idx").agg(F.max("uses").alias("uses"))
+
+
+def scored(pairs: DataFrame, negs: DataFrame, params: DataFrame, form: str = "clip", key=PAIR_KEY, hot: DataFrame | None = None, hot_uses: int | None = None):
     """E4 + M4 + M5/M6: positive rows ``(*key, center, context, v_c, u_o,
     s_pos, sig_pos)`` and negative rows ``(*key, k, center, neg, v_c, u_k,
-    s_neg, sig_neg)``. ``negs`` carries ``center``."""
+    s_neg, sig_neg)``. ``negs`` carries ``center``; ``hot`` (idx, uses), such as
+    ``row_uses`` or the vocabulary's counts, lets hot words be dealt out."""
     first = params.select(F.size("vec").alias("d")).first()
     d = first["d"] if first else 1
     vc = matrix_rows(params, "center", "center", "v_c")
     uo = matrix_rows(params, "context", "context", "u_o")
     uk = matrix_rows(params, "context", "neg", "u_k")
-    pos = _gather(_gather(pairs.select(*key, "center", "context"), vc, "center", d), uo, "context", d)
+    gather = lambda df, rows, on: _gather(df, rows, on, d, hot, key, hot_uses)
+    pos = gather(gather(pairs.select(*key, "center", "context"), vc, "center"), uo, "context")
     pos = pos.withColumn("s_pos", VX.dot("v_c", "u_o")).withColumn("sig_pos", VX.sigmoid(F.col("s_pos"), form))
-    neg = _gather(_gather(negs.select(*key, "k", "center", "neg"), vc, "center", d), uk, "neg", d)
+    neg = gather(gather(negs.select(*key, "k", "center", "neg"), vc, "center"), uk, "neg")
     neg = neg.withColumn("s_neg", VX.dot("v_c", "u_k")).withColumn("sig_neg", VX.sigmoid(F.col("s_neg"), form))
     return pos, neg
 
@@ -137,11 +166,11 @@ def apply_update(params: DataFrame, grads: DataFrame, lr, dim: int | None = None
 
 
 def sync_step(
-    pairs: DataFrame, negs: DataFrame, params: DataFrame, lr: float, form: str = "clip", key=PAIR_KEY, dim: int | None = None
+    pairs: DataFrame, negs: DataFrame, params: DataFrame, lr: float, form: str = "clip", key=PAIR_KEY, dim: int | None = None, hot: DataFrame | None = None
 ):
     """One synchronous step on the whole ``pairs`` batch. Returns
     ``(new_params, mean_loss_df)``."""
-    pos, neg = scored(pairs, negs, params, form, key)
+    pos, neg = scored(pairs, negs, params, form, key, hot)
     loss = pair_loss(pos, neg, key).agg(F.avg("loss").alias("mean_loss"), F.count(F.lit(1)).alias("n_pairs"))
     return apply_update(params, gradients(pos, neg, dim), lr, dim), loss
 

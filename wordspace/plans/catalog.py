@@ -37,6 +37,7 @@ BATCH = 256
 EPOCHS_CHECK = 2
 LR0 = 0.025
 LOG_EVERY = 100
+PAIR_LOG_EVERY = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -342,7 +343,7 @@ def q_epoch_loss(spark, sf_dir):
 
 def q_gradients(spark, sf_dir):
     pairs, negs, params = check_model(spark, sf_dir)
-    pos, neg = ST.scored(pairs, negs, params)
+    pos, neg = ST.scored(pairs, negs, params, hot=ST.row_uses(pairs, negs))
     g = ST.gradients(pos, neg, DIM_CHECK)
     out = g.select("matrix", "idx", F.posexplode("g").alias("dim", "g"))
     return out.withColumn("g", r("g", GRAD_DIGITS))
@@ -350,7 +351,7 @@ def q_gradients(spark, sf_dir):
 
 def q_sync_step(spark, sf_dir):
     pairs, negs, params = check_model(spark, sf_dir)
-    new_params, _ = ST.sync_step(pairs, negs, params, LR0, dim=DIM_CHECK)
+    new_params, _ = ST.sync_step(pairs, negs, params, LR0, dim=DIM_CHECK, hot=ST.row_uses(pairs, negs))
     return ST.explode_params(new_params, GRAD_DIGITS)
 
 
@@ -486,10 +487,42 @@ def q_epoch_redraw(spark, sf_dir):
 
 
 def train_config():
-    """The reference defaults: 100 dimensions, 5 epochs, 10 negatives."""
+    """The reference defaults: 100 dimensions, 5 epochs, 10 negatives; a task
+    holds a sixteenth of the words of each matrix."""
     from .trainer import variant_stream
 
-    return variant_stream(log_every=200)
+    return variant_stream(log_every=200, parts=16)
+
+
+def sentence_config():
+    """The sentence variant's defaults: one pair a step, slot table, exclusion."""
+    from .trainer import variant_sentence
+
+    return variant_sentence(log_every=20_000)
+
+
+def q_train_sentence(spark, sf_dir):
+    """M15, sentence variant over conversations: epochs, log windows, their
+    pairs and rates."""
+    from .trainer import fit
+
+    model = kept(spark, sf_dir, "sentence_model", lambda: fit(conv_tokens(spark, sf_dir), sentence_config()))
+    return model.history.select("epoch", "window_no", "n_pairs", r("lr", 12).alias("lr"))
+
+
+def q_pair_log_windows(spark, sf_dir):
+    """Log windows over single pairs, in the epoch's permutation."""
+    pairs, vocab = sentence_pairs(spark, sf_dir), conv_noise(spark, sf_dir)
+    slots = N.slot_table(vocab, TABLE_SIZE)
+    params = ST.init_params(vocab, DIM_CHECK, SEED, context="hashed")
+    out = None
+    for e in range(1, EPOCHS_CHECK + 1):
+        negs = N.draw_excluding(pairs, slots, K_TABLE, SEED, e, TABLE_SIZE, carry=("center",))
+        pos, neg = ST.scored(pairs, negs, params, "branch")
+        ranked = B.shuffle_order(pairs, SEED, e).select("gpos", "off", "epoch", "rank")
+        one = ST.pair_loss(pos, neg).join(ranked, ["gpos", "off"]).select("epoch", "rank", "loss")
+        out = one if out is None else out.unionByName(one)
+    return B.pair_log_windows(out, PAIR_LOG_EVERY).withColumn("avg_loss", r("avg_loss", GRAD_DIGITS))
 
 
 def fitted(spark, sf_dir):
@@ -499,8 +532,8 @@ def fitted(spark, sf_dir):
 
 
 def q_train_rounds(spark, sf_dir):
-    """Epochs, log windows and their pairs (the losses are in train_loss)."""
-    return fitted(spark, sf_dir).history.select("epoch", "window_no", "n_pairs")
+    """Epochs, log windows, their pairs and rates (the losses are in train_loss)."""
+    return fitted(spark, sf_dir).history.select("epoch", "window_no", "n_pairs", r("lr", 12).alias("lr"))
 
 
 def q_train_loss(spark, sf_dir):
@@ -618,6 +651,8 @@ QUERIES = {
     "epoch_redraw": q_epoch_redraw,
     "train_rounds": q_train_rounds,
     "train_loss": q_train_loss,
+    "train_sentence": q_train_sentence,
+    "pair_log_windows": q_pair_log_windows,
     "fit_neighbours": q_fit_neighbours,
     "fit_probe_report": q_fit_probe_report,
     "model_roundtrip": q_model_roundtrip,

@@ -523,16 +523,71 @@ SQL["epoch_redraw"] = redraw_sql(Q.EPOCHS_CHECK)
 
 TRAIN = Q.train_config()
 TRAIN_U = sql_uniform("shuffle", Q.SEED, "e.epoch", "p.gpos", "p.off")
-SQL["train_rounds"] = with_(*STREAM) + f"""
-, n AS (SELECT count(*) AS n_pairs, CAST(ceil(count(*) / {TRAIN.batch_size}) AS BIGINT) AS steps FROM pairs),
+
+
+def trained_windows(cfg) -> str:
+    """Windows of the grid schedule: a batch is so many pairs of a block of
+    centers in the epoch's permutation, its step that of its first pair."""
+    size = max(1, cfg.batch_size)
+    floor = cfg.lr * 1e-4 if cfg.lr_floor == "relative" else cfg.lr_min
+    return f"""
+, n AS (SELECT CAST(ceil(count(*) / {size}) AS BIGINT) AS steps FROM pairs),
 placed AS (
-  SELECT e.epoch, CAST(floor(u * {TRAIN.parts}) AS INTEGER) AS part, u, gpos, off
-  FROM (SELECT e.epoch, p.gpos, p.off, {TRAIN_U} AS u FROM pairs p CROSS JOIN range(1, {TRAIN.epochs} + 1) e(epoch)) e
+  SELECT e.epoch, p.center % {cfg.parts} AS part, {TRAIN_U} AS u, p.gpos, p.off FROM pairs p CROSS JOIN range(1, {cfg.epochs} + 1) e(epoch)
+),
+ranked AS (SELECT epoch, part, u, (row_number() OVER (PARTITION BY epoch, part ORDER BY u, gpos, off) - 1) // {size} AS batch FROM placed),
+stepped AS (SELECT (epoch - 1) * n.steps + CAST(floor(min(u) OVER (PARTITION BY epoch, part, batch) * n.steps) AS BIGINT) AS step, epoch, n.steps FROM ranked, n)
+SELECT CAST(epoch AS INTEGER) AS epoch, CAST(step // {cfg.log_every} AS BIGINT) AS window_no, count(*) AS n_pairs,
+       (round(greatest({cfg.lr}::DOUBLE * (1.0::DOUBLE - CAST(max(step) AS DOUBLE) / CAST(any_value(steps) * {cfg.epochs} AS DOUBLE)), {floor!r}::DOUBLE), 12) + 0.0::DOUBLE) AS lr
+FROM stepped GROUP BY 1, 2"""
+
+
+SQL["train_rounds"] = with_(*STREAM) + trained_windows(TRAIN)
+
+SQL["train_sentence"] = with_(*SENTENCE) + trained_windows(Q.sentence_config())
+
+
+def excluded_draws(epoch: int) -> str:
+    """(gpos, off, center, k, neg): draws past the two words' slot gaps."""
+    u = sql_uniform("negtable", Q.SEED, str(epoch), "p.gpos", "p.off", "t.k")
+    return f"""
+  SELECT d.gpos, d.off, d.center, s.idx AS neg
+  FROM (
+    SELECT *, s1 + CASE WHEN s1 >= greatest(c_lo, o_lo) THEN CASE WHEN c_lo <= o_lo THEN o_n ELSE c_n END ELSE 0 END AS s2
+    FROM (
+      SELECT *, s0 + CASE WHEN s0 >= least(c_lo, o_lo) THEN CASE WHEN c_lo <= o_lo THEN c_n ELSE o_n END ELSE 0 END AS s1
+      FROM (SELECT p.*, CAST(floor({u} * ({M} - c_n - o_n)) AS BIGINT) AS s0 FROM gaps p CROSS JOIN range({Q.K_TABLE}) t(k)) a
+    ) b
+  ) d JOIN slot_rows s ON s.slot = d.s2"""
+
+
+def branched(x: str) -> str:
+    return f"(CASE WHEN {x} >= 0 THEN 1.0::DOUBLE / (1.0::DOUBLE + exp(-({x}))) ELSE exp({x}) / (1.0::DOUBLE + exp({x})) END)"
+
+
+SQL["pair_log_windows"] = with_(*SENTENCE, *slots_ctes(), params_cte()) + f"""
+, runs AS (SELECT idx, min(slot) AS lo, count(*) AS n FROM slot_rows GROUP BY idx),
+gaps AS (
+  SELECT p.gpos, p.off, p.center, p.context, coalesce(c.lo, {M} + 1) AS c_lo, coalesce(c.n, 0) AS c_n, coalesce(o.lo, {M} + 1) AS o_lo,
+         CASE WHEN p.center = p.context THEN 0 ELSE coalesce(o.n, 0) END AS o_n
+  FROM pairs p LEFT JOIN runs c ON c.idx = p.center LEFT JOIN runs o ON o.idx = p.context
+),
+negs AS ({" UNION ALL ".join(f"SELECT {e} AS epoch, x.* FROM ({excluded_draws(e)}) x" for e in range(1, Q.EPOCHS_CHECK + 1))}),
+terms AS (
+  SELECT e.epoch, p.gpos, p.off, -ln({branched("list_dot_product(c.vec, x.vec)")} + 1e-10::DOUBLE) AS loss
+  FROM pairs p CROSS JOIN range(1, {Q.EPOCHS_CHECK} + 1) e(epoch)
+  JOIN params c ON c.matrix = 'center' AND c.idx = p.center JOIN params x ON x.matrix = 'context' AND x.idx = p.context
+  UNION ALL
+  SELECT n.epoch, n.gpos, n.off, -ln(1.0::DOUBLE - {branched("list_dot_product(c.vec, x.vec)")} + 1e-10::DOUBLE)
+  FROM negs n JOIN params c ON c.matrix = 'center' AND c.idx = n.center JOIN params x ON x.matrix = 'context' AND x.idx = n.neg
 ),
-ranked AS (SELECT epoch, row_number() OVER (PARTITION BY epoch, part ORDER BY u, gpos, off) - 1 AS rn FROM placed),
-stepped AS (SELECT epoch, (epoch - 1) * n.steps + (rn // {TRAIN.batch_size}) * {TRAIN.parts} AS step FROM ranked, n)
-SELECT CAST(epoch AS INTEGER) AS epoch, CAST(step // {TRAIN.log_every} AS BIGINT) AS window_no, count(*) AS n_pairs
-FROM stepped GROUP BY ALL"""
+losses AS (SELECT epoch, gpos, off, sum(loss) AS loss FROM terms GROUP BY 1, 2, 3),
+placed AS (
+  SELECT l.epoch, l.loss, row_number() OVER (PARTITION BY l.epoch ORDER BY {sql_uniform("shuffle", Q.SEED, "l.epoch", "l.gpos", "l.off")}, l.gpos, l.off) - 1 AS rank FROM losses l
+)
+SELECT CAST(epoch AS INTEGER) AS epoch, CAST(rank // {Q.PAIR_LOG_EVERY} AS BIGINT) AS window_no, count(*) AS n_pairs,
+       (round(sum(loss) / {Q.PAIR_LOG_EVERY}, {G}) + 0.0::DOUBLE) AS avg_loss
+FROM placed GROUP BY 1, 2 HAVING count(*) = {Q.PAIR_LOG_EVERY}"""
 
 SQL["fit_probe_report"] = with_(tokens_cte(), vocab_cte()) + f"""
 SELECT q.query, CAST(CASE WHEN v.idx IS NULL THEN 0 ELSE least({Q.TOP_N}, (SELECT count(*) - 1 FROM vocab)) END AS BIGINT) AS n_neighbours
