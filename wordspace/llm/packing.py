@@ -124,8 +124,9 @@ class RunTokenizer:
         """Runs: a plain one is put together from its words."""
         words, special = self.words, self.special.search
         plain, other = [], []
+        rare = special(" ".join(unseen)) is not None  # no special token spans white space
         for r in unseen:
-            if special(r):
+            if rare and special(r):
                 self.young[r] = self._ids(r).tobytes()
             elif r.isascii() or PLAIN(r):
                 plain.append(r)
@@ -143,8 +144,8 @@ class RunTokenizer:
             self._learn(list(new), words, words=True)
             words[" "] = b""  # only parts the runs
             got = list(map(words.__getitem__, parts))
-            at = np.cumsum([0, *map(len, got)])
-            ends = at[[k for k, x in enumerate(parts) if x == " "]].tolist()
+            size = np.array(list(map(len, got)), np.int64)
+            ends = np.cumsum(size)[size == 0].tolist()  # at the spaces
             raw = b"".join(got)
             for r, a, b in zip(some, [0, *ends], [*ends, len(raw)], strict=True):
                 self.young[r] = raw[a:b]
