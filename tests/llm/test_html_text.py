@@ -1,3 +1,4 @@
+import pytest
 from collections import Counter
 
 from wordspace.llm import html_text as H
@@ -75,3 +76,28 @@ def test_anchors_are_no_names():
     assert H.main_text(f"<article>{parts}<p>End of it.</p></article>", w) == "Related work\nA reply.\nHow to search.\nHead line\nEnd of it."
     out = '<div hidden>a</div><div class="site-footer">b</div><div id=comments>c</div><div role="navigation">d</div><p class="x ad">e</p><div STYLE="display: none">f</div>'
     assert H.main_text(f"<article>Some words here{out}</article>", w) == "Some words here"
+
+
+HARSH = {"word": 1.0, "link": 1.0, "li": -11.0, "a": -11.0, "div": -11.0, "td": -11.0, "tr": -11.0, "p": -1.0, "ul": -11.0, "table": -11.0}
+
+
+@pytest.mark.parametrize("middle", [
+    "<ul>" + "".join(f"<li><a href='#'>two words{k}</a></li>" for k in range(10)) + "</ul>",
+    "<table>" + "".join(f"<tr><td>a{k}</td><td>b{k}</td></tr>" for k in range(10)) + "</table>",
+    "<div>" * 10 + "deep" + "</div>" * 10,
+])
+def test_a_marked_article_is_whole(middle):
+    first, last = " ".join(f"first{k}" for k in range(30)), " ".join(f"last{k}" for k in range(25))
+    page = f"<body><div class='menu'><a>menu</a></div><p>before it</p><article><h1>Head</h1><p>{first}</p>{middle}<p>{last}</p></article><footer>foot</footer></body>"
+    got = html_text.main_text(page, HARSH).split("\n")
+    assert got[0] in ("Head", "before it") and first in got and got[-1] == last and "foot" not in got and "menu" not in got
+    assert {"two words9", "b9", "deep"} & set(got)
+
+
+@pytest.mark.parametrize("pattern", ["<a ", "<a b='", "<div>", "<div></p>", "<p>", "<!--", "<b x=\"'>", "<td><tr>", "</", "<![CDATA["])
+def test_malformed_pages_take_linear_time(pattern):
+    import time
+
+    began = time.process_time()
+    html_text.main_text(pattern * (2_000_000 // len(pattern)), {})
+    assert time.process_time() - began < 10

@@ -48,6 +48,8 @@ _TOKEN = re.compile(
     | (?P<text>[^<]++|<)""",
     re.S | re.X,
 )
+#: what is left of it where no > follows, so that no tag can end
+_TAIL = re.compile(r"""<!--.*?(?:-->|\Z) | <!\[CDATA\[.*?(?:\]\]>|\Z) | <[!?/](?![a-zA-Z])[^>]*>? | <![^>]*>? | (?P<text>[^<]++|<)""", re.S | re.X)
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -147,10 +149,11 @@ def units(html: str) -> Iterator[tuple[str, str, bool, bool]]:
 def _parse(html: str, elements: list[_Element]) -> Iterator[tuple[str, str, bool, bool, _Element | None]]:
     """The units before any is left out, texts with the element they are in.
     Adds the page's elements, with the words directly in them."""
-    stack = [elements[0]]
+    stack, opened = [elements[0]], Counter()
     links = articles = at = 0
+    last = html.rfind(">")
     while at < len(html):
-        m = _TOKEN.match(html, at)
+        m = (_TOKEN if at <= last else _TAIL).match(html, at)
         if m is None:
             break
         at = m.end()
@@ -162,8 +165,7 @@ def _parse(html: str, elements: list[_Element]) -> Iterator[tuple[str, str, bool
             else:
                 yield "space", " ", False, articles > 0, stack[-1]
             continue
-        name = m["name"] or m["name2"]
-        if name is None:
+        if m.re is _TAIL or (name := m["name"] or m["name2"]) is None:
             continue
         name, attrs = name.lower(), m["attrs"] or m["attrs2"] or ""
         block = name not in INLINE
@@ -171,16 +173,17 @@ def _parse(html: str, elements: list[_Element]) -> Iterator[tuple[str, str, bool
             yield name, "", block, articles > 0, None
             if name == "a":
                 links = 0
-            elif block and any(e.name == name for e in stack):
+            elif block and opened[name]:
                 while True:
                     e = stack.pop()
+                    opened[e.name] -= 1
                     articles -= e.name in ARTICLE
                     if e.name == name:
                         break
             continue
         if block and name not in VOID:
             while stack[-1].name in ENDS_ITSELF and (stack[-1].name in ("p", name) or name in ENDS_ITSELF and stack[-1].name in ("td", "th") and name == "tr"):
-                stack.pop()
+                opened[stack.pop().name] -= 1
         yield name, "", block, articles > 0, None
         if name in RAW:
             if not attrs.rstrip().endswith("/") or name not in ("svg", "math"):
@@ -193,6 +196,7 @@ def _parse(html: str, elements: list[_Element]) -> Iterator[tuple[str, str, bool
         elif block:
             elements.append(_Element(name, stack[-1], _left_out(name, attrs, articles > 0)))
             stack.append(elements[-1])
+            opened[name] += 1
             articles += name in ARTICLE
 
 
@@ -238,6 +242,10 @@ def main_text(html: str, weight: dict[str, float]) -> str:
             total += weight.get(kind, TAG)
         if total > best:
             best, start, end = total, first, i + 1
+    # a page's one article is whole, whatever the lists and tables in it weigh
+    own = [i for i, (kind, _, _, in_article) in enumerate(seq) if in_article and kind in ("word", "link")]
+    if own and sum(kind in ARTICLE and not inner for kind, _, _, inner in seq) == 1:
+        start, end = (min(start, own[0]), max(end, own[-1] + 1)) if best else (own[0], own[-1] + 1)
     blocks: list[str] = []
     parts: list[str] = []
     for kind, text, block, _ in seq[start:end]:
