@@ -13,8 +13,8 @@ documents that fit nowhere together), the emptiest is spread over the fullest.
 
 Tokens come from the ``tokenizers`` library with the given vocabulary file. The
 file's pre-tokens never hold white space, so each distinct run between white
-space is encoded once per task; a run of ASCII and Latin-1 letters is first
-lowered and cut into its pre-tokens, of which only the unseen ones go to the
+space is encoded once per task, each word about once per worker; a run of ASCII
+and Latin-1 letters is first lowered and cut into its pre-tokens, of which only the unseen ones go to the
 library (both caches are of bounded size). The ids of a text are gathered from those of its runs.
 
 Defined results: null or empty text is the end id alone; equal rows are packed
@@ -44,7 +44,7 @@ WINDOW = 4096
 END_ID = 2
 MAX_OPEN = 4096
 CACHE_RUNS = 400_000
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 GATHER = 64  # texts whose ids are put together at a time
 #: ASCII and the letters of Latin-1, which neither normalisation nor lowering makes into several characters
 PLAIN = re.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*").fullmatch
@@ -88,8 +88,8 @@ class RunTokenizer:
         self.words: dict[str, bytes] = {}
 
     def forget(self) -> None:
-        """Give the caches' memory back."""
-        self.young, self.old, self.words = {}, {}, {}
+        """Give the memory of the runs back; words, of which there are fewer, stay."""
+        self.young, self.old = {}, {}
         pa.default_memory_pool().release_unused()
 
     def _learn(self, parts: list[str], into: dict[str, bytes], words: bool = False) -> None:
