@@ -1,6 +1,7 @@
-import pytest
 from collections import Counter
 
+import pytest
+
 from wordspace.llm import html_text as H
 
 SCHEMA = "page_id long, url string, html string, text string"
@@ -89,7 +90,7 @@ HARSH = {"word": 1.0, "link": 1.0, "li": -11.0, "a": -11.0, "div": -11.0, "td":
 def test_a_marked_article_is_whole(middle):
     first, last = " ".join(f"first{k}" for k in range(30)), " ".join(f"last{k}" for k in range(25))
     page = f"<body><div class='menu'><a>menu</a></div><p>before it</p><article><h1>Head</h1><p>{first}</p>{middle}<p>{last}</p></article><footer>foot</footer></body>"
-    got = html_text.main_text(page, HARSH).split("\n")
+    got = H.main_text(page, HARSH).split("\n")
     assert got[0] in ("Head", "before it") and first in got and got[-1] == last and "foot" not in got and "menu" not in got
     assert {"two words9", "b9", "deep"} & set(got)
 
@@ -99,5 +100,5 @@ def test_malformed_pages_take_linear_time(pattern):
     import time
 
     began = time.process_time()
-    html_text.main_text(pattern * (2_000_000 // len(pattern)), {})
+    H.main_text(pattern * (2_000_000 // len(pattern)), {})
     assert time.process_time() - began < 10

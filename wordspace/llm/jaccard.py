@@ -56,9 +56,9 @@ SCANS = 32  # documents of a chunk that are compared with all others first
 LONG_LIST = 256  # entries from which a list is searched rather than merged
 CHUNK_HASHES = 1_000_000  # of 8 bytes: what one task holds at a time, with its index
 CHUNK_ROWS = 8192  # documents of a chunk
-BROADCAST_BYTES = 32 << 20  # of a table in memory that is broadcast rather than shuffled with texts
+BROADCAST_BYTES = 64 << 20  # of a table in memory that is broadcast rather than shuffled with texts
 ROW_BYTES = 64  # of a row of up to five numbers in a broadcast relation
-ITEM_BYTES = 48  # of an item of a list in it
+ITEM_BYTES = 40  # of an item of a list in it: three numbers
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -312,7 +312,7 @@ def _with_sets(docs: DataFrame, places: DataFrame, words: int) -> DataFrame:
     return _sets(wanted, words).join(places, "doc_id").select(_MEMBERS.names)
 
 
-def sized(spark: SparkSession, df: DataFrame, name: str, limit: int = BROADCAST_BYTES, lists: str | None = None) -> DataFrame:
+def sized(spark: SparkSession, df: DataFrame, name: str, limit: int = BROADCAST_BYTES, lists: str | None = None, item: int = ITEM_BYTES) -> DataFrame:
     """The frame, of numbers and at most one column of ``lists``, written and
     read again, marked for broadcast if its rows are small enough in memory
     (never with a limit of 0). Beyond that Spark joins it by a shuffle of both
@@ -323,7 +323,7 @@ def sized(spark: SparkSession, df: DataFrame, name: str, limit: int = BROADCAST_
     back = spark.read.schema(df.schema).parquet(path)
     if not limit:
         return back
-    size = F.lit(ROW_BYTES) if lists is None else F.lit(ROW_BYTES) + F.size(lists) * ITEM_BYTES
+    size = F.lit(ROW_BYTES) if lists is None else F.lit(ROW_BYTES) + F.size(lists) * item
     held = back.agg(F.sum(size.cast("long"))).first()[0] or 0
     return F.broadcast(back) if held <= limit else back
 

@@ -144,7 +144,7 @@ def repeated_spans(spark: SparkSession, rows: DataFrame, window: int = WINDOW, g
     anchors = both.filter("doc_id = first").select("doc_id", "s1", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("anchor")
     shared = sized(spark, shared, "shared", 0)
-    wanted = sized(spark, anchors.join(shared, "anchor").groupBy("doc_id", "s1").agg(F.collect_set("anchor").alias("wanted")), "wanted", lists="wanted")
+    wanted = sized(spark, anchors.join(shared, "anchor").groupBy("doc_id", "s1").agg(F.collect_set("anchor").alias("wanted")), "wanted", lists="wanted", item=8)
 
     index_path = scratch_path(spark, "windows")
     block_windows(rows.join(wanted, "doc_id"), window, gram).write.parquet(index_path)
