@@ -147,11 +147,34 @@ def test_text_without_repeats(ready, docs_of):
 
 
 def test_factors_end_where_the_source_changes():
-    doc, seq = np.array([1, 1, 1, 1, 1, 2, 2]), np.array([7, 7, 7, 7, 7, 7, 7])
-    pos, source = np.array([3, 4, 5, 6, 9, 9, 10]), np.array([0, 0, -1, -1, 0, 0, 0])
-    first, length = substring.parse(doc, seq, pos, source, 4)
-    assert list(zip(doc[first], pos[first], length, strict=True)) == [(1, 3, 5), (1, 5, 5), (1, 9, 4), (2, 9, 5)]
-    assert len(substring.parse(doc[:0], seq[:0], pos[:0], source[:0], 4)[0]) == 0
+    doc, seq = np.array([1, 1, 1, 1, 1, 1, 1, 2, 2]), np.array([7] * 9)
+    pos, source = np.array([3, 4, 4, 5, 6, 9, 10, 10, 11]), np.array([0, 0, 0, -1, -1, 0, 0, 0, 0])
+    at = np.array([8, 9, 9, 1, 2, 20, 22, 22, 23])
+    first, length = substring.parse(doc, seq, pos, source, seq, at, 4)
+    assert list(zip(doc[first], pos[first], length, strict=True)) == [(1, 3, 5), (1, 5, 5), (1, 9, 4), (1, 10, 4), (2, 10, 5)]
+    whole, words_ = substring.spans(doc[first], seq[first], pos[first], length)
+    assert list(zip(doc[first][whole], pos[first][whole], words_, strict=True)) == [(1, 3, 11), (2, 10, 5)]
+    assert len(substring.parse(*[x[:0] for x in (doc, seq, pos, source, seq, at)], 4)[0]) == 0
+    assert len(substring.spans(doc[:0], seq[:0], pos[:0], pos[:0])[0]) == 0
+
+
+def test_each_factor_is_one_substring_of_its_source(ready, docs_of):
+    rows = [(k, t) for k, t in dict(repeats()).items() if k is not None]
+    rows.append((90, words(2, 55, 5000) + " " + words(1, 70, 5000) + " " + words(3, 30, 5000)))
+    docs = substring._text_rows(docs_of(rows), "doc_id", "text")
+    sketch = substring.sketches(docs, 50, 17).selectExpr("doc_id", "s1", "anchors wanted")
+    hits = substring.found_windows(ready, docs, sketch, 50, 17).orderBy("doc_id", "s1", "pos").toPandas()
+    first, length = substring.parse(*[hits[c].to_numpy() for c in hits.columns], 50)
+    split_words = {k: split(t) for k, t in rows}
+    covered = {k: set() for k in split_words}
+    for i, n in zip(first, length, strict=True):
+        hit = hits.iloc[i]
+        a, b = int(hit.pos), int(hit.source_pos)
+        assert hit.source < hit.doc_id and n >= 50
+        assert split_words[hit.doc_id][a : a + n] == split_words[hit.source][b : b + n]
+        covered[hit.doc_id] |= set(range(a, a + n))
+    assert sorted((k, len(covered[k])) for k in covered) == sorted((k, n) for k, _, n, _ in brute_removed(rows))
+    assert (np.diff(first) > 1).any() and max(length) > 50
 
 
 def test_repeated_ids_with_different_texts_are_one_document(ready, docs_of):

@@ -1,23 +1,27 @@
-"""Substring dedup by an exact hash join of windows in indexed blocks.
+"""Substring dedup by relative Lempel-Ziv parsing against indexed blocks.
 
-Method. It replaces relative Lempel-Ziv parsing (the README says why). The corpus
-is cut into blocks at content: every
+Method. The corpus is cut into blocks at content: every
 window of ``WINDOW`` words belongs to the block of its anchor, the smallest hash
 among its ``GRAM``-word runs. Equal windows have equal anchors, so only blocks
-whose anchor occurs in two different documents are indexed: each of their
-windows with the smallest id of a document in which it starts. All windows of
-these blocks are joined with the index; neighbouring hits of one source id with a
-smaller id are merged to a span ("factor" in the code). Source positions are not
-kept, so a span need not be one substring of its source. The words of all spans
-are removed.
+whose anchor occurs in two different documents are reference blocks. Their index
+holds each window with its first occurrence: the smallest document id, and the
+text and position there. Each document is factored against the whole index:
+a factor starts at a window that a smaller document has, and goes on word by word
+while the window's first occurrence moves on by one word in the same source, so
+every factor is one substring of its source. Where it ends, the windows across
+the boundary are looked up again, and the first one found starts the next factor
+(neighbouring factors may overlap). All lookups are one join with the index.
+A factor has at least ``WINDOW`` words, so each is a duplicate span; the words of
+all of them are removed.
 
 Documents of equal words are one class: all but those of the smallest id are
 removed whole if they are a window long, without going through the index.
 
-What moves: anchors (about one for 17 words), windows of shared blocks, spans.
+What moves: anchors (about one for 17 words), windows of shared blocks, spans
+(overlapping factors of a document become one span before they are sent).
 Lists of a document are bounded by its length; a window or anchor that very many
-documents share is partially aggregated before the shuffle. Equality of words,
-windows and texts is that of 64-bit (texts: 128-bit) hashes.
+documents share is partially aggregated before the shuffle. Equality of windows
+and whole texts is that of two 64-bit hashes over 64-bit hashes of the words.
 
 Defined results: a null or empty text has no words and the digest of the empty
 text; fewer words than a window are kept; rows of equal id are no source for one
@@ -54,11 +58,12 @@ _SKETCH = T.StructType([
 ])
 _WINDOWS = T.StructType([
     T.StructField("window", T.LongType()),
+    T.StructField("check", T.LongType()),
     T.StructField("doc_id", T.LongType()),
     T.StructField("s1", T.LongType()),
     T.StructField("pos", T.IntegerType()),
 ])
-_FACTORS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("s1", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("length", T.IntegerType())])
+_SPANS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("s1", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("length", T.IntegerType())])
 
 
 def _text_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -101,33 +106,62 @@ def block_windows(rows: DataFrame, window: int, gram: int) -> DataFrame:
             for batch in slices(whole, 200, text=1):
                 w = Words(*utf8_rows(batch.column(1)))
                 s1 = _sequence_hashes(w)[0].view(np.int64)
-                low, runs = sliding_min(w.runs(gram), window - gram + 1).view(np.int64), w.runs(window).view(np.int64)
+                low = sliding_min(w.runs(gram), window - gram + 1).view(np.int64)
+                runs, checks = w.runs(window).view(np.int64), w.runs(window, BASE).view(np.int64)
                 meant = batch.column(2).to_numpy()
                 wanted = batch.column(3)
                 ids = batch.column(0).to_numpy()
-                found = [[], [], [], []]
+                found = [[], [], [], [], []]
                 for i, (a, b) in enumerate(zip(w.first[:-1], w.first[1:], strict=True)):
                     if b - a < window or s1[i] != meant[i]:
                         continue
                     at = np.flatnonzero(np.isin(low[a : b - window + 1], wanted[i].values.to_numpy()))
-                    for col, x in zip(found, (runs[a + at], np.full(len(at), ids[i]), np.full(len(at), s1[i]), at), strict=True):
+                    for col, x in zip(found, (runs[a + at], checks[a + at], np.full(len(at), ids[i]), np.full(len(at), s1[i]), at), strict=True):
                         col.append(x)
                 cols = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in found]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True)], names=_WINDOWS.names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (*[pa.int64()] * 4, pa.int32()), strict=True)], names=_WINDOWS.names)
 
     return rows.select("doc_id", "text", "s1", "wanted").mapInArrow(run, _WINDOWS)
 
 
-def parse(doc: np.ndarray, seq: np.ndarray, pos: np.ndarray, source: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of known windows of one source, sorted by document and position: the
-    row at which each starts, and its length in words."""
+def parse(
+    doc: np.ndarray, seq: np.ndarray, pos: np.ndarray, source: np.ndarray, source_seq: np.ndarray, source_pos: np.ndarray, window: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Factors of found windows, sorted by document and position: the row at
+    which each starts, and its length in words. A factor goes on with the next
+    word (or a repeated row) while its source does."""
     if not len(pos):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (seq[1:] != seq[:-1]) | (np.diff(pos) > 1) | (source[1:] != source[:-1])]))
+    step = np.diff(pos)
+    same = (doc[1:] == doc[:-1]) & (seq[1:] == seq[:-1]) & (source[1:] == source[:-1]) & (source_seq[1:] == source_seq[:-1])
+    goes_on = same & (step <= 1) & (np.diff(source_pos) == step)
+    new = np.flatnonzero(np.concatenate([[True], ~goes_on]))
     last = np.append(new[1:], len(pos)) - 1
     return new, pos[last] - pos[new] + window
 
 
+def spans(doc: np.ndarray, seq: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Factors that overlap or touch made one: the first of each, and the length."""
+    if not len(start):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    end = start + length  # grows within a document, as each factor starts at a later window
+    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (seq[1:] != seq[:-1]) | (start[1:] > end[:-1])]))
+    last = np.append(new[1:], len(start)) - 1
+    return new, end[last] - start[new]
+
+
+def found_windows(spark: SparkSession, rows: DataFrame, wanted: DataFrame, window: int, gram: int) -> DataFrame:
+    """(doc_id, s1, pos, source, source_s1, source_pos): each window of the
+    reference blocks that a smaller document has, and its first occurrence."""
+    path = scratch_path(spark, "windows")
+    block_windows(rows.join(wanted, "doc_id"), window, gram).write.parquet(path)
+    windows = spark.read.schema(_WINDOWS).parquet(path)
+    index = windows.groupBy("window", "check").agg(F.min(F.struct("doc_id", "s1", "pos")).alias("at"), F.max("doc_id").alias("last"))
+    index = index.filter("at.doc_id < last").selectExpr("window", "check", "at.doc_id source", "at.s1 source_s1", "at.pos source_pos")
+    index = sized(spark, index, "index", 0)
+    return windows.join(index, ["window", "check"]).filter("source < doc_id").select("doc_id", "s1", "pos", "source", "source_s1", "source_pos")
+
+
 def repeated_spans(spark: SparkSession, rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(doc_id, cuts): what to remove from each document that repeats a smaller
     one; ``cuts`` lists (s1, start, length), start null for the whole text."""
@@ -146,23 +180,18 @@ def repeated_spans(spark: SparkSession, rows: DataFrame, window: int = WINDOW, g
     shared = sized(spark, shared, "shared", 0)
     wanted = sized(spark, anchors.join(shared, "anchor").groupBy("doc_id", "s1").agg(F.collect_set("anchor").alias("wanted")), "wanted", lists="wanted", item=8)
 
-    index_path = scratch_path(spark, "windows")
-    block_windows(rows.join(wanted, "doc_id"), window, gram).write.parquet(index_path)
-    windows = spark.read.schema(_WINDOWS).parquet(index_path)
-    index = windows.groupBy("window").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).filter("source < last").select("window", "source")
-    index = sized(spark, index, "index", 0)
-    known = windows.join(index, "window").filter("source < doc_id").select("doc_id", "s1", "pos", "source")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a factor that the edge of a batch cuts becomes two; their union is the same
         for batch in batches:
-            doc, seq, pos, source = (batch.column(i).to_numpy() for i in range(4))
-            first, length = parse(doc, seq, pos, source, window)
-            yield pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(seq[first]), pa.array(pos[first], pa.int32()), pa.array(length, pa.int32())], names=_FACTORS.names)
+            doc, seq, pos, *source = (batch.column(i).to_numpy() for i in range(6))
+            first, length = parse(doc, seq, pos, *source, window)
+            doc, seq, pos = doc[first], seq[first], pos[first]
+            first, length = spans(doc, seq, pos, length)
+            yield pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(seq[first]), pa.array(pos[first], pa.int32()), pa.array(length, pa.int32())], names=_SPANS.names)
 
+    known = found_windows(spark, rows, wanted, window, gram)
     ordered = known.repartition("doc_id", "s1").sortWithinPartitions("doc_id", "s1", "pos")
-    factors = ordered.mapInArrow(run, _FACTORS)
-    return factors.unionByName(copies).groupBy("doc_id").agg(F.collect_list(F.struct("s1", "start", "length")).alias("cuts"))
+    return ordered.mapInArrow(run, _SPANS).unionByName(copies).groupBy("doc_id").agg(F.collect_list(F.struct("s1", "start", "length")).alias("cuts"))
 
 
 def cut_words(w: Words, cuts: list[dict] | None) -> np.ndarray | None:

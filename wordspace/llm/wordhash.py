@@ -79,7 +79,7 @@ class Words:
             self.hash[at:to] = mix(got + (self.end[at:to] - self.start[at:to]).astype(np.uint64) * np.uint64(BASE))
             at = to
 
-    def runs(self, words: int) -> np.ndarray:
+    def runs(self, words: int, power: int = WINDOW_BASE) -> np.ndarray:
         """Hash of the run of ``words`` words from each word (runs that leave
         their text are the caller's to skip); short by ``words - 1`` entries."""
         n = len(self.hash) - words + 1
@@ -89,7 +89,7 @@ class Words:
         out = np.empty(n, np.uint64)
         for a in range(0, n, _BLOCK):
             b = min(n, a + _BLOCK)
-            out[a:b] = mix(range_sums(self.hash[a : b + words - 1], at[a:b] - a, at[a:b] - a + words, WINDOW_BASE))
+            out[a:b] = mix(range_sums(self.hash[a : b + words - 1], at[a:b] - a, at[a:b] - a + words, power))
         return out
 
 
