@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform
 from ..plans.ordering import global_index
+from ..session import materialize
 
 # broadcast a lookup side only below this many rows (the count is checked)
 BROADCAST_MAX_ROWS = 2_000_000
@@ -98,18 +99,19 @@ def dense_positions(df: DataFrame, with_doc_pos: bool = False, block: int = POS_
     ``dpos`` (position inside its document). Rows are grouped in blocks of
     ``block`` raw positions, so no window group is larger than a block even
     for a single huge document; block offsets are a distributed running sum
-    over the (much smaller) per-block counts.
+    over the (much smaller) per-block counts. The numbered rows are written once
+    and the counts are taken from them, so the stream is evaluated once.
     """
     blk = (F.col("pos") / F.lit(block)).cast("long")
     with_blk = df.withColumn("_blk", blk)
-    counts = with_blk.groupBy("doc_id", "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("doc_id", "_blk").orderBy("pos")
+    numbered = materialize(with_blk.withColumn("_rn", F.row_number().over(w) - 1))
+    counts = numbered.groupBy("doc_id", "_blk").agg(F.count(F.lit(1)).alias("_n"))
     offs = global_index(counts, ["doc_id", "_blk"], idx_col="_bi", sums=[("_n", "_cum")])
     offs = offs.select("doc_id", "_blk", (F.col("_cum") - F.col("_n")).alias("_off"))
     if with_doc_pos:
         starts = offs.groupBy("doc_id").agg(F.min("_off").alias("_doc_off"))
         offs = offs.join(starts, "doc_id")
-    w = Window.partitionBy("doc_id", "_blk").orderBy("pos")
-    numbered = with_blk.withColumn("_rn", F.row_number().over(w) - 1)
     out = join_lookup(numbered, offs, ["doc_id", "_blk"])
     out = out.withColumn("gpos", (F.col("_off") + F.col("_rn")).cast("long"))
     if with_doc_pos:

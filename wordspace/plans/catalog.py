@@ -81,6 +81,15 @@ def q_token_prefix(spark, sf_dir):
     return C.document_prefix(documents(spark, sf_dir), PREFIX_TOKENS)
 
 
+def q_text_scan(spark, sf_dir):
+    """Documents written as lines of text files, scanned in file order."""
+    from ..session import scratch_path
+
+    path = scratch_path(spark, "lines")
+    C.write_lines(documents(spark, sf_dir), path)
+    return C.tokenize(C.read_text(spark, path)).select(F.col("doc_id").alias("line_no"), "pos", "word")
+
+
 # --- V / R / P / N ---------------------------------------------------------
 
 
@@ -603,11 +612,27 @@ def q_export_embeddings(spark, sf_dir):
     return IO.load_embeddings(spark, path).select("idx", "word", F.size("vec").alias("dim"))
 
 
+def q_export_values(spark, sf_dir):
+    """S7 + S8: every value of the exported table, for a model whose values SQL
+    knows, at the reference's dimension."""
+    from ..session import scratch_path
+    from ..sources import model_io as IO
+    from .trainer import Model
+
+    vocab, config = doc_vocab(spark, sf_dir), train_config()
+    params = ST.init_params(vocab, config.dim, SEED)
+    path = scratch_path(spark, "values")
+    IO.export_embeddings(Model(vocab=vocab, params=params, history=None, config=config, meta={}), path)
+    back = IO.load_embeddings(spark, path)
+    return back.select("idx", "word", F.posexplode("vec").alias("dim", "val")).withColumn("val", r("val", 12))
+
+
 QUERIES = {
     "corpus_stats": q_corpus_stats,
     "tokens_positions": q_tokens_positions,
     "sentence_tokens": q_sentence_tokens,
     "token_prefix": q_token_prefix,
+    "text_scan": q_text_scan,
     "word_counts": q_word_counts,
     "vocab_ranked": q_vocab_ranked,
     "vocab_capped": q_vocab_capped,
@@ -658,6 +683,7 @@ QUERIES = {
     "model_roundtrip": q_model_roundtrip,
     "params_roundtrip": q_params_roundtrip,
     "export_embeddings": q_export_embeddings,
+    "export_values": q_export_values,
 }
 
 

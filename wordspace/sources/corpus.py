@@ -104,6 +104,15 @@ def read_text(spark: SparkSession, path: str, one_line: bool = False) -> DataFra
     return ranked.select("doc_id", F.col("value").alias("text"))
 
 
+def write_lines(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
+    """One line per document in the order of the ids, as ``read_text`` numbers
+    them: line breaks inside a text become spaces (no token spans one), a null
+    text is an empty line. Files are ranges of ids, so no task holds more."""
+    line = F.coalesce(F.regexp_replace(F.col(text_col), r"[\r\n]+", " "), F.lit("")).alias("value")
+    ordered = docs.select(F.col(id_col).alias("_id"), line).orderBy("_id")
+    ordered.select("value").write.mode("overwrite").text(path)
+
+
 def demo_corpus(spark: SparkSession) -> DataFrame:
     """The 20 demo sentences x 200; ``doc_id = rep * 20 + i`` keeps order."""
     base = spark.createDataFrame(list(enumerate(DEMO_SENTENCES)), "i int, text string")

@@ -116,6 +116,9 @@ SELECT CAST(count(*) AS BIGINT) AS n_docs,
          AS n_nonempty_docs
 FROM documents"""
 
+SQL["text_scan"] = with_(tokens_cte()) + """
+SELECT n.line_no, t.pos, t.word FROM tokens t
+JOIN (SELECT CAST(doc_id AS BIGINT) AS doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS line_no FROM documents) n USING (doc_id)"""
 SQL["tokens_positions"] = with_(tokens_cte()) + "SELECT doc_id, pos, word FROM tokens"
 
 SQL["sentence_tokens"] = """
@@ -601,3 +604,7 @@ SQL["params_roundtrip"] = SQL["param_init"]
 
 SQL["export_embeddings"] = with_(tokens_cte(), vocab_cte()) + f"""
 SELECT idx, word, CAST({TRAIN.dim} AS INTEGER) AS dim FROM vocab"""
+
+SQL["export_values"] = with_(tokens_cte(), vocab_cte(), params_cte(TRAIN.dim, context="zeros")) + f"""
+SELECT p.idx, v.word, CAST(unnest(range({TRAIN.dim})) AS INTEGER) AS dim, (round(unnest(p.vec), 12) + 0.0::DOUBLE) AS val
+FROM params p JOIN vocab v ON v.idx = p.idx WHERE p.matrix = 'center'"""
