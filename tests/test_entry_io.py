@@ -36,6 +36,16 @@ def test_read_text_one_line_keeps_order(spark, monkeypatch):
     assert [r.word for r in C.tokenize(lines).orderBy("doc_id", "pos").collect()] == re.findall(r"[a-z]+", text.lower())
 
 
+def test_lines_written_are_scanned_in_order(spark):
+    texts = ["One two\nthree", None, "", "four\r\nfive\rsix", "seven"] * 30
+    docs = spark.createDataFrame([(3 * i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    d = tempfile.mkdtemp(prefix="wordspace-lines-", dir="/tmp")
+    C.write_lines(docs, f"{d}/lines")
+    got = C.tokenize(C.read_text(spark, f"{d}/lines")).orderBy("doc_id", "pos").collect()
+    want = [(i, p, w) for i, t in enumerate(texts) for p, w in enumerate(re.findall(r"[a-z]+", (t or "").lower()))]
+    assert [tuple(r) for r in got] == want
+
+
 def test_model_roundtrip_checks_sizes(spark, demo_tokens):
     vocab = V.build_vocab(demo_tokens, 5)
     params = ST.init_params(vocab, 4, 42)

@@ -172,3 +172,17 @@ def test_salted_encode_equals_broadcast(spark, demo_tokens):
     b = E.encode(demo_tokens, vocab, carry=("keep_prob",), broadcast_max_rows=0, hot_word_rows=300)
     assert a.count() == b.count() == 42_800
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_dense_positions_evaluates_the_stream_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    rows = spark.createDataFrame([(d, p, p % 5) for d in range(6) for p in range(50)], "doc_id long, pos int, idx int")
+    out = E.dense_positions(rows.mapInPandas(count, rows.schema), with_doc_pos=True, block=16).orderBy("gpos").collect()
+    assert [(r.doc_id, r.pos, r.gpos, r.dpos) for r in out] == [(d, p, 50 * d + p, p) for d in range(6) for p in range(50)]
+    assert seen.value == 300

@@ -130,22 +130,37 @@ def gradient_rows(pos: DataFrame, neg: DataFrame) -> DataFrame:
     return out
 
 
+# dimensions summed by one aggregate row: with the keys and sums of two levels well
+# below the number of fields up to which Spark generates code
+DIM_BLOCK = 48
+
+
 def scatter_sum(rows: DataFrame, vec_col: str = "g", by=("matrix", "idx"), dim: int | None = None, mean: bool = False) -> DataFrame:
     """Element-wise vector sum (or mean) per row index.
 
-    With ``dim`` known this is one ``sum`` per dimension: fixed-width buffers,
-    so a codegen'd hash aggregate with map-side partial sums (a hot index
-    costs one buffer per task, not one row per use). Without it, the vector
-    ``Summarizer`` is used."""
+    With ``dim`` known each vector is cut into blocks of ``DIM_BLOCK`` dimensions
+    and one aggregate keyed by (index, block) holds one ``sum`` per dimension of
+    a block: fixed-width buffers in generated code whatever the dimension, with
+    map-side partial sums (a hot index costs one buffer per task and block, not
+    one row per use). The sums of an index, one row a block, are then put
+    together. Without ``dim`` the vector ``Summarizer`` is used."""
     if dim is None:
         fn = Summarizer.mean if mean else Summarizer.sum
         agg = rows.groupBy(*by).agg(fn(array_to_vector(F.col(vec_col))).alias("_s"))
         return agg.select(*by, vector_to_array("_s").alias(vec_col))
-    sums = [F.sum(F.col(vec_col)[i]).alias(f"_s{i}") for i in range(dim)]
-    agg = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *sums)
+    width = min(dim, DIM_BLOCK)
+    sums = [F.sum(F.get(vec_col, F.lit(i))).alias(f"_s{i}") for i in range(width)]
     scale = (F.lit(1.0) / F.col("_n")) if mean else F.lit(1.0)
-    vec = F.array(*[F.col(f"_s{i}") * scale if mean else F.col(f"_s{i}") for i in range(dim)])
-    return agg.select(*by, vec.alias(vec_col))
+    vec = F.array(*[F.col(f"_s{i}") * scale if mean else F.col(f"_s{i}") for i in range(width)]).alias(vec_col)
+    if dim <= DIM_BLOCK:
+        return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *sums).select(*by, vec)
+    starts = range(0, dim, DIM_BLOCK)
+    blocks = F.array(*[F.slice(vec_col, i + 1, DIM_BLOCK) for i in starts])
+    cut = rows.select(*by, F.posexplode(blocks).alias("_block", vec_col))
+    agg = cut.groupBy(*by, "_block").agg(F.count(F.lit(1)).alias("_n"), *sums).select(*by, "_block", vec)
+    # at most dim / DIM_BLOCK rows an index; the last block is filled up with nulls
+    whole = agg.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_block", vec_col))).alias("_b"))
+    return whole.select(*by, F.slice(F.flatten(F.transform("_b", lambda b: b[vec_col])), 1, dim).alias(vec_col))
 
 
 def gradients(pos: DataFrame, neg: DataFrame, dim: int | None = None) -> DataFrame:

@@ -32,6 +32,7 @@ PREFIX_TOKENS = 100_000
 VOCAB_CAP = 1000
 DIGITS = 9
 GRAD_DIGITS = 6
+DIM = 100
 DIM_CHECK = 8
 BATCH = 256
 EPOCHS_CHECK = 2
@@ -284,7 +285,7 @@ def q_lr_absolute(spark, sf_dir):
 
 
 def q_param_init(spark, sf_dir):
-    p = ST.init_params(doc_vocab(spark, sf_dir), DIM_CHECK, SEED)
+    p = ST.init_params(doc_vocab(spark, sf_dir), DIM, SEED)
     return ST.explode_params(p, 12)
 
 
@@ -469,7 +470,7 @@ def q_pmi(spark, sf_dir):
 
 
 def q_avg_embedding(spark, sf_dir):
-    p = ST.init_params(doc_vocab(spark, sf_dir), DIM_CHECK, SEED, context="hashed")
+    p = ST.init_params(doc_vocab(spark, sf_dir), DIM, SEED, context="hashed")
     c = p.filter("matrix = 'center'").select("idx", F.col("vec").alias("a"))
     x = p.filter("matrix = 'context'").select("idx", F.col("vec").alias("b"))
     avg = c.join(x, "idx").select("idx", F.zip_with("a", "b", lambda u, v: (u + v) / 2.0).alias("vec"))
@@ -582,8 +583,8 @@ def q_params_roundtrip(spark, sf_dir):
     from .trainer import Model
 
     vocab = doc_vocab(spark, sf_dir)
-    params = ST.init_params(vocab, DIM_CHECK, SEED)
-    meta = {"vocab_size": vocab.count(), "embedding_dim": DIM_CHECK, "seed": SEED}
+    params = ST.init_params(vocab, DIM, SEED)
+    meta = {"vocab_size": vocab.count(), "embedding_dim": DIM, "seed": SEED}
     path = scratch_path(spark, "params")
     IO.save_model(Model(vocab=vocab, params=params, history=None, config=train_config(), meta=meta), path)
     return ST.explode_params(IO.load_model(spark, path).params, 12)

@@ -324,8 +324,8 @@ def params_cte(dim: int = Q.DIM_CHECK, context: str = "hashed") -> str:
 )"""
 
 
-SQL["param_init"] = with_(tokens_cte(), vocab_cte(), params_cte(context="zeros")) + f"""
-SELECT matrix, idx, CAST(unnest(range({Q.DIM_CHECK})) AS INTEGER) AS dim, (round(unnest(vec), 12) + 0.0::DOUBLE) AS val FROM params"""
+SQL["param_init"] = with_(tokens_cte(), vocab_cte(), params_cte(Q.DIM, context="zeros")) + f"""
+SELECT matrix, idx, CAST(unnest(range({Q.DIM})) AS INTEGER) AS dim, (round(unnest(vec), 12) + 0.0::DOUBLE) AS val FROM params"""
 
 
 def sig(x: str) -> str:
@@ -496,12 +496,12 @@ j AS (
 )
 SELECT center, context, n, (round(pmi, {D}) + 0.0::DOUBLE) AS pmi, (round(pmi - ln({Q.K_EXACT}::DOUBLE), {D}) + 0.0::DOUBLE) AS spmi FROM j"""
 
-SQL["avg_embedding"] = with_(tokens_cte(), vocab_cte(), params_cte()) + f"""
+SQL["avg_embedding"] = with_(tokens_cte(), vocab_cte(), params_cte(Q.DIM)) + f"""
 , av AS (
   SELECT c.idx, list_transform(list_zip(c.vec, x.vec), lambda t: (t[1] + t[2]) / 2.0::DOUBLE) AS vec
   FROM params c JOIN params x ON c.idx = x.idx AND c.matrix = 'center' AND x.matrix = 'context'
 )
-SELECT idx, CAST(unnest(range({Q.DIM_CHECK})) AS INTEGER) AS dim, (round(unnest(vec), 12) + 0.0::DOUBLE) AS val FROM av"""
+SELECT idx, CAST(unnest(range({Q.DIM})) AS INTEGER) AS dim, (round(unnest(vec), 12) + 0.0::DOUBLE) AS val FROM av"""
 
 
 def redraw_sql(epochs: int) -> str:
