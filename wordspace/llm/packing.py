@@ -12,10 +12,12 @@ partitions. If more than ``MAX_OPEN`` windows are open (64 MB of ids; it takes
 documents that fit nowhere together), the emptiest is spread over the fullest.
 
 Tokens come from the ``tokenizers`` library with the given vocabulary file. The
-file's pre-tokens never hold white space, so each distinct run between white
-space is encoded once per task, each word about once per worker; a run of ASCII
-and Latin-1 letters is first lowered and cut into its pre-tokens, of which only the unseen ones go to the
-library (both caches are of bounded size). The ids of a text are gathered from those of its runs.
+file's pre-tokens never hold white space, so the distinct runs between white space of some texts are encoded
+once. Those of ASCII and Latin-1 letters are lowered and cut into their
+pre-tokens, of which only the unseen ones go to the library's model, in the
+characters by which the library writes bytes; other runs go to the library
+whole. Both caches are of bounded size. The ids of a text are gathered from those
+of its runs.
 
 Defined results: null or empty text is the end id alone; equal rows are packed
 each by itself; a null ``doc_id`` stays null; other columns are dropped; an
@@ -30,7 +32,9 @@ import json
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +47,8 @@ from .common import slices
 WINDOW = 4096
 END_ID = 2
 MAX_OPEN = 4096
-CACHE_RUNS = 400_000
-CACHE_WORDS = 300_000
+CACHE_RUNS = 100_000  # runs beyond Latin-1
+CACHE_WORDS = 250_000  # words of a generation; that before it stays at hand
 GATHER = 64  # texts whose ids are put together at a time
 #: ASCII and the letters of Latin-1, which neither normalisation nor lowering makes into several characters
 PLAIN = re.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*").fullmatch
@@ -63,115 +67,89 @@ PIECES = T.StructType([
 
 
 class RunTokenizer:
-    """Ids of whole texts by the library, which sees only what is new: many
-    pieces in one call, parted by a special token of the vocabulary."""
+    """Ids of whole texts by the library, which sees only words and runs that are new."""
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
-        settings = json.loads(spec)
-        added = settings.get("added_tokens", [])
-        self.special = re.compile("|".join(re.escape(t["content"]) for t in added) or "(?!)")
-        whole = [t for t in added if t.get("special") and not any(t.get(k) for k in ("normalized", "lstrip", "rstrip", "single_word"))]
-        self.parting = (whole[-1]["content"], whole[-1]["id"]) if whole else None
-        suffix = settings["model"].get("end_of_word_suffix")
-        self.ends = None  # by id: whether the token ends a word
-        if suffix:
-            vocabulary = settings["model"]["vocab"]
-            self.ends = np.zeros(max([*vocabulary.values(), *(t["id"] for t in added)]) + 1, bool)
-            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        added = json.loads(spec).get("added_tokens", [])
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in added) or "(?!)").search
+        # how the library writes the bytes of a plain character
+        written = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.written = {c: "".join(x for x, _ in written(chr(c))) for c in (*range(32), *range(33, 128), *range(0xC0, 0x100))}
+        self.words: dict[str, bytes] = {" ": b""}  # the space only parts the runs
+        self.forget()
 
     def forget(self) -> None:
-        """Give the memory of the runs back; words, of which there are fewer, stay."""
-        self.young, self.old = {}, {}
+        """Give the memory of all but the last generation of words back."""
+        self.old: dict[str, bytes] = {}
+        self.odd: dict[str, bytes] = {}
         pa.default_memory_pool().release_unused()
 
-    def _learn(self, parts: list[str], into: dict[str, bytes], words: bool = False) -> None:
-        """Encode pieces that hold no special token; ``words``: each is one
-        pre-token, so that a token at a word's end ends it."""
-        for i in range(0, len(parts), 5_000):
-            some = parts[i : i + 5_000]
-            if words and self.ends is not None:
-                ids = self._ids(" ".join(some))
-                last = np.flatnonzero(self.ends[ids]) + 1
-                if len(last) == len(some):
-                    self._cut(some, ids, [0, *last[:-1].tolist()], last.tolist(), into)
-                    continue
-            if self.parting is not None:
-                ids = self._ids(self.parting[0].join(some))
-                cuts = np.flatnonzero(ids == self.parting[1])
-                self._cut(some, ids, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], into)
-                continue
-            for r in some:
-                into[r] = self._ids(r).tobytes()
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    @staticmethod
-    def _cut(parts: list[str], ids: np.ndarray, start: list[int], end: list[int], into: dict[str, bytes]) -> None:
-        raw = ids.tobytes()
-        for r, a, b in zip(parts, start, end, strict=True):
-            into[r] = raw[4 * a : 4 * b]
-
-    def _learn_runs(self, unseen: list[str]) -> None:
-        """Runs: a plain one is put together from its words."""
-        words, special = self.words, self.special.search
-        plain, other = [], []
-        rare = special(" ".join(unseen)) is not None  # no special token spans white space
-        for r in unseen:
-            if rare and special(r):
-                self.young[r] = self._ids(r).tobytes()
-            elif r.isascii() or PLAIN(r):
-                plain.append(r)
-            else:
-                other.append(r)
-        self._learn(other, self.young)
-        for i in range(0, len(plain), 50_000):
-            some = plain[i : i + 50_000]
-            parts = PLAIN_WORDS.findall(" ".join(some).lower())
-            new = set(parts).difference(words)
-            if len(words) + len(new) > CACHE_WORDS:
-                words.clear()
-                new = set(parts)
+    def _learn(self, new: list[str]) -> None:
+        """Words of plain runs go straight to the library's model."""
+        model, words = self.library.model.tokenize, self.words
+        for word, bytes_of in zip(new, " ".join(new).translate(self.written).split(" "), strict=True):
+            words[word] = array("I", [t.id for t in model(bytes_of)]).tobytes()
+
+    def _plain(self, text: str) -> tuple[bytes, list[int]]:
+        """(ids of all runs of ``text``, where each run's ids end)."""
+        parts = PLAIN_WORDS.findall(text.lower())
+        distinct = set(parts)
+        new = distinct.difference(self.words)
+        if len(self.words) + len(new) > CACHE_WORDS:
+            self.old, self.words = self.words, {" ": b""}
+            new = distinct
             new.discard(" ")
-            self._learn(list(new), words, words=True)
-            words[" "] = b""  # only parts the runs
-            got = list(map(words.__getitem__, parts))
-            size = np.array(list(map(len, got)), np.int64)
-            ends = np.cumsum(size)[size == 0].tolist()  # at the spaces
-            raw = b"".join(got)
-            for r, a, b in zip(some, [0, *ends], [*ends, len(raw)], strict=True):
-                self.young[r] = raw[a:b]
+        found = self.old.keys() & new
+        for word in found:
+            self.words[word] = self.old[word]
+        self._learn(list(new - found if found else new))
+        got = list(map(self.words.__getitem__, parts))
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        raw = b"".join(got)
+        return raw, [*np.cumsum(size)[size == 0].tolist(), len(raw)]  # at the spaces
+
+    def _other(self, run: str) -> bytes:
+        if (ids := self.odd.get(run)) is None:
+            if len(self.odd) >= CACHE_RUNS:
+                self.odd.clear()
+            ids = self.odd[run] = array("I", self.library.encode(run, add_special_tokens=False).ids).tobytes()
+        return ids
+
+    def _runs(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all distinct runs, in order; number of ids of each)."""
+        if not len(names):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        text = pc.binary_join(pa.ListArray.from_arrays([0, len(names)], names), " ")[0].as_py()
+        rare = self.special(text) is not None  # no special token spans white space
+        if not rare and PLAIN(text):
+            raw, ends = self._plain(text)
+            return np.frombuffer(raw, "<u4"), np.diff(ends, prepend=0) // 4
+        runs = text.split(" ")
+        plain = [(r.isascii() or PLAIN(r) is not None) and not (rare and self.special(r)) for r in runs]
+        known: list[bytes] = []
+        raw, ends = self._plain(" ".join(compress(runs, plain))) if any(plain) else (b"", [])
+        at, start = iter(ends), 0
+        for r, is_plain in zip(runs, plain, strict=True):
+            if is_plain:
+                end = next(at)
+                known.append(raw[start:end])
+                start = end
+            else:
+                known.append(self._other(r))
+        return np.frombuffer(b"".join(known), "<u4"), np.fromiter(map(len, known), np.int64, len(known)) // 4
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids (little-endian unsigned 32 bit) of each text; null: none."""
         runs = pc.ascii_split_whitespace(texts.cast(pa.string()).fill_null(""))
         first = runs.offsets.to_numpy()
         coded = runs.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        if len(self.young) >= CACHE_RUNS:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        young[""] = b""
-        unseen = []
-        for r in names:
-            if r not in young:
-                if (ids := old.get(r)) is None:
-                    unseen.append(r)
-                else:
-                    young[r] = ids
-        self._learn_runs(unseen)
-        known = [young[r] for r in names]
         # the ids of every run of every text, gathered from those of the distinct runs
-        flat = np.frombuffer(b"".join(known), "<u4")
-        size = np.array(list(map(len, known)), np.int64) // 4
+        flat, size = self._runs(coded.dictionary)
         which = coded.indices.to_numpy()
         take = size[which]
         ends = np.cumsum(take)
