@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -80,6 +81,22 @@ def test_packing_covers_every_id_once(docs_of):
     assert packing.pack(spark, docs_of([]), WORD_VOCABULARY).count() == 0
 
 
+def test_runs_equal_library_with_small_caches(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 200)
+    monkeypatch.setattr(packing, "CACHE_RUNS", 50)
+    lib = Tokenizer.from_file(WORD_VOCABULARY)
+    lib.no_truncation()
+    lib.no_padding()
+    tokenizer = packing.RunTokenizer(open(WORD_VOCABULARY, encoding="utf-8").read())
+    rows = texts(2000)
+    batches = [rows[i : i + 150] for i in range(0, len(rows), 150)]
+    for k, batch in enumerate([*batches, batches[-1], ["known"], ["known"], [None], [""], []]):  # nothing new in some
+        got = tokenizer.encode(pa.array(batch, pa.string()))
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [lib.encode(t or "", add_special_tokens=False).ids for t in batch]
+        if k % 5 == 4:
+            tokenizer.forget()
+
+
 def test_sum_of_squares_choice():
     rng = np.random.default_rng(3)
     p = packing.SumOfSquares(window=16)

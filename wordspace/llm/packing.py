@@ -91,6 +91,8 @@ class RunTokenizer:
 
     def _learn(self, new: list[str]) -> None:
         """Words of plain runs go straight to the library's model."""
+        if not new:
+            return
         model, words = self.library.model.tokenize, self.words
         for word, bytes_of in zip(new, " ".join(new).translate(self.written).split(" "), strict=True):
             words[word] = array("I", [t.id for t in model(bytes_of)]).tobytes()
