@@ -37,6 +37,16 @@ def test_top_k_is_exact(ready, monkeypatch):
     assert topk.top_k(few, few.filter("vec_id = 0"), 5).count() == 2
 
 
+def test_a_query_id_with_several_vectors_asks_with_the_least(ready):
+    rows = [(i, [0.1 * i, 1.0 - 0.1 * i], 0, "x", "x") for i in range(1, 8)]
+    twice = [(50, [0.5, -0.5], 0, "x", "x"), (50, [-0.5, 0.5], 0, "x", "x"), (50, [-0.5, 0.25], 0, "x", "x")]
+    want = brute_top([*rows, (50, [-0.5, 0.25], 0, "x", "x")], 5, lambda i: i == 50)
+    for order in (twice, twice[::-1]):
+        df = ready.createDataFrame(rows + order, VEC).repartition(4)
+        got = sorted(tuple(r) for r in topk.top_k(df, df.filter("vec_id = 50"), 5).collect())
+        assert got == want
+
+
 def test_index_processes_segments_in_impact_order_and_is_exact():
     rng = np.random.default_rng(0)
     vectors = rng.integers(-90, 90, (3000, 16))

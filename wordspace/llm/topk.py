@@ -18,8 +18,9 @@ is at most k rows a query, merged by one grouped ranking.
 Defined results: vectors that are null or hold null or non-finite components
 take no part, neither as query nor as candidate; vectors of another length than
 the query's never match it; a row is never its own candidate, and neither are
-rows with the same id; repeated candidate rows count each; ties go to the
-smaller id; extra columns are dropped; an empty table gives an empty result;
+rows with the same id; repeated candidate rows count each; a query id with
+several vectors asks with the least of them (by its first differing integer
+component, a shorter one before its extensions); ties go to the smaller id; extra columns are dropped; an empty table gives an empty result;
 fewer than k candidates give all of them. Products too large for sums in 64 bits
 are scored without the index; a score of the result itself must fit 64 bits
 (OverflowError).
@@ -165,7 +166,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
     """(query_id, rank, vec_id, score): the k best rows of ``vectors`` for every
     distinct id of ``queries``."""
     index = quantised(vectors, scale, key, vector)
-    asked = quantised(queries, scale, key, vector).dropDuplicates(["vec_id"])
+    asked = quantised(queries, scale, key, vector).groupBy("vec_id").agg(F.min("v").alias("v"))
     blocks = max(1, -(-index.count() // BLOCK))
     query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     block = lambda col, n: F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
