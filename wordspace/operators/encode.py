@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform
 from ..plans.ordering import global_index
-from ..session import materialize
+from ..session import written
 
 # broadcast a lookup side only below this many rows (the count is checked)
 BROADCAST_MAX_ROWS = 2_000_000
@@ -105,7 +105,7 @@ def dense_positions(df: DataFrame, with_doc_pos: bool = False, block: int = POS_
     blk = (F.col("pos") / F.lit(block)).cast("long")
     with_blk = df.withColumn("_blk", blk)
     w = Window.partitionBy("doc_id", "_blk").orderBy("pos")
-    numbered = materialize(with_blk.withColumn("_rn", F.row_number().over(w) - 1))
+    numbered = written(with_blk.withColumn("_rn", F.row_number().over(w) - 1), "numbered")
     counts = numbered.groupBy("doc_id", "_blk").agg(F.count(F.lit(1)).alias("_n"))
     offs = global_index(counts, ["doc_id", "_blk"], idx_col="_bi", sums=[("_n", "_cum")])
     offs = offs.select("doc_id", "_blk", (F.col("_cum") - F.col("_n")).alias("_off"))

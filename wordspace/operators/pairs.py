@@ -4,14 +4,14 @@ The band self-join ``|gpos_c - gpos_x| <= r`` is not run as a theta join
 (which plans as a hash join per document with a residual: quadratic in the
 document length). The dense stream is cut into chunks of ``chunk`` positions;
 the ``window`` rows on each side of a chunk border are copied into the
-neighbouring chunk as a halo, and ``lag``/``lead`` over ``gpos`` inside a chunk
-see every neighbour within the window. Work is linear in N * W and no group
+neighbouring chunk as a halo, and a task that reads its chunks in ``gpos`` order
+sees every neighbour within the window. Work is linear in N * W and no group
 exceeds ``chunk + 2 * window`` rows, whatever the document lengths.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform
@@ -46,43 +46,77 @@ def window_pairs(
     """
     if chunk <= 2 * window:
         raise ValueError("chunk must exceed twice the window")
-    base = with_radius(dense.select("doc_id", "pos", "idx", "gpos"), window, seed, epoch)
+    n = int(dense.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = dense.select("doc_id", "pos", "idx", "gpos")
     ch = (F.col("gpos") / F.lit(chunk)).cast("long")
     inner = F.col("gpos") - ch * F.lit(chunk)
     copies = F.array(
-        F.struct(ch.alias("c"), F.lit(True).alias("own")),
-        F.when(inner < window, F.struct((ch - 1).alias("c"), F.lit(False).alias("own"))),
-        F.when(inner >= chunk - window, F.struct((ch + 1).alias("c"), F.lit(False).alias("own"))),
-    )
-    rows = base.select("*", F.explode(copies).alias("_copy")).filter(
-        F.col("_copy").isNotNull() & (F.col("_copy.c") >= 0)
-    )
-    rows = rows.select("doc_id", "pos", "idx", "gpos", "r", F.col("_copy.c").alias("_chunk"), F.col("_copy.own").alias("_own"))
-    w = Window.partitionBy("_chunk").orderBy("gpos")
-    nb = F.struct("gpos", "doc_id", "pos", "idx")
-    cands = []
-    for o in range(1, window + 1):
-        cands.append(F.struct(F.lit(-o).alias("off"), F.lag(nb, o).over(w).alias("x")))
-        cands.append(F.struct(F.lit(o).alias("off"), F.lead(nb, o).over(w).alias("x")))
-    with_nb = rows.select("doc_id", "pos", "idx", "gpos", "r", "_own", F.array(*cands).alias("_cands"))
-    owned = with_nb.filter("_own")
-    exploded = owned.select("doc_id", "pos", "idx", "gpos", "r", F.explode("_cands").alias("_c"))
-    keep = F.col("_c.x").isNotNull() & (F.abs(F.col("_c.off")) <= F.col("r"))
-    if sentence:
-        keep = keep & (F.col("_c.x.doc_id") == F.col("doc_id"))
-    pairs = exploded.filter(keep)
-    return pairs.select(
-        "doc_id",
-        F.col("pos").alias("center_pos"),
-        F.col("_c.x.doc_id").alias("ctx_doc"),
-        F.col("_c.x.pos").alias("context_pos"),
-        F.col("idx").alias("center"),
-        F.col("_c.x.idx").alias("context"),
-        "gpos",
-        F.col("_c.off").alias("off"),
+        ch,
+        F.when(inner < window, ch - 1),
+        F.when(inner >= chunk - window, ch + 1),
     )
+    rows = base.select("*", F.explode(copies).alias("_chunk")).filter(F.col("_chunk") >= 0)
+    rows = rows.repartition(n, "_chunk").sortWithinPartitions("_chunk", "gpos")
+    # the radius is drawn behind the shuffle
+    return with_radius(rows, window, seed, epoch).mapInArrow(_neighbours(window, sentence, chunk), PAIRS)
+
+
+PAIRS = "doc_id bigint, center_pos int, ctx_doc bigint, context_pos int, center int, context int, gpos bigint, off int"
+# pairs handed on at a time
+PAIRS_AT_ONCE = 1 << 16
+
+
+def _neighbours(window: int, sentence: bool, chunk: int):
+    """Pairs of rows sorted by (chunk, gpos). The last ``window`` rows of a batch
+    wait for the next one, which also meets the ``window`` rows before them."""
+    import numpy as np
+    import pyarrow as pa
+
+    types = {"doc_id": pa.int64(), "pos": pa.int32(), "idx": pa.int32(), "gpos": pa.int64(), "r": pa.int32(), "_chunk": pa.int64()}
+
+    def pairs_of(t, begin: int, end: int):
+        gpos, chunks, r = (t.column(c).to_numpy() for c in ("gpos", "_chunk", "r"))
+        doc = t.column("doc_id")
+        docs, known = doc.fill_null(0).to_numpy(), doc.is_valid().to_numpy(zero_copy_only=False)
+        at = np.arange(begin, end)
+        at = at[gpos[at] // chunk == chunks[at]]
+        offs = np.array([o for d in range(1, window + 1) for o in (-d, d)])
+        other = at[:, None] + offs
+        inside = (other >= 0) & (other < len(gpos)) & (np.abs(offs) <= r[at][:, None])
+        row, col = np.nonzero(inside)
+        a, b = at[row], other[row, col]
+        same = chunks[a] == chunks[b]
+        if sentence:
+            same &= (docs[a] == docs[b]) & known[a] & known[b]
+        a, b, off = a[same], b[same], offs[col[same]]
+        for i in range(0, len(a), PAIRS_AT_ONCE):
+            x, y = pa.array(a[i : i + PAIRS_AT_ONCE]), pa.array(b[i : i + PAIRS_AT_ONCE])
+            yield pa.RecordBatch.from_arrays(
+                [doc.take(x), t.column("pos").take(x), doc.take(y), t.column("pos").take(y), t.column("idx").take(x),
+                 t.column("idx").take(y), t.column("gpos").take(x), pa.array(off[i : i + PAIRS_AT_ONCE].astype(np.int32))],
+                names=["doc_id", "center_pos", "ctx_doc", "context_pos", "center", "context", "gpos", "off"],
+            )
+
+    def run(batches):
+        held, begin = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            got = pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)).cast(t) for c, t in types.items()], names=list(types))
+            held = got if held is None else pa.RecordBatch.from_arrays([pa.concat_arrays([held.column(c), got.column(c)]) for c in types], names=list(types))
+            end = max(begin, held.num_rows - window)
+            yield from pairs_of(held, begin, end)
+            cut = max(0, end - window)
+            held, begin = held.slice(cut), end - cut
+        if held is not None:
+            yield from pairs_of(held, begin, held.num_rows)
+
+    return run
 
 
 def pair_counts(pairs: DataFrame) -> DataFrame:
-    """Occurrences of each (center, context); partial aggregation first."""
-    return pairs.groupBy("center", "context").agg(F.count(F.lit(1)).alias("n"))
+    """Occurrences of each (center, context); partial aggregation first, under
+    one packed key (two non-negative ints), a third less to shuffle."""
+    key = F.shiftleft(F.col("center").cast("long"), 32) + F.col("context")
+    n = pairs.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+    return n.select(F.shiftright("_key", 32).cast("int").alias("center"), F.col("_key").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("context"), "n")

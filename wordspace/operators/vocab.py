@@ -15,6 +15,8 @@ from ..plans.ordering import global_index
 # tie-breaker both stay in a hash aggregate (min over a struct would not)
 _POS_SPAN = 10_000_000_000
 _KEY_TYPE = "decimal(38,0)"
+# ids below this make a key of one long
+_LONG_DOCS = (1 << 63) // _POS_SPAN
 
 # fixed values: default noise exponent and integer weight resolution
 NOISE_POWER = 0.75
@@ -26,13 +28,21 @@ def word_counts(tokens: DataFrame, min_count: int = 1) -> DataFrame:
 
     Partial (map-side) aggregation collapses hot words before the shuffle.
     """
-    first_key = F.col("doc_id").cast("decimal(20,0)") * F.lit(_POS_SPAN).cast("decimal(11,0)") + F.col("pos").cast(
+    wide = F.col("doc_id").cast("decimal(20,0)") * F.lit(_POS_SPAN).cast("decimal(11,0)") + F.col("pos").cast(
         "decimal(11,0)"
     )
+    # nearly all ids fit one long; the decimal is built for the others alone
+    fits = F.col("doc_id").between(0, _LONG_DOCS - 1)
+    long_key = F.when(fits, F.col("doc_id") * F.lit(_POS_SPAN) + F.col("pos"))
     agg = tokens.groupBy("word").agg(
-        F.count(F.lit(1)).alias("cnt"), F.min(first_key.cast(_KEY_TYPE)).alias("_first")
+        F.count(F.lit(1)).alias("cnt"),
+        F.min(long_key).alias("_near"),
+        F.min(F.when(~fits, wide.cast(_KEY_TYPE))).alias("_far"),
     )
     agg = agg.filter(F.col("cnt") >= min_count)
+    # negative ids come before those of one long, larger ones after them
+    near = F.col("_near").cast(_KEY_TYPE)
+    agg = agg.withColumn("_first", F.when(F.col("_far") < 0, F.col("_far")).otherwise(F.coalesce(near, F.col("_far"))))
     first_doc = F.floor(F.col("_first") / F.lit(_POS_SPAN)).cast("long")
     return agg.select(
         "word",

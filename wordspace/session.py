@@ -123,6 +123,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A large table that is read more than once: compressed columns under the
+    checkpoint directory, a fraction of a checkpoint's serialised rows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package wrote under the checkpoint directory."""
     if not path.startswith(ensure_checkpoint_dir(spark).rstrip("/") + "/"):
