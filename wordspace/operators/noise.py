@@ -4,9 +4,10 @@ Two samplers, matching the two variants:
 
 * exact categorical (N2): ``x = floor(u * weight_total)`` picks the word with
   ``cdf_lo <= x < cdf_hi``. The interval lookup (a CDF inversion) becomes an
-  equi-join on a bin key: the integer mass is cut into ``bins`` equal bins,
-  each word is listed in every bin it overlaps, a draw joins its bin and keeps
-  the one word whose interval holds it.
+  search in the running mass, which is sent to the tasks, or, where that is too
+  large, an equi-join on a bin key: the integer mass is cut into ``bins`` equal
+  bins, each word is listed in every bin it overlaps, a draw joins its bin and
+  keeps the one word whose interval holds it.
 * slot table (N3, N4): ``table_size`` slots, slot ``s`` belongs to the first
   word whose cumulative mass reaches ``s / table_size``; a draw picks a slot.
 
@@ -18,8 +19,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.hashing import uniform
+from ..functions.hashing import task_uniforms, uniform
 from ..session import spread
 from .encode import join_lookup
 
@@ -29,6 +31,11 @@ TABLE_SIZE = 1_000_000
 MIN_BINS = 1 << 16
 
 PAIR_KEY = ("gpos", "off")
+# noise mass up to this many bytes is sent to the tasks
+MASS_BROADCAST_BYTES = 256 << 20
+# pairs drawn for at a time by a task, and rows handed on at a time
+PAIRS_AT_ONCE = 1 << 15
+ROWS_AT_ONCE = 1 << 16
 
 
 def bin_of(x, total, bins: int):
@@ -55,6 +62,82 @@ def cdf_bins(noise: DataFrame, bins: int) -> DataFrame:
     )
 
 
+def held_mass(noise: DataFrame):
+    """The words with noise in order of their mass and its running sums, for the
+    tasks (12 bytes a word); None if that is above the size of a broadcast
+    (checked first) or the words leave gaps."""
+    import numpy as np
+
+    if noise.count() * 12 > MASS_BROADCAST_BYTES:
+        return None
+    words = noise.filter(F.col("weight") > 0).select("idx", "cdf_lo", "cdf_hi", "weight_total").toArrow()
+    idx, lo, hi = (words.column(c).to_numpy() for c in ("idx", "cdf_lo", "cdf_hi"))
+    order = np.argsort(hi, kind="stable")
+    idx, lo, hi = idx[order].astype(np.int32), lo[order], hi[order].astype(np.int64)
+    if not np.array_equal(lo, np.concatenate([[0], hi[:-1]])[: len(hi)]):
+        return None
+    return {"idx": idx, "mass": hi, "total": words.column("weight_total")[0].as_py() if len(hi) else 0}
+
+
+def merged(batches, rows: int = PAIRS_AT_ONCE):
+    """Record batches of about ``rows`` rows, whatever the size they come in."""
+    import pyarrow as pa
+
+    held, n = [], 0
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            held.append(batch.slice(a, rows))
+            n += held[-1].num_rows
+            if n >= rows:
+                yield pa.concat_batches(held)
+                held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def mass_draws(held: dict, part, k: int, seed: int, epoch: int, key=PAIR_KEY):
+    """N2 in a task: the words of ``k`` draws for each pair of an Arrow batch, and
+    whether a draw met one."""
+    import numpy as np
+
+    u = task_uniforms("neg", seed, (epoch,), [part.column(part.schema.get_field_index(c)) for c in key], range(k))
+    at = np.searchsorted(held["mass"], np.floor(u * float(held["total"])).astype(np.int64), side="right")
+    return held["idx"][np.minimum(at, len(held["idx"]) - 1)], at < len(held["idx"])
+
+
+def held_slots(slots: DataFrame, words: int, table_size: int) -> dict:
+    """The slot table and each word's run of slots, for the tasks."""
+    import numpy as np
+
+    runs = slots.groupBy("idx").agg(F.min("slot").cast("long").alias("lo"), F.count(F.lit(1)).alias("n")).toArrow()
+    idx, lo, n = (runs.column(c).to_numpy() for c in ("idx", "lo", "n"))
+    held = {"size": table_size, "lo": np.full(words, table_size + 1, np.int64), "n": np.zeros(words, np.int64), "slots": np.full(table_size, -1, np.int32)}
+    held["lo"][idx], held["n"][idx] = lo, n
+    for i, a, m in zip(idx, lo, n, strict=True):
+        held["slots"][a : a + m] = i
+    return held
+
+
+def slot_draws(held: dict, part, k: int, seed: int, epoch: int, key=PAIR_KEY):
+    """N5 in a task: the words of ``k`` draws, neither center nor context, for each
+    pair of an Arrow batch, and whether a draw met one."""
+    import numpy as np
+
+    center, context = (part.column(part.schema.get_field_index(c)).to_numpy() for c in ("center", "context"))
+    lo_c, n_c, lo_o = held["lo"][center], held["n"][center], held["lo"][context]
+    n_o = np.where(center == context, 0, held["n"][context])
+    left = held["size"] - n_c - n_o
+    if (left <= 0).any():
+        raise ValueError("no slot is left beside center and context")
+    u = task_uniforms("negtable", seed, (epoch,), [part.column(part.schema.get_field_index(c)) for c in key], range(k))
+    s = np.floor(u * left[:, None]).astype(np.int64)
+    first = lo_c <= lo_o
+    for at, n in ((np.where(first, lo_c, lo_o), np.where(first, n_c, n_o)), (np.where(first, lo_o, lo_c), np.where(first, n_o, n_c))):
+        s += np.where(s >= at[:, None], n[:, None], 0)
+    word = np.where(s < held["size"], held["slots"][np.minimum(s, held["size"] - 1)], -1)
+    return np.maximum(word, 0), word >= 0
+
+
 def draw_exact(
     pairs: DataFrame,
     noise: DataFrame,
@@ -68,12 +151,39 @@ def draw_exact(
 ) -> DataFrame:
     """N2 + N6 + E8: ``k`` independent draws per pair, long form
     ``(*key, *carry, k, neg)``; the center and context may be drawn
-    (variant A)."""
-    bins = bins or bins_for(noise)
-    table = cdf_bins(noise, bins)
-    total = noise.select("weight_total").limit(1)
+    (variant A). Draws are looked up where their pair lies, in the running mass of
+    the words, if its checked size allows a broadcast; otherwise, for keys that
+    are no integers, or where ``bins`` is given, they are joined with bins of the mass."""
     src = pairs.select(*key, *carry)
     src = spread(src, *key) if spread_input else src
+    whole = all(dict(src.dtypes)[c] in ("tinyint", "smallint", "int", "bigint") for c in key)
+    held = held_mass(noise) if whole and bins is None else None
+    if held is None:
+        return _joined_draws(src, noise, k, seed, epoch, bins or bins_for(noise), key, carry)
+    sent = src.sparkSession.sparkContext.broadcast(held)
+    names = src.columns
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for part in merged(batches):
+            if not len(sent.value["idx"]):
+                continue
+            neg, hit = mass_draws(sent.value, part, k, seed, epoch, key)
+            row, draw = np.nonzero(hit)
+            for a in range(0, len(row), ROWS_AT_ONCE):
+                at, no = row[a : a + ROWS_AT_ONCE], draw[a : a + ROWS_AT_ONCE]
+                rows = part.take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(no.astype(np.int32)), pa.array(neg[at, no])], names=[*names, "k", "neg"])
+
+    return src.mapInArrow(run, T.StructType([*src.schema.fields, T.StructField("k", T.IntegerType()), T.StructField("neg", T.IntegerType())]))
+
+
+def _joined_draws(src: DataFrame, noise: DataFrame, k: int, seed: int, epoch: int, bins: int, key, carry) -> DataFrame:
+    """The draws of ``draw_exact`` by an equi-join with the bins of the mass."""
+    table = cdf_bins(noise, bins)
+    total = noise.select("weight_total").limit(1)
     draws = src.join(F.broadcast(total), how="cross").select(
         *key, *carry, "weight_total", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("k")
     )
