@@ -18,7 +18,9 @@ are compared by their cosine in double precision. So the links are exact, and a
 group of near copies costs about one comparison of nodes.
 
 On the cluster, pairs of cells that the same bound cannot exclude are expanded to
-pairs of chunks; each pair is one group with two trees, which bounds its memory.
+pairs of chunks. The trees are written once, and each task reads two groups of them
+from there (a Cartesian product with a condition) and takes one pair after the other:
+no tree is copied by a shuffle, which bounds the disk, and a task holds a few trees.
 What leaves a group are link counts per point and a spanning forest. Where the
 data have no structure at this radius the bound excludes little and all chunks
 meet, as for any exact search.
@@ -41,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import drop_path, materialize, scratch_path, written
 from .components import components
 
 CHUNK = 8192  # points of a chunk: of 8 bytes a component
@@ -52,6 +54,10 @@ EPS = 1e-6  # far above the rounding of distances, also near zero
 BATCH = 256
 EDGES = 1 << 18
 GATHER = 1 << 15  # point pairs of small leaves that are compared at a time
+GROUPS = 16  # groups of trees: any two of them are one task
+GROUP_TREES = 8  # more groups beyond that many trees in each
+BATCH_BYTES = 1 << 25  # trees sent to a task's Python at a time
+AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _POINTS = T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("far", T.DoubleType()), T.StructField("node", T.LongType()), T.StructField("size", T.LongType()), T.StructField("unit", T.ArrayType(T.DoubleType()))])
 _TREE = T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("chunk", T.LongType()), T.StructField("nodes", T.BinaryType()), T.StructField("points", T.BinaryType()), T.StructField("unit", T.BinaryType())])
@@ -354,10 +360,10 @@ def _trees(placed: DataFrame) -> DataFrame:
     return placed.groupBy("cell", "chunk").applyInArrow(one, _TREE)
 
 
-def _tree(table: pa.Table) -> CoverTree:
-    points = np.frombuffer(table.column("points")[0].as_py(), _POINT)
-    unit = np.frombuffer(table.column("unit")[0].as_py(), np.float64).reshape(len(points), -1)
-    return CoverTree(unit, points["node"], points["size"], np.frombuffer(table.column("nodes")[0].as_py(), _NODE))
+def _tree(batch: pa.RecordBatch, row: int, side: str) -> CoverTree:
+    nodes, points, unit = (batch.column(batch.schema.get_field_index(f"{c}_{side}"))[row].as_buffer() for c in ("nodes", "points", "unit"))
+    points = np.frombuffer(points, _POINT)
+    return CoverTree(np.frombuffer(unit, np.float64).reshape(len(points), -1), points["node"], points["size"], np.frombuffer(nodes, _NODE))
 
 
 def _links_of(spark: SparkSession, points: DataFrame, cosine: float, chunk: int, sample: int) -> DataFrame:
@@ -366,37 +372,56 @@ def _links_of(spark: SparkSession, points: DataFrame, cosine: float, chunk: int,
     n = points.count()
     picked = points.orderBy(F.xxhash64("unit"), "node").limit(sample).select("unit").collect()  # ``sample`` rows
     centers = farthest_first(np.array([r[0] for r in picked], np.float64), max(1, min(CELLS, -(-2 * n // chunk))))
-    dealt = materialize(_dealt(points, centers))
+    paths = [scratch_path(spark, name) for name in ("dealt", "trees")]
+    dealt = written(_dealt(points, centers), "dealt", paths[0])
     cells = dealt.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / chunk).alias("chunks"), F.max("far").alias("radius"))
     cells = materialize(cells)  # at most CELLS rows
     placed = dealt.join(F.broadcast(cells), "cell").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
-    trees = materialize(_trees(placed.select("cell", "chunk", "node", "size", "unit")))
+    trees = written(_trees(placed.select("cell", "chunk", "node", "size", "unit")), "trees", paths[1])
+    drop_path(spark, paths[0])
     # cells that the covering radii leave (at most CELLS ** 2 / 2 pairs), and their chunks
     reach = float(distance(np.float64(cosine)))
     apart = distance(centers @ centers.T)
     pairs = spark.createDataFrame([(i, j, float(apart[i, j])) for i in range(len(centers)) for j in range(i, len(centers))], "ca int, cb int, d double")
     side = lambda s: cells.select(F.col("cell").alias(f"c{s}"), F.col("chunks").alias(f"n{s}"), F.col("radius").alias(f"r{s}"))
     pairs = pairs.join(F.broadcast(side("a")), "ca").join(F.broadcast(side("b")), "cb").filter(F.col("d") <= F.col("ra") + F.col("rb") + reach + EPS)
-    pieces = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-    pairs = pairs.select("ca", "cb", "nb", pieces("na").alias("ka")).select("ca", "ka", "cb", pieces("nb").alias("kb")).filter("ca < cb OR ka <= kb")
-    key = ["ca", "ka", "cb", "kb"]
-    left = pairs.join(trees.withColumnsRenamed({"cell": "ca", "chunk": "ka"}), ["ca", "ka"]).select(*key, "nodes", "points", "unit")
-    right = pairs.join(trees.withColumnsRenamed({"cell": "cb", "chunk": "kb"}), ["cb", "kb"]).select(*[F.col(c).alias(c) for c in [*key, "nodes", "points", "unit"]])
-
-    def traversed(k: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        a = _tree(left)
-        same = k[0].as_py() == k[2].as_py() and k[1].as_py() == k[3].as_py()
-        b = a if same else _tree(right)
-        got = DualTraversal(a, b, cosine)
+    meets = pairs.groupBy(F.col("ca").alias("cell")).agg(F.collect_list("cb").alias("meets"))  # at most CELLS rows of CELLS
+    total = trees.count()
+    groups = min(total, max(GROUPS, -(-total // GROUP_TREES)))
+    trees = trees.coalesce(max(1, groups))
+    side = lambda t, s: t.select(*[F.col(c).alias(f"{c}_{s}") for c in t.columns])
+    left, right = side(trees.join(F.broadcast(meets), "cell"), "a"), side(trees, "b")
+    meet = F.array_contains("meets_a", F.col("cell_b")) & ((F.col("cell_a") < F.col("cell_b")) | (F.col("chunk_a") <= F.col("chunk_b")))
+    met = left.hint("shuffle_replicate_nl").join(right, meet)
+    met = met.select("cell_a", "chunk_a", "cell_b", "chunk_b", *[f"{c}_{s}" for s in "ab" for c in ("nodes", "points", "unit")])
+
+    def found(got: DualTraversal) -> pa.RecordBatch:
+        a, b = got.a, got.b
         x, y = got.links()
-        some = [(a.ids[m], got.count_a[m]) for m in [got.count_a > 0]] + [(b.ids[m], got.count_b[m]) for m in [got.count_b > 0] if not same]
+        some = [(a.ids[m], got.count_a[m]) for m in [got.count_a > 0]] + [(b.ids[m], got.count_b[m]) for m in [got.count_b > 0] if not got.same]
         ids, counts = np.concatenate([s[0] for s in some]), np.concatenate([s[1] for s in some])
         none = lambda n: pa.nulls(n, pa.int64())
-        return pa.table({
-            "a": pa.array(np.concatenate([ids, x])), "b": pa.concat_arrays([none(len(ids)), pa.array(y, pa.int64())]), "links": pa.concat_arrays([pa.array(counts, pa.int64()), none(len(x))]),
-        })
-
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(traversed, _FOUND)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([ids, x])), pa.concat_arrays([none(len(ids)), pa.array(y, pa.int64())]), pa.concat_arrays([pa.array(counts, pa.int64()), none(len(x))])],
+            names=["a", "b", "links"],
+        )
+
+    def traversed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = list(zip(*[batch.column(c).to_pylist() for c in range(4)], strict=True))
+            for row, k in enumerate(names):
+                a = _tree(batch, row, "a")
+                yield found(DualTraversal(a, a if k[:2] == k[2:] else _tree(batch, row, "b"), cosine))
+
+    conf = spark.conf
+    before, size = conf.get(AT_ONCE), 16 * chunk * centers.shape[1]
+    conf.set(AT_ONCE, str(max(1, BATCH_BYTES // size)))  # rows are pairs of trees
+    try:
+        links = written(met.mapInArrow(traversed, _FOUND), "links")
+    finally:
+        conf.set(AT_ONCE, before)
+    drop_path(spark, paths[1])
+    return links
 
 
 def near_duplicates(spark: SparkSession, vectors: DataFrame, cosine: float = 0.9, chunk: int = CHUNK, sample: int = SAMPLE, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -404,26 +429,25 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, cosine: float = 0.9
     vec = F.col(vector).cast("array<double>")
     sound = F.forall("vec", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x)) & F.exists("vec", lambda x: x != 0)
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), vec.alias("vec")).withColumn("sound", F.coalesce(sound, F.lit(False)))
-    rows = materialize(rows.select("vec_id", F.when(F.col("sound"), F.col("vec")).alias("vec")))
+    rows = written(rows.select("vec_id", F.when(F.col("sound"), F.col("vec")).alias("vec")), "vectors")
     classes = rows.filter("vec IS NOT NULL").groupBy("vec").agg(F.count(F.lit(1)).alias("size"), F.min("vec_id").alias("least"))
     # scaled by the largest component first, so that no square overflows or vanishes
     top = F.array_max(F.transform("vec", F.abs))
     scaled = F.transform("vec", lambda x: x / F.col("top"))
     norm = F.sqrt(F.aggregate("scaled", F.lit(0.0), lambda s, x: s + x * x))
     classes = classes.withColumn("top", top).withColumn("scaled", scaled).withColumn("norm", norm)
-    classes = materialize(classes.select("vec", "size", "least", F.transform("scaled", lambda x: x / F.col("norm")).alias("unit"), F.monotonically_increasing_id().alias("node")))
+    classes = written(classes.select("vec", "size", "least", F.transform("scaled", lambda x: x / F.col("norm")).alias("unit"), F.monotonically_increasing_id().alias("node")), "classes")
     found = None
     for r in classes.select(F.size("unit").alias("d")).distinct().collect():  # a search per vector length
         part = _links_of(spark, classes.filter(F.size("unit") == r["d"]).select("node", "size", "unit"), cosine, chunk, sample)
         found = part if found is None else found.unionByName(part)
     if found is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    found = materialize(found)
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("weight"))
     reached = components(found.filter("b IS NOT NULL AND a <> b").select("a", "b"))
     named = classes.select("vec", "node", "least").join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = materialize(named.join(smallest, "component").join(counts, "node").select("vec", "component_id", (F.col("weight") - 1).alias("n_links")))
+    named = written(named.join(smallest, "component").join(counts, "node").select("vec", "component_id", (F.col("weight") - 1).alias("n_links")), "named")
     out = rows.filter("vec IS NOT NULL").join(named, "vec").select("vec_id", "n_links", "component_id")
     alone = rows.filter("vec IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return out.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -127,11 +127,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """A large table that is read more than once: compressed columns under the
-    checkpoint directory, a fraction of a checkpoint's serialised rows. What was
-    shuffled for it goes when it is written."""
-    path, conf = scratch_path(df.sparkSession, name), df.sparkSession.conf
+    checkpoint directory (at ``path``, a ``scratch_path``, if it is to be dropped), a
+    fraction of a checkpoint's serialised rows. What was shuffled for it goes when it
+    is written."""
+    path, conf = path or scratch_path(df.sparkSession, name), df.sparkSession.conf
     before = conf.get(CLEANUP)
     conf.set(CLEANUP, "true")
     try:
